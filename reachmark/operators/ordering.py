@@ -316,6 +316,25 @@ class OrderIndex:
         parts = out.filter("_whole").unionByName(cut.filter("_rn <= _take").drop("_rn"))
         return parts.drop(_BUCKET, "_take", "_whole")
 
+    def mark(self, df: DataFrame, sizes: int | dict[tuple, int], name: str) -> DataFrame:
+        """All rows with a flag on the first ``sizes`` in order (per group)."""
+
+        def take(r: dict) -> int:
+            want = sizes.get(tuple(r[g] for g in self.within), 0) if isinstance(sizes, dict) else sizes
+            return max(0, min(r["_rows"], want - r["_rank_before"]))
+
+        out = self._attach(
+            df,
+            {
+                "_take": (T.LongType(), take),
+                "_cut": (T.BooleanType(), lambda r: 0 < take(r) < r["_rows"]),
+            },
+        )
+        whole = out.filter("not _cut").withColumn(name, F.col("_take") > 0)
+        rank = F.row_number().over(self._local())
+        cut = out.filter("_cut").withColumn(name, rank <= F.col("_take"))
+        return whole.unionByName(cut).drop(_BUCKET, "_take", "_cut")
+
     def slice(self, df: DataFrame, first: int, last: int) -> DataFrame:
         """Rows with ``first < rank <= last``; no other buckets are read into the sort."""
         out = self._attach(
@@ -437,6 +456,69 @@ def _as(t: T.DataType, value):
     return float(value) if isinstance(t, T.DoubleType) else int(value)
 
 
+def _bucketed_values(
+    df: DataFrame, cols: Sequence[str], buckets: int, keep: Sequence[str] = ()
+) -> tuple[DataFrame, list[Splits], dict[int, dict[int, int]]]:
+    """Values of several columns as rows (column no. ``i``, bucket ``b``, value ``v``),
+    with the edges and the row count of every bucket."""
+    values = df.select(
+        *keep, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)]
+    )
+    splits = quantile_splits(values, [F.col(f"_v{i}") for i in range(len(cols))], buckets)
+    marked = Bucketizer(
+        splitsArray=[list(s.points) for s in splits],
+        inputCols=[f"_v{i}" for i in range(len(cols))],
+        outputCols=[f"_b{i}" for i in range(len(cols))],
+        handleInvalid="keep",
+    ).transform(values)
+    one = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.col(f"_b{i}").cast("int").alias("b"),
+            F.col(f"_v{i}").alias("v"),
+        )
+        for i in range(len(cols))
+    ]
+    long = marked.select(*keep, F.inline(F.array(*one))).filter("v is not null")
+    counts: dict[int, dict[int, int]] = {i: {} for i in range(len(cols))}
+    for r in long.groupBy("i", "b").count().collect():  # bounded by columns x buckets
+        counts[r["i"]][r["b"]] = r["count"]
+    return long, splits, counts
+
+
+def average_ranks(
+    df: DataFrame, cols: Sequence[str], key: str, buckets: int | None = None
+) -> DataFrame:
+    """The average rank of every value in its column (ties share it), one row per key.
+
+    Values that fill a bucket of their own have a rank that follows from the counts, so
+    heavy ties are never gathered; other values are ranked inside their bucket.
+    """
+    buckets = buckets or default_buckets(df)
+    long, splits, counts = _bucketed_values(df, cols, buckets, keep=[key])
+    facts = []
+    for i, sizes in counts.items():
+        before = 0
+        for b in sorted(sizes):
+            tied = (sizes[b] + 1) / 2 if b in splits[i].heavy else None
+            facts.append((i, b, before, tied))
+            before += sizes[b]
+    known = df.sparkSession.createDataFrame(facts, "i int, b int, before long, tied double")
+    if len(facts) <= SMALL_TABLE_ROWS:
+        known = F.broadcast(known)
+    long = long.join(known, ["i", "b"])
+    same = Window.partitionBy("i", "b", "v")
+    local = F.rank().over(Window.partitionBy("i", "b").orderBy("v"))
+    ranked = long.filter("tied is null").withColumn(
+        "tied", local + (F.count(F.lit(1)).over(same) - 1) / 2
+    )
+    ranks = long.filter("tied is not null").unionByName(ranked)
+    place = F.col("before") + F.col("tied")
+    return ranks.groupBy(key).agg(
+        *[F.max(F.when(F.col("i") == i, place)).alias(c) for i, c in enumerate(cols)]
+    )
+
+
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int | None = None
 ) -> dict[str, list[float]]:
@@ -448,31 +530,7 @@ def exact_quantiles(
     """
     buckets = buckets or default_buckets(df)
     cols = list(cols)
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    splits = quantile_splits(values, [F.col(f"v{i}") for i in range(len(cols))], buckets)
-    marked = Bucketizer(
-        splitsArray=[list(s.points) for s in splits],
-        inputCols=[f"v{i}" for i in range(len(cols))],
-        outputCols=[f"b{i}" for i in range(len(cols))],
-        handleInvalid="keep",
-    ).transform(values)
-    long = marked.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.col(f"b{i}").cast("int").alias("b"),
-                        F.col(f"v{i}").alias("v"),
-                    )
-                    for i in range(len(cols))
-                ]
-            )
-        )
-    ).filter("v is not null")
-    counts: dict[int, dict[int, int]] = {i: {} for i in range(len(cols))}
-    for r in long.groupBy("i", "b").count().collect():  # bounded by columns x buckets
-        counts[r["i"]][r["b"]] = r["count"]
+    long, splits, counts = _bucketed_values(df, cols, buckets)
 
     found: dict[tuple[int, int], float] = {}
     wanted: list[tuple[int, int, int, int]] = []

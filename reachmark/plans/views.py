@@ -6,31 +6,48 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Campaign columns that need more than the orders table.
 _LINE_COLUMNS = {"x_qty", "x_lines", "x_disc"}
+_REGION_COLUMNS = {"region"}
+_CUSTOMER_COLUMNS = {"market_segment", "x_bal", "x_sparse"} | _REGION_COLUMNS
+
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def campaign(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """One row per mailed account: funnel flags, amounts, scores and features.
 
-    Order lines are summed per order, and joined, only when one of their features is
-    among ``cols``; the order key is unique, so leaving them out keeps the rows.
+    Customers, regions and summed order lines are left-joined on unique keys, and only
+    when one of their columns is asked for: leaving them out keeps the rows.
     """
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    b = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    )
+    wanted = set(cols) or _LINE_COLUMNS | _CUSTOMER_COLUMNS
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    if not cols or _LINE_COLUMNS & set(cols):
+    b = table(spark, sf_dir, "orders")
+    none = F.lit(None)
+    if wanted & _CUSTOMER_COLUMNS:
+        customer = table(spark, sf_dir, "customer")
+        b = b.join(customer, b.o_custkey == customer.c_custkey, "left")
+    else:
+        b = b.withColumns({"c_acctbal": none.cast("double"), "c_mktsegment": none.cast("string")})
+    if wanted & _REGION_COLUMNS:
+        nation = table(spark, sf_dir, "nation")
+        region = table(spark, sf_dir, "region")
+        b = b.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(
+            region, F.col("n_regionkey") == F.col("r_regionkey"), "left"
+        )
+    else:
+        b = b.withColumn("r_name", none.cast("string"))
+    if wanted & _LINE_COLUMNS:
         li = (
             table(spark, sf_dir, "lineitem")
             .groupBy("l_orderkey")
@@ -43,11 +60,7 @@ def campaign(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
         b = b.join(li, key == F.col("l_orderkey"), "left")
     else:
         b = b.withColumns(
-            {
-                "n_lines": F.lit(None).cast("long"),
-                "qty": F.lit(None).cast("long"),
-                "max_disc": F.lit(None).cast("double"),
-            }
+            {"n_lines": none.cast("long"), "qty": none.cast("long"), "max_disc": none.cast("double")}
         )
     h = (key * 7919 + 13) % 9973
     stage1 = F.col("o_orderstatus") == "F"
@@ -180,9 +193,9 @@ SQL_VIEWS = {
            CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 <> 0 AND o_orderkey % 4 <> 0 AND o_orderkey % 3 <> 0 THEN 1 ELSE 0 END AS f4,
            CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 <> 0 AND o_orderkey % 4 <> 0 AND o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0 THEN 1 ELSE 0 END AS f5
     FROM orders o
-    JOIN customer c ON o.o_custkey = c.c_custkey
-    JOIN nation n   ON c.c_nationkey = n.n_nationkey
-    JOIN region r   ON n.n_regionkey = r.r_regionkey
+    LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+    LEFT JOIN nation n   ON c.c_nationkey = n.n_nationkey
+    LEFT JOIN region r   ON n.n_regionkey = r.r_regionkey
     LEFT JOIN (
       SELECT l_orderkey, COUNT(*) AS n_lines,
              CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
