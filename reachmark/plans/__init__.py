@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("evaluation", "profiling")
+_MODULES = ("preparation", "profiling", "evaluation")
 
 
 def load():
