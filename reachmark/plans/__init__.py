@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("preparation", "profiling", "evaluation")
+_MODULES = ("storage", "preparation", "profiling", "evaluation", "texts", "modeling")
 
 
 def load():

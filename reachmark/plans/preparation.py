@@ -298,11 +298,11 @@ def set_union(spark, sf_dir):
     return both.filter("file_no = 1").select("duns").union(both.filter("file_no = 2").select("duns")).distinct()
 
 
-@query("set_difference", with_views("contacts", "SELECT duns, channel FROM contacts WHERE file_no = 1 EXCEPT SELECT duns, channel FROM contacts WHERE file_no = 2"))
+@query("set_difference", "SELECT p_name FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_name FROM part WHERE p_partkey % 2 = 1")
 def set_difference(spark, sf_dir):
-    both = contacts(spark, sf_dir)
-    first, second = (both.filter(F.col("file_no") == n).select("duns", "channel") for n in (1, 2))
-    return first.subtract(second)
+    part = table(spark, sf_dir, "part")
+    even, odd = (part.filter(F.col("p_partkey") % 2 == r).select("p_name") for r in (0, 1))
+    return even.subtract(odd)
 
 
 # Sampling ------------------------------------------------------------------------------
