@@ -298,10 +298,10 @@ def set_union(spark, sf_dir):
     return both.filter("file_no = 1").select("duns").union(both.filter("file_no = 2").select("duns")).distinct()
 
 
-@query("set_difference", "SELECT p_name FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_name FROM part WHERE p_partkey % 2 = 1")
+@query("set_difference", "SELECT p_name, p_size FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_name, p_size FROM part WHERE p_partkey % 2 = 1")
 def set_difference(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    even, odd = (part.filter(F.col("p_partkey") % 2 == r).select("p_name") for r in (0, 1))
+    even, odd = (part.filter(F.col("p_partkey") % 2 == r).select("p_name", "p_size") for r in (0, 1))
     return even.subtract(odd)
 
 
