@@ -50,6 +50,11 @@ def first_of_month(date: Column) -> Column:
     return F.trunc(date, "month")
 
 
+def percent(share_of_100: Column, digits: int = 2) -> Column:
+    """Percentage text, for presentation; null stays null."""
+    return F.when(share_of_100.isNotNull(), F.format_string(f"%.{digits}f%%", share_of_100))
+
+
 def first_present(columns: Sequence[str], wanted: Sequence[str]) -> list[str]:
     """The wanted names that exist, in the wanted order."""
     have = set(columns)

@@ -137,6 +137,9 @@ def prepare_training(
     else:
         data = keep_columns(df, list(dict.fromkeys(var_cols)))
     data = balance(data, label, balance_kind, key, seed)
+    if balance_kind and (woe or log):
+        # The sample is drawn once; the fits below and the result read the stored rows.
+        data = materialize(data, "sample")
     cats = [c for c in cat_cols if c in data.columns]
     model = None
     if woe:

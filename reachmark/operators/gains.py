@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from reachmark.functions.columns import percent
 from reachmark.operators.ordering import Measure, OrderIndex, Splits, running_by_value
 from reachmark.runtime import materialize
 
-_REPORT = Window.orderBy("Decile")
-_RUNNING = _REPORT.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-_ALL = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+def _report() -> WindowSpec:
+    """Order of the few rows of a gains table."""
+    return Window.orderBy("Decile")
+
+
+def _running() -> WindowSpec:
+    return _report().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _all() -> WindowSpec:
+    return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _class_weights(label: str, weight: str | None) -> dict[str, Column]:
@@ -94,30 +104,28 @@ def _finish_ks(table: DataFrame, roc: Column, ascending: bool) -> DataFrame:
     """Running percentages, KS and lift areas over the report rows."""
 
     def pct(name: str) -> Column:
-        share = F.try_divide(F.col(name).cast("double"), F.sum(name).over(_ALL))
-        return F.sum(share).over(_RUNNING) * 100
+        share = F.try_divide(F.col(name).cast("double"), F.sum(name).over(_all()))
+        return F.sum(share).over(_running()) * 100
 
     def before(name: str) -> Column:
-        return F.lag(name, 1, 0.0).over(_REPORT)
+        return F.lag(name, 1, 0.0).over(_report())
 
     t = table.withColumn("total", F.col("bads") + F.col("goods"))
     t = t.withColumns(
         {
-            "bad_rate": F.format_string(
-                "%.2f%%", 100 * F.try_divide(F.col("bads").cast("double"), F.col("total"))
-            ),
+            "bad_rate": percent(100 * F.try_divide(F.col("bads").cast("double"), F.col("total"))),
             "cumm_bad": pct("bads"),
             "cumm_good": pct("goods"),
             "cum_total": pct("total"),
             "_roc": roc,
             "areab": 0.5
-            - F.try_divide(F.sum("bads").over(_ALL).cast("double"), F.sum("total").over(_ALL)) / 2,
+            - F.try_divide(F.sum("bads").over(_all()).cast("double"), F.sum("total").over(_all())) / 2,
         }
     )
     t = t.withColumn("KS", F.abs(F.bround(F.col("cumm_bad") - F.col("cumm_good"), 4)))
     t = t.withColumns(
         {
-            "max_ks": F.when(F.col("KS") == F.max("KS").over(_ALL), "<----").otherwise(""),
+            "max_ks": F.when(F.col("KS") == F.max("KS").over(_all()), "<----").otherwise(""),
             "gini": F.abs(F.col("_roc.gini")),
             "auc": 1 - F.col("_roc.auc") if ascending else F.col("_roc.auc"),
             "lcum_bad": before("cumm_bad"),
@@ -126,7 +134,7 @@ def _finish_ks(table: DataFrame, roc: Column, ascending: bool) -> DataFrame:
     )
     half = (F.col("cumm_bad") - F.col("cum_total")) + (F.col("lcum_bad") - F.col("lcum_total"))
     t = t.withColumn("area", 0.5 * half * (F.col("cum_total") - F.col("lcum_total")))
-    t = t.withColumn("cum_area", F.sum("area").over(_RUNNING))
+    t = t.withColumn("cum_area", F.sum("area").over(_running()))
     t = t.withColumn("PI", F.try_divide(F.col("cum_area"), F.col("areab")))
     return t.select(
         "Decile", "min_scr", "max_scr", "bads", "goods", "total", "bad_rate", "cumm_bad",
@@ -176,7 +184,7 @@ def is_monotone(ks: DataFrame) -> DataFrame:
     """One row: does the bad rate (two decimals, as printed) never rise down the table?"""
     rate = F.try_divide(100 * F.col("bads").cast("double"), F.col("total"))
     rates = ks.select("Decile", F.bround(rate, 2).alias("r"))
-    rises = F.col("r") > F.lag("r").over(_REPORT)
+    rises = F.col("r") > F.lag("r").over(_report())
     return rates.select(rises.alias("up")).agg(
         (F.coalesce(F.max(F.col("up").cast("int")), F.lit(0)) == 0).alias("monotone")
     )
@@ -357,9 +365,9 @@ def gains_lift(ks_by_score: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, ks in ks_by_score.items():
         slices = ks.select(
-            F.dense_rank().over(_REPORT).cast("int").alias("n"), F.col("cumm_bad").alias("gain")
+            F.dense_rank().over(_report()).cast("int").alias("n"), F.col("cumm_bad").alias("gain")
         )
-        share = (F.col("n") * F.lit(100.0) / F.count(F.lit(1)).over(_ALL)).alias("random_guess")
+        share = (F.col("n") * F.lit(100.0) / F.count(F.lit(1)).over(_all())).alias("random_guess")
         points = slices.select(share, "gain", (F.col("gain") / share).alias("lift"))
         zero = ks.sparkSession.range(1).select(
             F.lit(0.0).alias("random_guess"),
@@ -374,15 +382,15 @@ def gains_lift(ks_by_score: dict[str, DataFrame]) -> DataFrame:
 def decile_report(ks: DataFrame) -> DataFrame:
     """KS table with presentation names and formats."""
     return ks.select(
-        F.dense_rank().over(_REPORT).cast("int").alias("Score"),
+        F.dense_rank().over(_report()).cast("int").alias("Score"),
         "min_scr",
         "max_scr",
         "total",
         F.col("bads").alias("Targets"),
         F.col("goods").alias("NonTargets"),
         F.col("bad_rate").alias("TargetRate"),
-        F.format_string("%.2f%%", "cumm_bad").alias("CumTargetCapRate"),
-        F.format_string("%.2f%%", "cumm_good").alias("CumNonTargetCapRate"),
+        percent(F.col("cumm_bad")).alias("CumTargetCapRate"),
+        percent(F.col("cumm_good")).alias("CumNonTargetCapRate"),
         F.format_string("%.2f", "KS").alias("KS"),
         "max_ks",
     )

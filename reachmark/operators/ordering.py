@@ -82,7 +82,7 @@ def quantile_splits(df: DataFrame, exprs: Sequence[Column], buckets: int) -> lis
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(
         *[
-            F.percentile_approx(e, probs, max(10_000, 20 * buckets)).alias(f"q{i}")
+            F.percentile_approx(e, probs, 20 * buckets).alias(f"q{i}")
             for i, e in enumerate(exprs)
         ]
     ).first()

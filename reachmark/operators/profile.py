@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 
 from reachmark.operators.ordering import average_ranks, exact_quantiles
 
-# Up to this many columns pairs are aggregate expressions; beyond, matrix products.
-WIDE = 40
+# Up to this many columns pairs are aggregate expressions; beyond, matrix products of
+# Arrow batches, which cost less than three aggregates per pair.
+WIDE = 3
+# Rows that tell roughly where the values of a column lie.
+CENTER_ROWS = 1_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -156,7 +159,7 @@ def pair_sums(df: DataFrame, cols: Sequence[str], centers: Sequence[float] | Non
     """Pairwise-complete sums of all column pairs, one small row per pair.
 
     Each task adds up matrix products of its Arrow batches; only p x p sums are shuffled.
-    ``centers`` are subtracted first, which keeps the products well scaled.
+    ``centers`` are subtracted first, which keeps the products well scaled; rough ones do.
     """
     cols = list(cols)
     p = len(cols)
@@ -200,8 +203,9 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], wide: int = WIDE) -> DataFram
     cols = list(cols)
     at = F.array(*[F.lit(c) for c in cols])
     if len(cols) > wide:
-        means = df.agg(*[F.avg(F.col(c).cast("double")) for c in cols]).first()
-        sums = pair_sums(df, cols, [m or 0.0 for m in means]).filter("i < j")
+        numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+        centers = numbers.limit(CENTER_ROWS).agg(*[F.avg(c) for c in cols]).first()
+        sums = pair_sums(numbers, cols, [m or 0.0 for m in centers]).filter("i < j")
         return sums.select(
             F.col("i").alias("a_no"),
             F.col("j").alias("b_no"),

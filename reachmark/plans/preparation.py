@@ -187,7 +187,7 @@ def format_rates(spark, sf_dir):
     df = campaign(spark, sf_dir, "market_segment", LABEL, "lead_ags")
     rate = 100 * F.sum(LABEL).cast("double") / F.count(F.lit(1))
     return df.groupBy("market_segment").agg(
-        F.format_string("%.2f%%", rate).alias("rate"), F.format_number(F.sum("lead_ags"), 0).alias("balance")
+        X.percent(rate).alias("rate"), F.format_number(F.sum("lead_ags"), 0).alias("balance")
     )
 
 

@@ -40,6 +40,15 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out where a scan has fewer partitions than the session has cores.
+
+    For heavy work per row over few unsplittable files. A larger input is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows
