@@ -123,7 +123,7 @@ def mann_whitney(df: DataFrame, arm: str, fields: Sequence[str]) -> DataFrame:
     out = None
     for f in fields:
         sums = {f"n{i}": F.when(F.col(arm) == a, 1).otherwise(0) for i, a in enumerate(names)}
-        runs = running_by_value(df.filter(F.col(f).isNotNull()).select(f, arm), f, True, sums)
+        runs, _ = running_by_value(df.filter(F.col(f).isNotNull()).select(f, arm), f, True, sums)
         cells = []
         for i, j in combinations(range(len(names)), 2):
             a, b = F.col(f"n{i}").cast("double"), F.col(f"n{j}").cast("double")

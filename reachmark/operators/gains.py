@@ -42,7 +42,7 @@ def auc_gini(
     ascending: bool = False,
 ) -> DataFrame:
     """One row: weighted ROC-AUC (ties count half) and Gini; null when a class is absent."""
-    runs = running_by_value(df, score, ascending, _class_weights(label, weight), splits=splits)
+    runs, _ = running_by_value(df, score, ascending, _class_weights(label, weight), splits=splits)
     # Walking down the scores a negative is beaten by the positives met so far.
     met = F.col("pos_run") - F.col("pos") / 2.0
     wins = F.sum(F.col("neg") * met)
@@ -228,13 +228,11 @@ def score_comparison(
 
 def roc_curve(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """One point per distinct score, plus the origin (threshold null)."""
-    runs = running_by_value(df, score, False, _class_weights(label, weight))
-    tot = df.agg(*[F.sum(e).alias(n) for n, e in _class_weights(label, weight).items()])
-    tot = tot.select(F.struct("pos", "neg").alias("t")).scalar()
+    runs, total = running_by_value(df, score, False, _class_weights(label, weight))
     points = runs.select(
         F.col(score).cast("double").alias("threshold"),
-        F.try_divide(F.col("neg_run").cast("double"), tot.getField("neg")).alias("fpr"),
-        F.try_divide(F.col("pos_run").cast("double"), tot.getField("pos")).alias("tpr"),
+        F.try_divide(F.col("neg_run").cast("double"), F.lit(total["neg"])).alias("fpr"),
+        F.try_divide(F.col("pos_run").cast("double"), F.lit(total["pos"])).alias("tpr"),
     )
     origin = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -251,14 +249,13 @@ def best_threshold(curve: DataFrame) -> DataFrame:
 
 def pr_curve(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """Precision and recall per distinct score, plus the anchor (recall 0, precision 1)."""
-    runs = running_by_value(df, score, False, _class_weights(label, weight))
-    tot = df.agg(F.sum(_class_weights(label, weight)["pos"]).alias("pos")).scalar()
+    runs, total = running_by_value(df, score, False, _class_weights(label, weight))
     points = runs.select(
         F.col(score).cast("double").alias("threshold"),
         F.try_divide(F.col("pos_run").cast("double"), F.col("pos_run") + F.col("neg_run")).alias(
             "precision"
         ),
-        F.try_divide(F.col("pos_run").cast("double"), tot).alias("recall"),
+        F.try_divide(F.col("pos_run").cast("double"), F.lit(total["pos"])).alias("recall"),
     )
     anchor = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
@@ -274,20 +271,15 @@ def pr_auc(df: DataFrame, label: str, score: str, weight: str | None = None) ->
     The point before a distinct score follows from its own running sums, so no second
     ordering is needed.
     """
-    runs = running_by_value(df, score, False, _class_weights(label, weight))
-    tot = df.agg(*[F.sum(e).alias(n) for n, e in _class_weights(label, weight).items()])
-    tot = tot.select(F.struct("pos", "neg").alias("t")).scalar()
+    runs, _ = running_by_value(df, score, False, _class_weights(label, weight))
     p, n = F.col("pos_run") - F.col("pos"), F.col("neg_run") - F.col("neg")
     here = F.col("pos_run").cast("double") / (F.col("pos_run") + F.col("neg_run"))
     prev = F.coalesce(F.try_divide(p.cast("double"), p + n), F.lit(1.0))
-    width = F.try_divide(F.col("pos").cast("double"), tot.getField("pos"))
-    no_skill = F.try_divide(
-        tot.getField("pos").cast("double"), tot.getField("pos") + tot.getField("neg")
+    positives = F.sum("pos").cast("double")
+    return runs.filter("pos_run + neg_run > 0").agg(
+        F.try_divide(F.sum(F.col("pos") * (here + prev) / 2), positives).alias("pr_auc"),
+        F.try_divide(positives, F.sum("pos") + F.sum("neg")).alias("no_skill"),
     )
-    area = runs.filter("pos_run + neg_run > 0").agg(
-        F.sum(width * (here + prev) / 2).alias("pr_auc")
-    )
-    return area.select("pr_auc", no_skill.alias("no_skill"))
 
 
 def confusion(label: str, score: str, threshold: float = 0.5) -> dict[str, Column]:

@@ -286,7 +286,7 @@ class Search:
             foldCol="fold",
             parallelism=self.kfolds,
         )
-        return cv.fit(rows).avgMetrics[0]
+        return float(cv.fit(rows).avgMetrics[0])
 
     def measure(self, fitted: Fitted) -> tuple[dict, bool]:
         """Development and test measures of the gains table."""

@@ -584,12 +584,13 @@ def running_by_value(
     sums: dict[str, Column],
     splits: Splits | None = None,
     buckets: int | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, dict]:
     """Group by a value and run its sums along the value order.
 
-    One row per distinct value with each sum and, as ``<name>_run``, its running total
-    (the row itself included). Bucket totals come straight from the rows, so only the
-    grouped values are shuffled. ``splits`` reuses edges fitted for the same order.
+    Gives one row per distinct value with each sum and, as ``<name>_run``, its running
+    total (the row itself included), and the grand totals. Bucket totals come straight
+    from the rows, so only the grouped values are shuffled. ``splits`` reuses edges fitted
+    for the same order.
     """
     measures = [Measure(name, "sum", expr) for name, expr in sums.items()]
     index = OrderIndex.fit(
@@ -611,8 +612,9 @@ def running_by_value(
         },
     )
     frame = index._local().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return out.select(
+    rows = out.select(
         by,
         *sums,
         *[(F.sum(n).over(frame) + F.col(f"_pre_{n}")).alias(f"{n}_run") for n in sums],
     )
+    return rows, before

@@ -164,7 +164,9 @@ def test_average_ranks_match_pandas(spark):
 
 def test_running_by_value(spark):
     df = frame(spark, skewed(300)).filter("s is not null")
-    got = running_by_value(df, "s", False, {"n": F.lit(1)}, buckets=8).toPandas()
+    rows, total = running_by_value(df, "s", False, {"n": F.lit(1)}, buckets=8)
+    got = rows.toPandas()
+    assert total == {"n": df.count()}
     want = df.toPandas().groupby("s").size().sort_index(ascending=False).cumsum()
     assert got.set_index("s")["n_run"].to_dict() == want.to_dict()
 
