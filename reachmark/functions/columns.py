@@ -51,8 +51,9 @@ def first_of_month(date: Column) -> Column:
 
 
 def percent(share_of_100: Column, digits: int = 2) -> Column:
-    """Percentage text, for presentation; null stays null."""
-    return F.when(share_of_100.isNotNull(), F.format_string(f"%.{digits}f%%", share_of_100))
+    """Percentage text, for presentation, ties to even; null stays null."""
+    value = F.bround(share_of_100, digits)
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f%%", value))
 
 
 def first_present(columns: Sequence[str], wanted: Sequence[str]) -> list[str]:

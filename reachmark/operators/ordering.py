@@ -401,8 +401,8 @@ class OrderIndex:
             return _Scale(0, 0, n_bins)
         low = 1
         if self.weight:
-            first = self.bucketed(df).filter(F.col(_BUCKET) == self.totals[0][_BUCKET])
-            low = first.orderBy(*self.sort_columns()).select(self.weight).first()[0]
+            # One row per task survives this: Spark keeps the best row, it does not sort.
+            low = df.orderBy(*self.sort_columns()).select(self.weight).first()[0]
         return _Scale(low, self.total() if total is None else total, n_bins)
 
     def _cut(self, df: DataFrame, scale: _Scale, only_cut: bool = False) -> DataFrame:
@@ -507,11 +507,9 @@ def average_ranks(
     if len(facts) <= SMALL_TABLE_ROWS:
         known = F.broadcast(known)
     long = long.join(known, ["i", "b"])
-    same = Window.partitionBy("i", "b", "v")
-    local = F.rank().over(Window.partitionBy("i", "b").orderBy("v"))
-    ranked = long.filter("tied is null").withColumn(
-        "tied", local + (F.count(F.lit(1)).over(same) - 1) / 2
-    )
+    local = Window.partitionBy("i", "b").orderBy("v")
+    ties = F.count(F.lit(1)).over(local.rangeBetween(Window.currentRow, Window.currentRow))
+    ranked = long.filter("tied is null").withColumn("tied", F.rank().over(local) + (ties - 1) / 2)
     ranks = long.filter("tied is not null").unionByName(ranked)
     place = F.col("before") + F.col("tied")
     return ranks.groupBy(key).agg(

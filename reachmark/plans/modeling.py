@@ -185,10 +185,10 @@ def shapley_mc(spark, sf_dir):
     "partial_dependence",
     with_views("campaign", """, q AS (SELECT MIN(x_price) AS pl, quantile_cont(x_price, 0.95) AS ph, MIN(x_bal) AS bl, quantile_cont(x_bal, 0.95) AS bh FROM campaign),
  g AS (SELECT CAST(i AS INT) AS point_no, pl + (ph - pl) * i / 4 AS pv, bl + (bh - bl) * i / 4 AS bv FROM q, range(5) t(i))
- SELECT 'x_price' AS variable, point_no, round(MIN(pv), 4) AS value, round(AVG(1 / (1 + exp(-(-1.0::DOUBLE + pv * 0.000002::DOUBLE + x_bal * 0.00001::DOUBLE)))), 6) AS mean_proba FROM campaign, g GROUP BY point_no
- UNION ALL SELECT 'x_bal', point_no, round(MIN(bv), 4), round(AVG(1 / (1 + exp(-(-1.0::DOUBLE + x_price * 0.000002::DOUBLE + bv * 0.00001::DOUBLE)))), 6) FROM campaign, g GROUP BY point_no"""),
+ SELECT 'x_price' AS variable, point_no, round(MIN(pv), 6) AS value, round(AVG(1 / (1 + exp(-(-1.0::DOUBLE + pv * 0.000002::DOUBLE + x_bal * 0.00001::DOUBLE)))), 6) AS mean_proba FROM campaign, g GROUP BY point_no
+ UNION ALL SELECT 'x_bal', point_no, round(MIN(bv), 6), round(AVG(1 / (1 + exp(-(-1.0::DOUBLE + x_price * 0.000002::DOUBLE + bv * 0.00001::DOUBLE)))), 6) FROM campaign, g GROUP BY point_no"""),
 )
 def partial_dependence(spark, sf_dir):
     df = campaign(spark, sf_dir, "x_price", "x_bal")
     out = E.partial_dependence(df, _linear_score, ["x_price", "x_bal"], grid=5)
-    return out.select("variable", "point_no", F.round("value", 4).alias("value"), F.round("mean_proba", 6).alias("mean_proba"))
+    return out.select("variable", "point_no", F.round("value", 6).alias("value"), F.round("mean_proba", 6).alias("mean_proba"))
