@@ -28,10 +28,6 @@ def cap(value: Column, low: float, high: float) -> Column:
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
-def log_plus_one(value: Column) -> Column:
-    return F.log1p(value)
-
-
 def scorecard_points(
     probability: Column, to_double: float = POINTS_TO_DOUBLE, base: float = BASE_POINTS
 ) -> Column:

@@ -8,7 +8,6 @@ from reachmark.operators import profile as P
 from reachmark.operators import screening as C
 from reachmark.operators import significance as T
 from reachmark.operators import summary as S
-from reachmark.operators.bins import SCORE_EDGES
 from reachmark.plans.evaluation import _IN_EDGE, sql_quantile_edges
 from reachmark.plans.registry import query, rounded
 from reachmark.plans.views import campaign, with_views

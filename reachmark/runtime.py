@@ -1,4 +1,4 @@
-"""Session-level helpers: shared storage, lineage cuts and size-checked joins."""
+"""Session-level helpers: shared storage, stored stages and size limits."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Above this many rows a lookup table is joined without a broadcast hint.
+# Above this many rows a small table is joined without a broadcast hint.
 SMALL_TABLE_ROWS = 200_000
 
 
@@ -47,21 +46,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_lookup(
-    df: DataFrame, lookup: DataFrame, on, how: str = "left", max_rows: int = SMALL_TABLE_ROWS
-) -> DataFrame:
-    """Join to a lookup table, broadcast only after its size was checked.
-
-    A larger lookup is left to Catalyst, whose adaptive skew handling splits hot keys.
-    Give a stored or materialized ``lookup``: the check reads it.
-    """
-    if is_small(lookup, max_rows):
-        lookup = F.broadcast(lookup)
-    return df.join(lookup, on, how)
