@@ -9,7 +9,7 @@ from reachmark.operators import gains as G
 from reachmark.operators import summary as S
 from reachmark.operators.ordering import OrderIndex
 from reachmark.plans.registry import query, rounded
-from reachmark.plans.views import campaign, with_views
+from reachmark.plans.views import campaign, stored_campaign, with_views
 
 KEY, LABEL, SCORE, WEIGHT = "account_id", "flg_resp", "score_resp", "wt"
 FUNNEL = (
@@ -193,7 +193,7 @@ def quantile_deciles_dense(spark, sf_dir):
  FROM (SELECT x_qty::DOUBLE AS v FROM campaign) x LEFT JOIN edges e ON {_IN_EDGE} GROUP BY e.bin, e.lo, e.hi"""),
 )
 def quantile_bins20(spark, sf_dir):
-    df = campaign(spark, sf_dir, "x_qty")
+    df = stored_campaign(spark, sf_dir, "x_qty")
     bins = B.QuantileBins.fit(df, "x_qty", 20)
     counts = bins.transform(df, "bin").groupBy("bin").agg(F.count(F.lit(1)).alias("cnt"))
     edges = F.array(*[F.lit(e) for e in bins.edges])

@@ -8,7 +8,7 @@ from reachmark.operators import explain as E
 from reachmark.operators import learners as L
 from reachmark.operators import scoring as S
 from reachmark.plans.registry import query, rounded
-from reachmark.plans.views import campaign, table, with_views
+from reachmark.plans.views import campaign, stored_campaign, table, with_views
 
 KEY, LABEL = "account_id", "flg_resp"
 NUMERIC = ("x_price", "x_bal", "x_qty", "ref_score")
@@ -26,7 +26,7 @@ _LINEAR = "1 / (1 + exp(-(-1.0::DOUBLE + x_price * 0.000002::DOUBLE + x_bal * 0.
 
 
 def _rows(spark, sf_dir):
-    return campaign(spark, sf_dir, KEY, LABEL, "wt", *SPEC.numeric, *SPEC.categorical)
+    return stored_campaign(spark, sf_dir, KEY, LABEL, "wt", *SPEC.numeric, *SPEC.categorical)
 
 
 def _linear_score(df):
@@ -176,7 +176,7 @@ def shapley_linear(spark, sf_dir):
 @query("shapley_mc")
 def shapley_mc(spark, sf_dir):
     spec = L.ModelSpec(LABEL, KEY, ("x_price", "x_bal", "ref_score"))
-    df = campaign(spark, sf_dir, KEY, LABEL, "wt", *spec.numeric)
+    df = stored_campaign(spark, sf_dir, KEY, LABEL, "wt", *spec.numeric)
     fitted = L.fit_family(df, spec, "rf", {"n_estimators": 5})
     return E.shapley_mc(df.select(KEY, *spec.numeric), fitted.score, spec.numeric, KEY)
 

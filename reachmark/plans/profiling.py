@@ -10,7 +10,7 @@ from reachmark.operators import significance as T
 from reachmark.operators import summary as S
 from reachmark.plans.evaluation import _IN_EDGE, sql_quantile_edges
 from reachmark.plans.registry import query, rounded
-from reachmark.plans.views import campaign, with_views
+from reachmark.plans.views import campaign, stored_campaign, with_views
 
 PROFILED = ("market_segment", "list_name", "region", "x_price", "x_bal", "x_qty", "x_lines", "x_disc", "x_const", "x_sparse")
 NUMERIC = ("x_price", "x_bal", "x_qty", "x_lines", "x_disc", "lead_ags", "ref_score")
@@ -119,7 +119,7 @@ _NUMERIC_SQL = """SELECT '{c}' AS variable, CAST(COUNT({c}) AS BIGINT) AS n, CAS
 
 @query("profile_numeric", with_views("campaign", _each(_NUMERIC_SQL, NUMERIC)))
 def profile_numeric(spark, sf_dir):
-    return rounded(P.profile_numeric(campaign(spark, sf_dir, *NUMERIC), NUMERIC), 4)
+    return rounded(P.profile_numeric(stored_campaign(spark, sf_dir, *NUMERIC), NUMERIC), 4)
 
 
 @query(
@@ -139,7 +139,7 @@ def profile_categorical(spark, sf_dir):
  round(stddev_samp({c}::DOUBLE), 4) AS std, round(skewness({c}::DOUBLE), 4) AS skew, round(MIN({c})::DOUBLE, 4) AS min, round(quantile_cont({c}::DOUBLE, 0.95), 4) AS q95 FROM campaign""", NUMERIC)),
 )
 def moments(spark, sf_dir):
-    df = campaign(spark, sf_dir, *NUMERIC)
+    df = stored_campaign(spark, sf_dir, *NUMERIC)
     return rounded(P.with_quantiles(P.moments(df, NUMERIC), df, NUMERIC, {"q95": 0.95}), 4)
 
 
@@ -167,7 +167,7 @@ _RANKED = ("x_price", "x_bal", "x_qty", "x_lines")
         + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM r" for a, b in _pairs(_RANKED))),
 )
 def spearman_matrix(spark, sf_dir):
-    df = campaign(spark, sf_dir, "account_id", *_RANKED)
+    df = stored_campaign(spark, sf_dir, "account_id", *_RANKED)
     return rounded(P.spearman_matrix(df, _RANKED, "account_id").select("a", "b", "corr"))
 
 
@@ -234,7 +234,7 @@ def screen_vif(spark, sf_dir):
 @query("variable_clusters")
 def variable_clusters(spark, sf_dir):
     cols = ("x_price", "x_bal", "x_qty", "x_lines", "x_copy", "lead_ags", "ref_score")
-    return C.variable_clusters(campaign(spark, sf_dir, "account_id", *cols), cols, "account_id")
+    return C.variable_clusters(stored_campaign(spark, sf_dir, "account_id", *cols), cols, "account_id")
 
 
 _SCREENED = (*PROFILED, "flg_resp")
@@ -333,5 +333,5 @@ def bivariate_rates(spark, sf_dir):
 )
 def log_suggestion(spark, sf_dir):
     cols = (*NUMERIC, "fund_amt", "flg_fund")
-    found = C.log_suggestion(campaign(spark, sf_dir, *cols), cols)
+    found = C.log_suggestion(stored_campaign(spark, sf_dir, *cols), cols)
     return spark.createDataFrame([(c,) for c in found], "variable string")
