@@ -53,6 +53,8 @@ SPACES = {
         "n_estimators": ("quniform", 100, 1000, 50),
         "max_depth": ("quniform", 3, 5, 1),
         "subsample": ("quniform", 0.5, 0.9, 0.2),
+        "pos_bagging_fraction": ("quniform", 0.1, 1.0, 0.2),
+        "neg_bagging_fraction": ("quniform", 0.1, 1.0, 0.2),
         "colsample": ("quniform", 0.3, 0.9, 0.2),
         "min_child_samples": ("quniform", 100, 500, 100),
     },
@@ -142,6 +144,7 @@ def _estimator(family: str, params: dict, categories: int):
         "subsamplingRate": min(1.0, max(0.05, float(params.get("subsample", 1.0)))),
         "featureSubsetStrategy": str(min(1.0, max(0.05, float(params.get("colsample", 1.0))))),
         "minInstancesPerNode": max(1, int(params.get("min_child_samples", 1))),
+        "minWeightFractionPerNode": min(0.49, float(params.get("min_child_weight", 0.0))),
         "minInfoGain": float(params.get("gamma", 0.0)),
         "maxBins": max(32, categories + 2),
         "seed": seed,
@@ -168,6 +171,11 @@ def with_training_columns(df: DataFrame, spec: ModelSpec, params: dict, validati
     boost = float(params.get("scale_pos_weight") or 1.0)
     weight = F.col(spec.weight).cast("double")
     held_out = hash_order(F.col(spec.key), SEED + 1) < int(validation * 2**32)
+    # Bagging fractions draw a share of each class, by hash.
+    share = F.when(F.col(spec.target) == 1, float(params.get("pos_bagging_fraction", 1.0)))
+    share = share.otherwise(float(params.get("neg_bagging_fraction", 1.0)))
+    if {"pos_bagging_fraction", "neg_bagging_fraction"} & set(params):
+        df = df.filter(hash_order(F.col(spec.key), SEED + 2) < share * 2**32)
     return _typed(df, spec).withColumns(
         {
             "_label": F.col(spec.target).cast("double"),
@@ -339,6 +347,23 @@ class Search:
         auc = {r["family"]: r["auc"] for r in out.collect()}  # one row per family
         return out, max(self.families, key=lambda f: auc[f])
 
+    def metric_report(self, spark: SparkSession) -> DataFrame:
+        """Development and test measures of each refitted family, side by side."""
+        rows = []
+        for family, fitted in self.finals.items():
+            metrics, monotone = self.measure(fitted)
+            trees = fitted.params.get("n_estimators")
+            trees = None if trees is None else int(trees)
+            rows += [
+                (family, m, v["Dev"], v["OOT"], v["Diff"], monotone, trees)
+                for m, v in metrics.items()
+            ]
+        return spark.createDataFrame(
+            rows,
+            "family string, metric string, Dev double, OOT double, Diff double, "
+            "Bad_Rate boolean, Best_N_Tree int",
+        )
+
     def final(self, family: str) -> Fitted:
         if family not in self.finals:
             raise ValueError(f"unknown final model: {family}")

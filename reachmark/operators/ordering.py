@@ -35,8 +35,8 @@ _HEAVY_RUN = 3
 
 
 def default_buckets(df: DataFrame) -> int:
-    """At least 64, and no fewer than the session's shuffle partitions."""
-    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """At least 64, and two per shuffle partition, so that tasks even out."""
+    return max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 @dataclass(frozen=True)

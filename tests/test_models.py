@@ -41,7 +41,7 @@ def test_validation(spark, rows):
         L.validate_input(rows.limit(99), SPEC)
 
 
-@pytest.mark.parametrize("family,params", [("gbt", {"n_estimators": 5, "scale_pos_weight": 0.5}), ("rf", {"n_estimators": 5}), ("lr", {})])
+@pytest.mark.parametrize("family,params", [("gbt", {"n_estimators": 5, "scale_pos_weight": 0.5}), ("rf", {"n_estimators": 5, "neg_bagging_fraction": 0.5, "min_child_weight": 0.01}), ("lr", {})])
 def test_families_learn(spark, rows, family, params):
     df = L.validate_input(rows, SPEC)
     scored = L.fit_family(df, SPEC, family, params).score(df)
@@ -68,6 +68,8 @@ def test_search_refit_and_compare(spark, rows):
     comparison, chosen = search.compare()
     assert chosen == "lr" and comparison.first()["auc"] > 0.75
     assert search.final("lr").family == "lr"
+    report = search.metric_report(spark).filter("metric = 'ROC_AUC'").first()
+    assert report["OOT"] == pytest.approx(comparison.first()["auc"]) and report["Best_N_Tree"] is None
     with pytest.raises(ValueError):
         search.final("gbt")
 
