@@ -75,7 +75,7 @@ class RankedBpe:
         self.ids = [ranks[t] for t in self.tokens]
         self.hash = PerfectHash(self.tokens)
         self.bytes_of = dict(zip(self.ids, self.tokens, strict=True))
-        self.memo: dict[tuple[bool, str], list[int]] = {}
+        self.memo: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is no vocabulary entry.
@@ -119,17 +119,17 @@ class RankedBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text. Its parts between single blanks are looked up among those met before."""
-        memo, ids = self.memo, []
-        lead = ""
-        for chunk in blank_chunks(text):
-            got = memo.get((not lead, chunk))
-            if got is None:
-                if len(memo) >= REMEMBERED:
-                    memo.clear()
-                got = memo[not lead, chunk] = self.piece(lead + chunk)
-            ids += got
-            lead = " "
-        return np.array(ids, np.uint32)
+        first, *rest = blank_chunks(text)
+        memo = self.memo
+        parts = list(map(memo.get, rest))
+        if None in parts:
+            if len(memo) + len(rest) > REMEMBERED:
+                memo.clear()
+            for i, chunk in enumerate(rest):
+                if parts[i] is None and (got := memo.get(chunk)) is None:
+                    got = memo[chunk] = np.array(self.piece(" " + chunk), "<u4").tobytes()
+                parts[i] = parts[i] or got
+        return np.frombuffer(b"".join([np.array(self.piece(first), "<u4").tobytes(), *parts]), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -153,7 +153,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = ranked(path, pattern)
-        ids = [bpe.encode(t).astype(np.int32) for t in batch.column(1).to_pylist()]
+        ids = [bpe.encode(t).view(np.int32) for t in batch.column(1).to_pylist()]
         offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
         values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [KEY, "ids"])

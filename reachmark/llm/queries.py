@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm import bpe, quality, simhash, url_filter
+from reachmark.llm import bpe, language_model, packing, quality, simhash, url_filter
 from reachmark.llm.common import KEY
 
 QUERIES = {}
@@ -67,6 +67,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_lm_scores")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    return language_model.score_documents(table(spark, sf_dir, "documents"), learn).withColumnRenamed(KEY, "doc_id")
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -77,6 +83,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, 1024, 2).withColumnRenamed(KEY, "doc_id")
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
