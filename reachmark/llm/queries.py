@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm import bpe, language_model, packing, quality, simhash, url_filter
+from reachmark.llm import bpe, embedding_dedup, language_model, packing, quality, simhash, url_filter
 from reachmark.llm.common import KEY
 
 QUERIES = {}
@@ -83,6 +83,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_embedding_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumnsRenamed({KEY: "vec_id", "component": "component_id"})
+
+
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
