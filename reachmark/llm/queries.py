@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm import bpe, embedding_dedup, language_model, packing, quality, simhash, url_filter
+from reachmark.llm import bpe, embedding_dedup, language_model, packing, pii, quality, simhash, url_filter
 from reachmark.llm.common import KEY
 
 QUERIES = {}
@@ -95,6 +95,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, 1024, 2).withColumnRenamed(KEY, "doc_id")
 
 
+@query("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.fit_pii(docs)).withColumnRenamed(KEY, "doc_id")
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
