@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm import bpe, embedding_dedup, language_model, packing, pii, quality, simhash, url_filter
+from reachmark.llm import bpe, embedding_dedup, language_model, packing, pii, quality, simhash, suffix_dedup, url_filter
 from reachmark.llm.common import KEY
 
 QUERIES = {}
@@ -67,6 +67,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 @query("op3_lm_scores")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
