@@ -201,3 +201,137 @@ def near_duplicates(
     least = member.groupBy("group").agg(F.min("low").alias("component"))
     named = member.join(least, "group").select("fp", "component")
     return rows.join(named, "fp").select(KEY, "fp", "component")
+
+
+# ---- groups of similar texts ------------------------------------------------------------
+
+SKETCH = 256
+
+
+def _described(text: bytes, shingle: int, seeds: int) -> tuple[list[int], bytes]:
+    """A SimHash of the distinct words per seed, and the least ``SKETCH`` hashes of the shingles."""
+    words = text.lower().split()
+    if not words:
+        return [0] * seeds, b""
+    number: dict[bytes, int] = {}
+    put = number.setdefault
+    at = np.array([put(w, len(number)) for w in words])
+    h = np.array([xxhash.xxh64_intdigest(w, SEED) for w in number], np.uint64)
+    prints = []
+    for seed in range(seeds):
+        bits = np.unpackbits(mix64(h, seed).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        prints.append(int.from_bytes(np.packbits(2 * bits.sum(0) > len(h), bitorder="little").tobytes(), "little"))
+    n = max(1, len(words) - shingle + 1)
+    grams = h[at[:n]]
+    for k in range(1, min(shingle, len(words))):
+        grams = mix64(grams, h[at[k : k + n]])
+    return prints, np.unique(grams)[:SKETCH].astype("<u8").tobytes()
+
+
+def resemblance(a: bytes, b: bytes) -> float:
+    """Share of common shingles, from the least hashes of both; exact where those are all."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    union = np.union1d(x, y)[:SKETCH]
+    return float((np.isin(union, x) & np.isin(union, y)).mean()) if len(union) else 1.0
+
+
+def similar_groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8, distance: int = 5, seeds: int = 3
+) -> DataFrame:
+    """``_key, t, group, component``: groups of rows whose texts share ``least`` of their shingles or more.
+
+    ``component`` is the smallest key of the group, ``t`` a number of the text. Candidates are
+    texts with a SimHash, of one of ``seeds``, at most ``distance`` bits apart, found over pivot
+    distances; they link if their shingles do resemble that much. The fingerprints are of
+    distinct words: a changed word changes one of them, but ``shingle`` shingles. Texts without
+    words are one group. Null keys are never a component's key unless the group has no other.
+    """
+    pivots = Pivots(blocks=distance + 3)
+    src = docs.select(
+        F.col(f"`{key}`").alias(KEY), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(TEXT)
+    ).select(KEY, TEXT, F.xxhash64(TEXT).alias("t"))
+    kind = src.schema[KEY].dataType.simpleString()
+
+    def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [_described(t, shingle, seeds) for t in byte_rows(batch.column(1))]
+        prints = np.array([f[0] for f in found], np.uint64).view(np.int64).tolist()
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(prints, pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.binary())],
+            [KEY, "t", "fp", "sketch"],
+        )
+
+    rows = materialize(map_arrow(src, describe, f"{KEY} {kind}, t bigint, fp array<bigint>, sketch binary"), "described")
+    items = materialize(rows.groupBy("t").agg(F.min(KEY).alias("low"), F.first("fp").alias("fp")), "items")
+
+    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
+        t = batch.column(0).to_numpy(zero_copy_only=False)
+        prints = np.array(batch.column(1).to_pylist(), np.int64).reshape(len(t), seeds)
+        out: list[list[np.ndarray]] = [[], [], []]
+        for seed in range(seeds):
+            fp = np.ascontiguousarray(prints[:, seed])
+            for cell in pivots.cells(pivots.table(fp.view(np.uint64)), distance):
+                for o, v in zip(out, (mix64(cell, seed).view(np.int64), fp, t), strict=True):
+                    o.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["cell", "fp", "t"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            rest = [np.concatenate((r, c.to_numpy(zero_copy_only=False))) for r, c in zip(rest, batch.columns, strict=True)]
+            if len(rest[0]):
+                last = np.searchsorted(rest[0], rest[0][-1])
+                yield links(*(r[:last] for r in rest))
+                rest = [r[last:] for r in rest]
+        yield links(*rest)
+
+    def links(cell, fp, t) -> pa.RecordBatch:
+        edge = np.flatnonzero(np.diff(cell)) + 1
+        starts, ends = np.concatenate(([0], edge)), np.append(edge, len(cell))
+        size = ends - starts
+        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for gap in range(1, 8):  # all pairs of the runs of up to eight
+            a = np.concatenate([starts[(size <= 8) & (size > gap + k)] + k for k in range(8 - gap)])
+            near = np.bitwise_count((fp[a] ^ fp[a + gap]).view(np.uint64)) <= distance
+            src.append(t[a][near])
+            dst.append(t[a + gap][near])
+        for a, b in zip(starts[size > 8].tolist(), ends[size > 8].tolist(), strict=True):
+            own, first, at = np.unique(fp[a:b], return_index=True, return_inverse=True)
+            x, y = close_links(own, pivots, distance)
+            name = dict(zip(own.tolist(), t[a:b][first].tolist(), strict=True))
+            src += [np.array([name[v] for v in x.tolist()], np.int64), t[a:b][first][at]]
+            dst += [np.array([name[v] for v in y.tolist()], np.int64), t[a:b]]
+        s, d = np.concatenate(src), np.concatenate(dst)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(s, d)[s != d]), pa.array(np.maximum(s, d)[s != d])], ["src", "dst"])
+
+    dealt = items.select("t", "fp").mapInArrow(lambda b: map(spread, (x for x in b if x.num_rows)), "cell bigint, fp bigint, t bigint")
+    pairs = dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(runs, "src bigint, dst bigint").distinct()
+    pairs = materialize(pairs, "pairs")
+    met = pairs.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
+    sketches = materialize(rows.select("t", "sketch").join(met, "t", "left_semi").groupBy("t").agg(F.first("sketch").alias("sketch")), "sketches")
+    both = pairs.join(sketches.withColumnsRenamed({"t": "src", "sketch": "x"}), "src").join(
+        sketches.withColumnsRenamed({"t": "dst", "sketch": "y"}), "dst"
+    )
+
+    def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ok = [resemblance(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        return batch.select(["src", "dst"]).filter(pa.array(ok, pa.bool_()))
+
+    good = map_arrow(both.select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
+    found = components(good).withColumnsRenamed({"node": "t", "component": "group"})
+    member = materialize(items.select("t", "low").join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
+    low = member.groupBy("group").agg(F.min("low").alias("component"))
+    return rows.select(KEY, "t").join(member.join(low, "group").select("t", "group", "component"), "t")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, the one of the smallest key; all columns stay."""
+    found = materialize(similar_groups(docs, key, text, **options), "groups")
+    kept = found.where(F.col(KEY).eqNullSafe(F.col("component")))
+    once = kept.groupBy(KEY, "t", "group").agg(F.count(F.lit(1)).alias("n"))
+    # several texts of a group may carry its smallest key
+    keep = once.groupBy("group", F.col(KEY).alias("_k")).agg(F.min("t").alias("_t2"))
+    own = docs.withColumn("_t", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    out = own.join(keep, F.col(f"`{key}`").eqNullSafe(F.col("_k")) & (F.col("_t") == F.col("_t2")), "left_semi")
+    if not once.where("n > 1").isEmpty():  # rows equal in key and text
+        out = out.dropDuplicates([key, "_t"])
+    return out.drop("_t")
