@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,9 @@ from reachmark.runtime import materialize
 #: Bytes whose hash picks and names an anchor.
 GRAM = 32
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bytes that are hashed at a time, and ranges of strings that one task should sort.
+SEGMENT = 1 << 19
+SORTED = 50_000
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -66,6 +69,22 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
     return doc, at - starts[doc], h[at]
 
 
+def segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Groups of (text number, place, bytes) of about ``SEGMENT`` bytes. Longer texts are cut so
+    that every string of ``length`` bytes lies in one cut."""
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - length + 1), SEGMENT):
+            part = text[at : at + SEGMENT + length - 1]
+            if size + len(part) > SEGMENT and group:
+                yield group
+                group, size = [], 0
+            group.append((i, at, part))
+            size += len(part)
+    if group:
+        yield group
+
+
 def contexts(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, first, last): strings of ``length`` bytes by their leftmost least hash.
 
@@ -92,52 +111,55 @@ def contexts(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return value[first], first, np.append(first[1:], n) - 1
 
 
-def repeated_windows(rows: list[tuple], length: int) -> list[tuple[int, int, int]]:
+def repeated_windows(order: Callable[[], np.ndarray], strings: Iterator[bytes], length: int) -> np.ndarray:
     """(row, first, last) of strings that occur in an earlier place among the rows.
 
-    ``rows``: (order, strings) with ``strings`` the bytes of a range of strings, in any order;
-    ``order`` tells which is earlier. All go into one text, sorted by suffixes; where neighbours
-    share ``length`` characters, all but the earliest are repeats.
+    ``strings``: per row the bytes of a range of strings; ``order``, called when all are read,
+    gives what tells which row is earlier, one row per column, the last line first. All go into one text in a file, sorted
+    by suffixes; where neighbours share ``length`` characters, all but the earliest are repeats.
     """
-    order = sorted(range(len(rows)), key=lambda r: rows[r][0])
     with tempfile.TemporaryFile() as f:  # mapped, not held
         starts = [0]
-        for r in order:
-            f.write(rows[r][1] + b"\0")
+        for text in strings:
+            f.write(text + b"\0")
             starts.append(f.tell())
         f.flush()
+        if len(starts) == 1:
+            return np.zeros((0, 3), np.int64)
         text = np.memmap(f, np.uint8, "r")
         begin = np.array(starts[:-1])
         size = np.diff(starts) - 1
-        marked, group = [], 0
-        ids, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        rank = np.empty(len(begin), np.int64)
+        rank[np.lexsort(order())] = np.arange(len(begin))
+        marked, group = [np.zeros((2, 0), np.int64)], 0
+        held = [np.zeros((2, 0), np.int64)]
 
         def close(g: np.ndarray, p: np.ndarray) -> None:
-            """Within groups, the smallest place is the earliest, as rows are in order."""
             if len(g):
                 first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-                low = np.repeat(np.minimum.reduceat(p, first), np.diff(np.append(first, len(g))))
-                marked.append(p[p != low])
+                row = np.searchsorted(begin, p, "right") - 1
+                when = rank[row] << 32 | (p - begin[row])
+                low = np.repeat(np.minimum.reduceat(when, first), np.diff(np.append(first, len(g))))
+                marked.append(np.stack((row, p - begin[row]))[:, when != low])
 
         for at, shared in sorted_suffixes(text, length):
             g = group + np.cumsum(shared < length)
             group = int(g[-1])
             row = np.searchsorted(begin, at, "right") - 1
             whole = at - begin[row] + length <= size[row]
-            ids.append(g[whole])
-            places.append(at[whole])
-            if sum(map(len, ids)) > 1 << 20:
-                g, p = np.concatenate(ids), np.concatenate(places)
-                cut = int(np.searchsorted(g, g[-1])) if len(g) else 0  # the last group may go on
+            held.append(np.stack((g[whole], at[whole])))
+            if sum(x.shape[1] for x in held) > 1 << 20:
+                g, p = np.concatenate(held, axis=1)
+                cut = int(np.searchsorted(g, g[-1]))  # the last group may go on
                 close(g[:cut], p[:cut])
-                ids, places = [g[cut:]], [p[cut:]]
-        close(np.concatenate(ids), np.concatenate(places))
-    at = np.sort(np.concatenate(marked)) if marked else np.zeros(0, np.int64)
-    row = np.searchsorted(begin, at, "right") - 1
-    off = at - begin[row]
-    new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (off[1:] != off[:-1] + 1)))) if len(at) else np.zeros(0, int)
-    last = np.append(new[1:], len(at)) - 1
-    return [(order[r], a, b) for r, a, b in zip(row[new].tolist(), off[new].tolist(), off[last].tolist(), strict=True)] if len(at) else []
+                held = [np.stack((g[cut:], p[cut:]))]
+        close(*np.concatenate(held, axis=1))
+    row, off = np.concatenate(marked, axis=1)
+    by = np.lexsort((off, row))
+    row, off = row[by], off[by]
+    new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (off[1:] != off[:-1] + 1)))) if len(row) else np.zeros(0, int)
+    last = np.append(new[1:], len(row)) - 1 if len(row) else new
+    return np.stack((row[new], off[new], off[last]), axis=1)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -185,8 +207,13 @@ class Repeats:
             number = batch.column(0).to_numpy(zero_copy_only=False)
             _, once = np.unique(number, return_index=True)
             texts = byte_rows(batch.column(1).take(pa.array(once)))
-            doc, at, h = anchors(texts, length)
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(number[once][doc]), pa.array(at.astype(np.int32))], ["h", "t", "at"])
+            out = [[np.zeros(0, np.int64)] for _ in range(3)]
+            for group in segments(texts, length):
+                part, at, h = anchors([g[2] for g in group], length)
+                whose = np.array([g[0] for g in group])[part]
+                for o, v in zip(out, (h.view(np.int64), number[once][whose], np.array([g[1] for g in group])[part] + at), strict=True):
+                    o.append(v)
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["h", "t", "at"])
 
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Anchors whose hash has two different places; runs may cross batches."""
@@ -222,7 +249,7 @@ class Repeats:
                 h, t, at = h[many[run]], t[many[run]], at[many[run]]
             return pa.RecordBatch.from_arrays([pa.array(t), pa.array(h)], ["t", "h"])
 
-        found = map_arrow(keyed.select("t", "text"), find, "h bigint, t bigint, at int").repartition("h").sortWithinPartitions("h")
+        found = map_arrow(keyed.select("t", "text"), find, "h bigint, t bigint, at bigint").repartition("h").sortWithinPartitions("h")
         wanted = found.mapInArrow(shared, "t bigint, h bigint").groupBy("t").agg(F.collect_set("h").alias("hs"))
         chosen = wanted.join(starts, "t")
         held = keyed.join(chosen, ["doc", "t"]).groupBy("doc", "t").agg(F.first("text").alias("text"), F.first("hs").alias("hs"))
@@ -234,7 +261,8 @@ class Repeats:
             """Ranges of strings at shared anchors, with two hashes of what they hold."""
             out = [[] for _ in range(7)]
             for doc, t, text, hs in zip(*(batch.column(i).to_pylist() if i != 2 else byte_rows(batch.column(2)) for i in range(4)), strict=True):
-                h, a, b = contexts(text, length)
+                parts = [(g[1], *contexts(g[2], length)) for group in segments([text], length) for g in group]
+                h, a, b = (np.concatenate([p[1] if c == 1 else p[c] + p[0] for p in parts]) for c in (1, 2, 3))
                 mine = np.isin(h.view(np.int64), np.array(hs, np.int64))
                 h, a, b = h[mine].view(np.int64), a[mine], b[mine]
                 raw = [hashlib.blake2b(text[x : y + length], digest_size=16).digest() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
@@ -252,7 +280,8 @@ class Repeats:
         )
         # anchors with ranges that differ: their strings are compared one by one
         hard = firsts.groupBy("h").count().where("count > 1").select("h")
-        asked = firsts.join(hard, "h").select("p.doc", "p.t", "h", F.struct("p.a", "p.b").alias("r"))
+        asked = materialize(firsts.join(hard, "h").select("p.doc", "p.t", "h", F.struct("p.a", "p.b").alias("r")), "asked")
+        ranges_to_sort = asked.count()
         asked = asked.groupBy("doc", "t").agg(F.collect_list(F.struct("h", "r")).alias("rs"))
 
         def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -263,16 +292,22 @@ class Repeats:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], ["h", "doc", "t", "a", "text"])
 
         def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = []
-            for batch in batches:
-                h, doc, t, a = (batch.column(i).to_pylist() for i in range(4))
-                rows += [((d, u, s), x) for d, u, s, x in zip(doc, t, a, byte_rows(batch.column(4)), strict=True)]
-            if rows:
-                found = [(*rows[r][0][:2], rows[r][0][2] + x, rows[r][0][2] + y + length) for r, x, y in repeated_windows(rows, length)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * 4)], ["doc", "t", "a", "b"])
+            keys = [np.zeros((3, 0), np.int64)]
+
+            def strings() -> Iterator[bytes]:
+                for batch in batches:
+                    keys.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)]))
+                    yield from byte_rows(batch.column(4))
+
+            found = repeated_windows(lambda: np.concatenate(keys, axis=1)[::-1], strings(), length)
+            doc, t, a = np.concatenate(keys, axis=1)
+            r = found[:, 0]
+            columns = (doc[r], t[r], a[r] + found[:, 1], a[r] + found[:, 2] + length)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "t", "a", "b"])
 
         strings = map_arrow(self.texts.select("doc", "t", "text").join(asked, ["doc", "t"]), texts, "h bigint, doc bigint, t bigint, a bigint, text binary")
-        part = strings.repartition("h").mapInArrow(sort, "doc bigint, t bigint, a bigint, b bigint")
+        tasks = max(int(self.texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), ranges_to_sort // SORTED)
+        part = strings.repartition(tasks, "h").mapInArrow(sort, "doc bigint, t bigint, a bigint, b bigint")
         return materialize(again.unionByName(part).select("doc", "t", F.struct("a", "b").alias("s")).groupBy("doc", "t").agg(F.collect_list("s").alias("spans")), "spans")
 
 
