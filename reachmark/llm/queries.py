@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm import bpe, embedding_dedup, language_model, packing, pii, quality, simhash, suffix_dedup, url_filter
+from reachmark.llm import bpe, embedding_dedup, language_model, packing, pii, quality, simhash, suffix_dedup, token_files, url_filter
 from reachmark.llm.common import KEY
 
 QUERIES = {}
@@ -113,6 +113,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(docs, trees).withColumnRenamed(KEY, "doc_id")
 
 
+@query("op9_token_files")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path).withColumnRenamed(KEY, "doc_id")
+
+
 @query("op10_byte_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
