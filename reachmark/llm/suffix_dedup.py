@@ -210,8 +210,14 @@ class Repeats:
             out = [[np.zeros(0, np.int64)] for _ in range(3)]
             for group in segments(texts, length):
                 part, at, h = anchors([g[2] for g in group], length)
-                whose = np.array([g[0] for g in group])[part]
-                for o, v in zip(out, (h.view(np.int64), number[once][whose], np.array([g[1] for g in group])[part] + at), strict=True):
+                place = np.array([g[1] for g in group])[part] + at
+                # a text names each anchor once, and tells whether it has it more than once
+                order = np.lexsort((place, part, h))
+                h, part, place = h[order], part[order], place[order]
+                first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1])))) if len(h) else order
+                many = np.diff(np.append(first, len(h))) > 1
+                whose = number[once][np.array([g[0] for g in group])[part[first]]]
+                for o, v in zip(out, (h[first].view(np.int64), whose, np.where(many, -1, place[first])), strict=True):
                     o.append(v)
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["h", "t", "at"])
 
@@ -228,7 +234,7 @@ class Repeats:
                 rest = [x[last:] for x in rest]
                 if len(rest[0]) > 1 << 16:  # one hash all along: passed on, but for its last two places
                     h, t, at = rest
-                    other = (t != t[0]) | (at != at[0])
+                    other = (t != t[0]) | (at != at[0]) | (at < 0)
                     if other.any():
                         keep = [0, int(np.flatnonzero(other)[0])]
                         yield pick(rest)
@@ -244,7 +250,7 @@ class Repeats:
                 edge = np.concatenate(([True], h[1:] != h[:-1]))
                 run = np.cumsum(edge) - 1
                 first = np.flatnonzero(edge)
-                differs = (t != t[first][run]) | (at != at[first][run])
+                differs = (t != t[first][run]) | (at != at[first][run]) | (at < 0)
                 many = np.bincount(run, differs) > 0
                 h, t, at = h[many[run]], t[many[run]], at[many[run]]
             return pa.RecordBatch.from_arrays([pa.array(t), pa.array(h)], ["t", "h"])
