@@ -117,7 +117,8 @@ def close_links(fp: np.ndarray, pivots: Pivots, distance: int, block: int = 512)
             most = np.abs(table[a] - table[b]).max(axis=1, initial=0) if len(a) else np.zeros(0)
             a, b = a[most <= distance], b[most <= distance]
             ok = np.bitwise_count(u[a] ^ u[b]) <= distance
-            for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
+            for s, t in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
+                x, y = s, t
                 while root[x] != x:
                     root[x] = root[root[x]]
                     x = root[x]
@@ -126,8 +127,8 @@ def close_links(fp: np.ndarray, pivots: Pivots, distance: int, block: int = 512)
                     y = root[y]
                 if x != y:
                     root[max(x, y)] = min(x, y)
-                    left.append(x)
-                    right.append(y)
+                    left.append(s)
+                    right.append(t)
     return fp[np.array(left, int)], fp[np.array(right, int)]
 
 
