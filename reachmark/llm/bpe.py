@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from reachmark.llm.common import KEY, blank_chunks, keyed_texts, map_arrow
 
-#: Distinct pieces of text whose ids a worker remembers; beyond it starts anew.
+#: Distinct pieces and pre-tokens whose ids a worker remembers; beyond it starts anew.
 REMEMBERED = 400_000
 
 
@@ -76,6 +76,7 @@ class RankedBpe:
         self.hash = PerfectHash(self.tokens)
         self.bytes_of = dict(zip(self.ids, self.tokens, strict=True))
         self.memo: dict[str, bytes] = {}
+        self.words: dict[str, list[int]] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is no vocabulary entry.
@@ -111,10 +112,14 @@ class RankedBpe:
     def piece(self, text: str) -> list[int]:
         """Ids of a text: each pre-token by the perfect hash, or else merged."""
         out: list[int] = []
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
         for word in self.pattern.findall(text):
-            raw = word.encode()
-            i = self.hash.find(raw)
-            out += [self.ids[i]] if i >= 0 else self.merge(raw)
+            if (ids := self.words.get(word)) is None:
+                raw = word.encode()
+                i = self.hash.find(raw)
+                ids = self.words[word] = [self.ids[i]] if i >= 0 else self.merge(raw)
+            out += ids
         return out
 
     def encode(self, text: str) -> np.ndarray:
