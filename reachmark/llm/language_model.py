@@ -152,7 +152,7 @@ def score_documents(
     key: str = "doc_id",
     text: str = "text",
     strength: float = 4.0,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """``_key, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
