@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 # Model types that are scored per account class, and those that are scored on all rows.
 CLASS_TYPES = ("RESP", "SUB")
 OPEN_TYPES = ("APPR", "FUND", "fundamt")
+# Of the latter, those that batch scoring takes; FUND models are selected, but not scored.
+SCORED_OPEN_TYPES = ("APPR", "fundamt")
 # The version whose model names say nothing about the loan programme.
 PLAIN_VERSION = "V50"
 
@@ -70,10 +72,10 @@ def short_name(name: str) -> str:
 
 
 def segment_of(name: str) -> Column | None:
-    """Rows a model is for: its class, all rows, or none (unknown type)."""
+    """Rows a model is for: its class, all rows, or none (FUND and unknown types)."""
     if any(t in name for t in CLASS_TYPES):
         return F.col("class_type") == name[-2:]
-    if any(t in name for t in OPEN_TYPES):
+    if any(t in name for t in SCORED_OPEN_TYPES):
         return F.lit(True)
     return None
 
