@@ -155,6 +155,7 @@ def _estimator(family: str, params: dict, categories: int):
             maxIter=int(params.get("n_estimators", 20)),
             stepSize=float(params.get("learning_rate", 0.1)),
             validationIndicatorCol="_validation",
+            validationTol=0.0,  # go on as long as the validation rows gain at all
             **tree,
         )
     if family == "rf":
