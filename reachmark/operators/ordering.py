@@ -32,6 +32,9 @@ from reachmark.runtime import SMALL_TABLE_ROWS
 
 _BUCKET = "_order_bucket"
 _HEAVY_RUN = 3
+# Size of a quantile sketch (rank error about 1/3000), and how many are left to merge at last.
+SKETCH_K = 4096
+SKETCH_GROUPS = 256
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -54,6 +57,8 @@ class Splits:
         inner: set[float] = set()
         singles: set[float] = set()
         for value, run in runs.items():
+            if math.isinf(value):  # the outer ranges hold these
+                continue
             inner.add(value)
             if run >= _HEAVY_RUN:
                 inner.add(math.nextafter(value, math.inf))
@@ -78,13 +83,26 @@ class Splits:
 
 
 def quantile_splits(df: DataFrame, exprs: Sequence[Column], buckets: int) -> list[Splits]:
-    """Approximate quantile edges of several expressions in one aggregation."""
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(
-        *[
-            F.percentile_approx(e, probs, 20 * buckets).alias(f"q{i}")
-            for i, e in enumerate(exprs)
-        ]
+    """Approximate quantile edges of several expressions in one aggregation.
+
+    Each task makes a sketch of fixed size per expression; those are merged in
+    ``SKETCH_GROUPS`` groups first, so the last task merges that many, whatever the input.
+    """
+    names = [f"q{i}" for i in range(len(exprs))]
+    k = F.lit(SKETCH_K)
+    numbers = df.select(
+        *[F.nanvl(e.cast("double"), F.lit(None).cast("double")).alias(n) for n, e in zip(names, exprs)],
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"),
+    )
+    groups = numbers.groupBy("_group").agg(
+        *[F.kll_sketch_agg_double(n, k).alias(n) for n in names], *[F.count(n).alias(f"n_{n}") for n in names]
+    )
+    merged = groups.agg(
+        *[F.kll_merge_agg_double(n, k).alias(n) for n in names], *[F.sum(f"n_{n}").alias(f"n_{n}") for n in names]
+    )
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    row = merged.select(
+        *[F.when(F.col(f"n_{n}") > 0, F.kll_sketch_get_quantile_double(n, probs)) for n in names]
     ).first()
     return [Splits.from_quantiles(q) for q in row]
 
@@ -113,7 +131,7 @@ class OrderIndex:
 
     ``by`` lists ``(column, ascending)``; ``key`` is unique and breaks ties (rising for
     numbers, by hash and then value for other types). ``within`` restarts the order per
-    group. Numeric or date/time ordering columns; nulls sort last.
+    group. Numeric or date/time ordering columns; nulls and NaN sort last.
     """
 
     by: list[tuple[str, bool]]
@@ -189,7 +207,7 @@ class OrderIndex:
                 value = F.unix_date(value)
             elif isinstance(self.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
                 value = F.unix_micros(value.cast("timestamp"))
-            value = value.cast("double")
+            value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
             levels.append(value if ascending else -value)
         levels.append(
             (F.col(self.key) if self.numeric_key else F.xxhash64(self.key)).cast("double")
@@ -197,9 +215,12 @@ class OrderIndex:
         return levels
 
     def sort_columns(self) -> list[Column]:
-        cols = [
-            F.col(n).asc_nulls_last() if asc else F.col(n).desc_nulls_last() for n, asc in self.by
-        ]
+        def value(name: str) -> Column:
+            if isinstance(self.schema[name].dataType, (T.DoubleType, T.FloatType)):
+                return F.nanvl(F.col(name), F.lit(None).cast(self.schema[name].dataType))
+            return F.col(name)
+
+        cols = [value(n).asc_nulls_last() if asc else value(n).desc_nulls_last() for n, asc in self.by]
         if not self.numeric_key:
             cols.append(F.xxhash64(self.key))
         return [*cols, F.col(self.key)]
@@ -461,8 +482,10 @@ def _bucketed_values(
 ) -> tuple[DataFrame, list[Splits], dict[int, dict[int, int]]]:
     """Values of several columns as rows (column no. ``i``, bucket ``b``, value ``v``),
     with the edges and the row count of every bucket."""
+    none = F.lit(None).cast("double")
     values = df.select(
-        *keep, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)]
+        *keep,
+        *[F.nanvl(F.col(c).cast("double"), none).alias(f"_v{i}") for i, c in enumerate(cols)],
     )
     splits = quantile_splits(values, [F.col(f"_v{i}") for i in range(len(cols))], buckets)
     marked = Bucketizer(

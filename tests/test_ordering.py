@@ -14,6 +14,7 @@ from reachmark.operators.ordering import (
     Splits,
     average_ranks,
     exact_quantiles,
+    quantile_splits,
     running_by_value,
 )
 
@@ -51,6 +52,24 @@ def test_positions_match_a_full_sort(spark, partitions, ascending):
     assert (got["run"].sort_index() == want["run"].sort_index()).all()
 
 
+@pytest.mark.parametrize("ascending", [True, False])
+def test_nan_and_infinite_scores(spark, ascending):
+    scores = [math.nan if i % 5 == 0 else math.inf if i % 7 == 0 else -math.inf if i % 11 == 0 else i / 10 for i in range(300)]
+    df = frame(spark, scores)
+    index = OrderIndex.fit(df, [("s", ascending)], "k", buckets=8)
+    got = index.positions(df, rank="rank").toPandas().set_index("k")
+    want = expected(scores, ascending=ascending)
+    assert (got["rank"].sort_index() == want["rank"].sort_index()).all()
+    present = [s for s in scores if not math.isnan(s)]
+    assert exact_quantiles(df, ["s"], [0.5])["s"][0] == pytest.approx(np.quantile(present, 0.5))
+
+
+def test_edges_are_merged_from_few_sketches(spark):
+    df = frame(spark, skewed(400), partitions=300)
+    edges = quantile_splits(df, [F.col("s"), F.lit(None).cast("double")], 10)
+    assert 0.5 in edges[0].points and edges[1].points == (-math.inf, 0.0, math.inf)
+
+
 def test_a_hot_value_is_split_by_key(spark):
     df = frame(spark, [0.5] * 900 + [i / 1000 for i in range(100)])
     index = OrderIndex.fit(df, [("s", True)], "k", buckets=20)
