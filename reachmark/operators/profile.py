@@ -12,12 +12,6 @@ from pyspark.sql import types as T
 
 from reachmark.operators.ordering import average_ranks, exact_quantiles
 
-# Up to this many columns pairs are aggregate expressions; beyond, matrix products of
-# Arrow batches, which cost less than three aggregates per pair.
-WIDE = 3
-# Rows that tell roughly where the values of a column lie.
-CENTER_ROWS = 1_000
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -156,77 +150,76 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 # -- pairs of columns ---------------------------------------------------------------------
 
 def pair_sums(df: DataFrame, cols: Sequence[str], centers: Sequence[float] | None = None):
-    """Pairwise-complete sums of all column pairs, one small row per pair.
+    """Pairwise-complete sums and ranges of all column pairs, one small row per pair.
 
     Each task adds up matrix products of its Arrow batches; only p x p sums are shuffled.
-    ``centers`` are subtracted first, which keeps the products well scaled; rough ones do.
+    ``centers`` are subtracted first, which keeps the products well scaled. ``x_low`` to
+    ``y_high`` are the ranges over the rows that have both values; NaN counts as missing.
     """
     cols = list(cols)
     p = len(cols)
     shift = np.zeros(p) if centers is None else np.asarray(centers, dtype=float)
     names = ["n", "sx", "sy", "sxy", "sxx", "syy"]
+    ranges = {"x_low": F.min, "y_low": F.min, "x_high": F.max, "y_high": F.max}
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((6, p, p))
+        low, high = np.full((p, p), np.inf), np.full((p, p), -np.inf)
         for pdf in batches:
             raw = pdf.to_numpy(dtype=float, na_value=np.nan) - shift
+            if not len(raw):
+                continue
             there = ~np.isnan(raw)
             x, m = np.where(there, raw, 0.0), there.astype(float)
             sums, squares = x.T @ m, (x * x).T @ m
             total += np.stack([m.T @ m, sums, sums.T, x.T @ x, squares, squares.T])
+            # Columns with the same rows missing share their ranges.
+            patterns, which = np.unique(there, axis=1, return_inverse=True)
+            for g, rows in enumerate(patterns.T):
+                of = which.ravel() == g
+                least = np.where(there[rows], raw[rows], np.inf).min(axis=0, initial=np.inf)
+                most = np.where(there[rows], raw[rows], -np.inf).max(axis=0, initial=-np.inf)
+                low[:, of] = np.minimum(low[:, of], least[:, None])
+                high[:, of] = np.maximum(high[:, of], most[:, None])
         i, j = np.triu_indices(p)
-        yield pd.DataFrame({"i": i, "j": j, **{k: total[s][i, j] for s, k in enumerate(names)}})
+        sides = {"x_low": low[i, j], "y_low": low[j, i], "x_high": high[i, j], "y_high": high[j, i]}
+        yield pd.DataFrame(
+            {"i": i, "j": j, **{k: total[s][i, j] for s, k in enumerate(names)}, **sides}
+        )
 
-    schema = "i int, j int, " + ", ".join(f"{k} double" for k in names)
+    schema = "i int, j int, " + ", ".join(f"{k} double" for k in [*names, *ranges])
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     sums = numbers.mapInPandas(partial, schema).groupBy("i", "j")
-    return sums.agg(*[F.sum(k).alias(k) for k in names])
+    return sums.agg(
+        *[F.sum(k).alias(k) for k in names], *[f(k).alias(k) for k, f in ranges.items()]
+    )
 
 
 def _corr_of_sums() -> Column:
+    """Correlation over the rows that have both values; null when one is constant there."""
     n = F.col("n")
     cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
     vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = n * F.col("syy") - F.col("sy") * F.col("sy")
-    return F.when((vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
-
-
-def _pair_corr(a: str, b: str) -> Column:
-    """Correlation over the rows that have both values; null when one is constant."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    vary = (F.col("x_low") < F.col("x_high")) & (F.col("y_low") < F.col("y_high"))
+    return F.when(vary & (vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str], wide: int = WIDE) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of all pairs ``a`` before ``b``; nulls are skipped pair by pair."""
     cols = list(cols)
     at = F.array(*[F.lit(c) for c in cols])
-    if len(cols) > wide:
-        numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        centers = numbers.limit(CENTER_ROWS).agg(*[F.avg(c) for c in cols]).first()
-        sums = pair_sums(numbers, cols, [m or 0.0 for m in centers]).filter("i < j")
-        return sums.select(
-            F.col("i").alias("a_no"),
-            F.col("j").alias("b_no"),
-            F.get(at, F.col("i")).alias("a"),
-            F.get(at, F.col("j")).alias("b"),
-            _corr_of_sums().alias("corr"),
-        )
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = df.agg(*[_pair_corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    return _long(
-        row,
-        [
-            F.struct(
-                F.lit(i).alias("a_no"),
-                F.lit(j).alias("b_no"),
-                F.lit(cols[i]).alias("a"),
-                F.lit(cols[j]).alias("b"),
-                F.col(f"r_{i}_{j}").alias("corr"),
-            )
-            for i, j in pairs
-        ],
+    numbers = df.select(
+        *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols]
+    )
+    centers = numbers.agg(*[F.avg(c) for c in cols]).first()
+    sums = pair_sums(numbers, cols, [m or 0.0 for m in centers]).filter("i < j")
+    return sums.select(
+        F.col("i").alias("a_no"),
+        F.col("j").alias("b_no"),
+        F.get(at, F.col("i")).alias("a"),
+        F.get(at, F.col("j")).alias("b"),
+        _corr_of_sums().alias("corr"),
     )
 
 

@@ -37,17 +37,25 @@ def test_tail_probabilities():
     assert stats.chi2_tail(0, 3) == 1.0 and stats.t_two_sided(0, 5) == pytest.approx(1.0)
 
 
-def test_correlation_paths_agree(table):
-    cols = ["a", "b", "c", "const"]
+def test_correlation_matches_pandas(table):
+    cols = ["a", "b", "c", "const", "empty"]
     pdf = table.toPandas()
-    narrow = {(r["a"], r["b"]): r["corr"] for r in P.corr_pairs(table, cols, wide=10).collect()}
-    wide = {(r["a"], r["b"]): r["corr"] for r in P.corr_pairs(table, cols, wide=1).collect()}
-    for pair, r in narrow.items():
-        if "const" in pair:
-            assert r is None and wide[pair] is None
+    for r in P.corr_pairs(table, cols).collect():
+        if {"const", "empty"} & {r["a"], r["b"]}:
+            assert r["corr"] is None
         else:
-            want = pdf[pair[0]].corr(pdf[pair[1]])
-            assert r == pytest.approx(want) and wide[pair] == pytest.approx(want)
+            assert r["corr"] == pytest.approx(pdf[r["a"]].corr(pdf[r["b"]]))
+
+
+@pytest.mark.parametrize("more", [0, 8])
+def test_a_column_constant_beside_another_has_no_correlation(spark, more):
+    # x is 0.1 wherever y is present, NaN counts as missing
+    rows = [(0.1 if i % 2 else i * 1.7, float(i) if i % 2 else math.nan) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, y double").repartition(3)
+    df = df.select("*", *[(F.col("x") * n + F.rand(n)).alias(f"z{n}") for n in range(more)])
+    got = {(r["a"], r["b"]): r["corr"] for r in P.corr_pairs(df, df.columns).collect()}
+    assert got["x", "y"] is None
+    assert all(got["x", f"z{n}"] is not None for n in range(more))
 
 
 def test_vif_is_uncentered(table):
