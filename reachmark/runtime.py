@@ -14,10 +14,13 @@ SMALL_TABLE_ROWS = 200_000
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (local runs and tests) is a temporary one made.
+    Only a local session that names none (tests) gets a temporary one. On a cluster that
+    raises, since every executor would write to a disk of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="reachmark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reachmark.operators.select import keep_columns
+from reachmark.runtime import materialize
 
 log = logging.getLogger(__name__)
 
@@ -76,13 +77,13 @@ def write_partitioned(
 ) -> None:
     """Table partitioned by load year and month when both columns exist.
 
-    Rows are first gathered by partition, and by a spread number inside it, so each of
-    them gets a few files and a big month is still written by several tasks.
+    Rows are first gathered by partition and rebalanced by size, so that a small month is
+    one file and a big one is written by as many tasks as it needs.
     """
     writer = df.write
     if partition and set(PARTITION_COLUMNS) <= set(df.columns):
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-        writer = df.repartition(*PARTITION_COLUMNS, spread).write.partitionBy(*PARTITION_COLUMNS)
+        dealt = df.hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
+        writer = dealt.write.partitionBy(*PARTITION_COLUMNS)
     _located(writer.mode("overwrite"), path).saveAsTable(name)
 
 
@@ -94,14 +95,18 @@ def insert_df(df: DataFrame, name: str) -> None:
 
 def copy_into(df: DataFrame, name: str) -> None:
     """Append rows, matching columns by name without case; absent ones become null."""
-    target = df.sparkSession.table(name)
+    _aligned(df, df.sparkSession.table(name).schema).write.insertInto(name)
+
+
+def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` by name without case; absent ones are null."""
     given = {c.lower(): c for c in df.columns}
     cols = []
-    for f in target.schema:
+    for f in schema:
         source = given.get(f.name.lower())
         value = F.col(f"`{source}`") if source else F.lit(None)
         cols.append(value.cast(f.dataType).alias(f.name))
-    df.select(*cols).write.insertInto(name)
+    return df.select(*cols)
 
 
 def copy_file_into(
@@ -133,7 +138,10 @@ def insert_file(
         copy_file_into(spark, name, path, sep=delimiter, header=first_row == 2)
         return
     skip = first_row - 1
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    if len(text.inputFiles()) > 1:
+        raise ValueError(f"{path} is more than one file; give them one by one to skip rows of each")
+    lines = text.select(
         "value",
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
@@ -185,11 +193,13 @@ def archive_table(
     create: bool = True,
     path: str | None = None,
 ) -> int:
-    """Copy rows with literal key columns into an archive partitioned by those keys.
+    """Copy rows with literal key columns into an archive.
 
     Rows already there with the same keys are stale: they are replaced, or with
     ``overwrite_stale`` off only counted and kept. Returns the number of stale rows.
-    A replaced snapshot is one partition overwrite; other keys are never read.
+    In an archive partitioned by the keys, as made here, a replaced snapshot is one partition
+    overwrite, and other keys are never read. An archive of another layout is appended to;
+    to replace rows there, the ones to keep are stored and the table is written again.
     """
     keys = keys or {}
     rows = as_df(spark, table).drop(*ignore)
@@ -205,14 +215,18 @@ def archive_table(
     stale = target.filter(same).count()
     if stale:
         log.warning("%d stale rows in %s%s", stale, archive, "" if overwrite_stale else " are kept")
-    have = {c.lower() for c in rows.columns}
-    plain = [f for f in target.schema if f.name not in keys]
-    cols = [
-        (F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in plain
-    ]
+    parts = {c.name.lower() for c in spark.catalog.listColumns(archive) if c.isPartition}
+    if parts != {k.lower() for k in keys}:
+        if not (stale and overwrite_stale):
+            copy_into(rows, archive)
+            return stale
+        kept = target.filter(~F.coalesce(same, F.lit(False)))
+        whole = materialize(kept.unionByName(_aligned(rows, target.schema)), "archive")
+        whole.write.insertInto(archive, overwrite=True)
+        return stale
+    plain = T.StructType([f for f in target.schema if f.name.lower() not in parts])
     view = f"_archive_{abs(hash((archive, *map(str, keys.values()))))}"
-    rows.select(*cols).createOrReplaceTempView(view)
+    _aligned(rows, plain).createOrReplaceTempView(view)
     verb = "OVERWRITE" if overwrite_stale else "INTO"
     spec = ", ".join(f"`{k}` = :k{i}" for i, k in enumerate(keys))
     spec = f"PARTITION ({spec})" if keys else ""

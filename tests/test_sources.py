@@ -124,6 +124,26 @@ def test_archive_twice(spark, staged, overwrite):
     W.drop_table(spark, name)
 
 
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_archive_of_another_layout(spark, staged, overwrite):
+    name = f"flat_{staged}_{overwrite}".lower()
+    schema = T.StructType([T.StructField("month", T.StringType()), T.StructField("id", T.IntegerType())])
+    W.create_table(spark, name, schema, scratch_path(spark, name))
+    for month in ("m1", "m2", "m1"):
+        stale = W.archive_table(spark, staged, name, {"month": month}, overwrite, ["junk", "v"])
+    assert stale == 2
+    n = 1 if overwrite else 2
+    assert months(spark, name) == {("m1", 1, n), ("m1", 2, n), ("m2", 1, 1), ("m2", 2, 1)}
+    W.drop_table(spark, name)
+
+
+def test_rows_are_skipped_in_one_file_only(spark, staged, tmp_path):
+    for i in range(2):
+        (tmp_path / f"p{i}.txt").write_text("x\ny\n8|h|1\n")
+    with pytest.raises(ValueError):
+        W.insert_file(spark, staged, str(tmp_path), "|", first_row=3)
+
+
 def test_archive_must_exist(spark, staged):
     with pytest.raises(ValueError):
         W.archive_table(spark, staged, "no_archive", {"m": 1}, create=False)
