@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from reachmark.operators.ordering import exact_quantiles
 
-# Up to this many features every order is used, so the attribution is exact.
-EXACT_FEATURES = 4
 CAP_QUANTILE = 0.95
 
 
@@ -44,20 +42,20 @@ def shapley_mc(
     score: Callable[[DataFrame], DataFrame],
     features: Sequence[str],
     key: str,
-    orders: int = 8,
+    orders: int | None = None,
     seed: int = 25,
 ) -> DataFrame:
     """Mean absolute Shapley value per numeric feature of any model.
 
     Every row is scored along feature orders that switch it from the mean row to itself
     one feature at a time; the change at each switch is the feature's share. All rows
-    take part. Up to four features all orders are used and the result is exact; beyond,
-    ``orders`` random ones, the same for every row.
+    take part. With ``orders`` None all orders are used and the result is exact, at the cost
+    of every subset of the features; a number draws that many, the same for every row.
     ``score`` adds ``proba`` and keeps other columns.
     """
     features = list(features)
     means = _means(df, features)
-    if len(features) <= EXACT_FEATURES:
+    if orders is None:
         paths = [list(p) for p in all_orders(features)]
     else:
         rng = random.Random(seed)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import math
 import random
 import uuid
 from collections.abc import Sequence
@@ -66,6 +67,17 @@ SPACES = {
 }
 
 
+# What each family takes; other parameters are refused, not ignored.
+COLUMN_SHARES = ("colsample", "colsample_bytree", "colsample_bylevel")
+_ROWS = {"seed", "scale_pos_weight", "pos_bagging_fraction", "neg_bagging_fraction"}
+_TREES = {"n_estimators", "max_depth", "subsample", "min_child_samples", "min_child_weight", "gamma", *COLUMN_SHARES}
+PARAMETERS = {
+    "gbt": _ROWS | _TREES | {"learning_rate"},
+    "rf": _ROWS | _TREES,
+    "lr": _ROWS | {"reg_lambda", "elastic_net", "max_iter"},
+}
+
+
 class InsufficientRecordsError(ValueError):
     pass
 
@@ -130,6 +142,10 @@ def _typed(df: DataFrame, spec: ModelSpec) -> DataFrame:
 
 
 def _estimator(family: str, params: dict, categories: int):
+    if family not in PARAMETERS:
+        raise ValueError(f"unknown family: {family}")
+    if unknown := sorted(set(params) - PARAMETERS[family]):
+        raise ValueError(f"{family} has no parameter {', '.join(unknown)}")
     seed = int(params.get("seed", SEED))
     common = {"labelCol": "_label", "weightCol": "_weight", "featuresCol": "features"}
     if family == "lr":
@@ -139,10 +155,12 @@ def _estimator(family: str, params: dict, categories: int):
             maxIter=int(params.get("max_iter", 50)),
             **common,
         )
+    # MLlib draws features once per split; shares per tree and per level are drawn there, too.
+    features = math.prod(float(params.get(k, 1.0)) for k in COLUMN_SHARES)
     tree = {
         "maxDepth": int(params.get("max_depth", 4)),
         "subsamplingRate": min(1.0, max(0.05, float(params.get("subsample", 1.0)))),
-        "featureSubsetStrategy": str(min(1.0, max(0.05, float(params.get("colsample", 1.0))))),
+        "featureSubsetStrategy": str(min(1.0, max(0.05, features))),
         "minInstancesPerNode": max(1, int(params.get("min_child_samples", 1))),
         "minWeightFractionPerNode": min(0.49, float(params.get("min_child_weight", 0.0))),
         "minInfoGain": float(params.get("gamma", 0.0)),
@@ -158,9 +176,7 @@ def _estimator(family: str, params: dict, categories: int):
             validationTol=0.0,  # go on as long as the validation rows gain at all
             **tree,
         )
-    if family == "rf":
-        return RandomForestClassifier(numTrees=int(params.get("n_estimators", 20)), **tree)
-    raise ValueError(f"unknown family: {family}")
+    return RandomForestClassifier(numTrees=int(params.get("n_estimators", 20)), **tree)
 
 
 def with_training_columns(df: DataFrame, spec: ModelSpec, params: dict, validation: float = 0.1):
@@ -202,15 +218,18 @@ class Fitted:
         return scored.select(*[scored[c] for c in df.columns if c != name], proba)
 
 
+def _categories(features: PipelineModel) -> int:
+    """Values of the widest categorical column."""
+    listed = [x for s in features.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
+    return max(map(len, listed), default=0)
+
+
 def fit_family(df: DataFrame, spec: ModelSpec, family: str, params: dict | None = None) -> Fitted:
     """Fit one family on training rows."""
     params = params or {}
     rows = with_training_columns(df, spec, params)
     features = Pipeline(stages=_feature_stages(spec, one_hot=family == "lr")).fit(rows)
-    categories = 0
-    for stage in features.stages:
-        if hasattr(stage, "labelsArray"):
-            categories = max(len(x) for x in stage.labelsArray)
+    categories = _categories(features)
     if categories > MAX_CATEGORIES and family != "lr":
         raise ValueError(f"a column has {categories} categories; encode it by weight of evidence")
     model = _estimator(family, params, categories).fit(features.transform(rows))
@@ -287,10 +306,12 @@ class Search:
         )
         rows = with_training_columns(folded, self.spec, params)
         stages = _feature_stages(self.spec, one_hot=family == "lr")
+        # The folds are fitted with the estimator that a refit on all of them uses.
+        found = _categories(Pipeline(stages=stages).fit(rows)) if self.spec.categorical else 0
         cv = CrossValidator(
-            estimator=Pipeline(stages=[*stages, _estimator(family, params, MAX_CATEGORIES)]),
+            estimator=Pipeline(stages=[*stages, _estimator(family, params, found)]),
             estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=BinaryClassificationEvaluator(labelCol="_label"),
+            evaluator=BinaryClassificationEvaluator(labelCol="_label", weightCol="_weight"),
             numFolds=self.kfolds,
             foldCol="fold",
             parallelism=self.kfolds,

@@ -194,15 +194,20 @@ def test_lemmas_keep_order_and_cache(spark):
     assert {tuple(r) for r in stored.collect()} == {("shops", "kept"), ("red shops red", "red shop red")}
 
 
-def test_text_classifier_paths(spark, monkeypatch):
+def test_unknown_parameters_are_refused(spark, rows):
+    df = L.validate_input(rows, SPEC)
+    for family, name in (("gbt", "reg_lambda"), ("rf", "bagging_temperature"), ("lr", "max_depth")):
+        with pytest.raises(ValueError, match=name):
+            L.fit_family(df, SPEC, family, {name: 1})
+
+
+def test_text_classifier_widths(spark):
     rows = [(i, "good fine shop" if i % 2 else "bad sad shop", i % 2) for i in range(60)]
     df = spark.createDataFrame([*rows, (99, "unlabelled", None)], "k int, t string, y int")
-    model = N.fit_text_classifier(df, "t", "y")
-    got = N.classify_text(model, df, "t")
-    assert got.filter("y is not null and y <> predicted").count() == 0
-    monkeypatch.setattr(N, "MAX_VOCABULARY", 4)
-    hashed = N.fit_text_classifier(df, "t", "y")
-    assert N.classify_text(hashed, df, "t").filter("y is not null and y <> predicted").count() == 0
+    for width in (8, 1 << 18):
+        model = N.fit_text_classifier(df, "t", "y", width=width)
+        got = N.classify_text(model, df, "t")
+        assert got.filter("y is not null and y <> predicted").count() == 0
     with pytest.raises(ValueError):
         N.fit_text_classifier(df.limit(5), "t", "y")
 
