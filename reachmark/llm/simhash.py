@@ -207,6 +207,9 @@ def near_duplicates(
 # ---- groups of similar texts ------------------------------------------------------------
 
 SKETCH = 256
+#: Texts in a block of a family; every two blocks of one family meet in one task.
+BLOCK = 4096
+_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _described(text: bytes, shingle: int, seeds: int) -> tuple[list[int], bytes]:
@@ -236,6 +239,44 @@ def resemblance(a: bytes, b: bytes) -> float:
     return float((np.isin(union, x) & np.isin(union, y)).mean()) if len(union) else 1.0
 
 
+def resemblances(x: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``resemblance`` of the sketch ``x`` and every row, of which the first ``sizes`` hashes count."""
+    own = np.arange(rows.shape[1]) < sizes[:, None]
+    if not len(x):
+        return (sizes == 0).astype(float)
+    common = own & (x[np.minimum(np.searchsorted(x, rows), len(x) - 1)] == rows)
+    union = np.minimum(len(x) + sizes - common.sum(axis=1), SKETCH)
+    both = np.concatenate((np.broadcast_to(x, (len(rows), len(x))), np.where(own & ~common, rows, _LAST)), axis=1)
+    top = np.partition(both, SKETCH - 1, axis=1)[:, SKETCH - 1 : SKETCH] if both.shape[1] > SKETCH else _LAST
+    return (common & (rows <= top)).sum(axis=1) / union
+
+
+def close_texts(prints: np.ndarray, sketches: list[bytes], least: float, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (left, right) of links that connect exactly those texts that all links connect.
+
+    A link has fingerprints of one column at most ``distance`` bits apart and a resemblance of
+    ``least``. Texts are reached from one another: each is compared with those not reached yet,
+    so texts around one centre take few passes.
+    """
+    sizes = np.array(list(map(len, sketches)), np.int64) // 8
+    table = np.full((len(sketches), SKETCH), _LAST)
+    for row, raw in zip(table, sketches, strict=True):
+        row[: len(raw) // 8] = np.frombuffer(raw, "<u8")
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    new = np.arange(len(sketches))
+    while len(new):
+        reached, new = [int(new[0])], new[1:]
+        while reached and len(new):
+            i = reached.pop()
+            at = np.flatnonzero((np.bitwise_count(prints[new] ^ prints[i]) <= distance).any(axis=1))
+            at = at[resemblances(table[i, : sizes[i]], table[new[at]], sizes[new[at]]) >= least]
+            left.append(np.full(len(at), i))
+            right.append(new[at])
+            reached += new[at].tolist()
+            new = np.delete(new, at)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def similar_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8, distance: int = 5, seeds: int = 3
 ) -> DataFrame:
@@ -246,6 +287,11 @@ def similar_groups(
     distances; they link if their shingles do resemble that much. The fingerprints are of
     distinct words: a changed word changes one of them, but ``shingle`` shingles. Texts without
     words are one group. Null keys are never a component's key unless the group has no other.
+
+    Cells of up to eight texts give their pairs. A larger cell gives a forest over its close
+    fingerprints, and what such forests connect is a family: there texts are compared until all
+    that are linked are connected, in blocks of ``BLOCK`` texts, so no link is lost and neither
+    all pairs nor a whole family meet in one task.
     """
     pivots = Pivots(blocks=distance + 3)
     src = docs.select(
@@ -295,6 +341,7 @@ def similar_groups(
             near = np.bitwise_count((fp[a] ^ fp[a + gap]).view(np.uint64)) <= distance
             src.append(t[a][near])
             dst.append(t[a + gap][near])
+        few = sum(map(len, src))
         for a, b in zip(starts[size > 8].tolist(), ends[size > 8].tolist(), strict=True):
             own, first, at = np.unique(fp[a:b], return_index=True, return_inverse=True)
             x, y = close_links(own, pivots, distance)
@@ -302,23 +349,44 @@ def similar_groups(
             src += [np.array([name[v] for v in x.tolist()], np.int64), t[a:b][first][at]]
             dst += [np.array([name[v] for v in y.tolist()], np.int64), t[a:b]]
         s, d = np.concatenate(src), np.concatenate(dst)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(s, d)[s != d]), pa.array(np.maximum(s, d)[s != d])], ["src", "dst"])
+        out = (np.minimum(s, d), np.maximum(s, d), np.arange(len(s)) >= few)
+        return pa.RecordBatch.from_arrays([pa.array(v[s != d]) for v in out], ["src", "dst", "dense"])
 
     dealt = items.select("t", "fp").mapInArrow(lambda b: map(spread, (x for x in b if x.num_rows)), "cell bigint, fp bigint, t bigint")
-    pairs = dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(runs, "src bigint, dst bigint").distinct()
-    pairs = materialize(pairs, "pairs")
+    pairs = dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(runs, "src bigint, dst bigint, dense boolean")
+    pairs = materialize(pairs.groupBy("src", "dst").agg(F.max("dense").alias("dense")), "pairs")
     met = pairs.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
-    sketches = materialize(rows.select("t", "sketch").join(met, "t", "left_semi").groupBy("t").agg(F.first("sketch").alias("sketch")), "sketches")
-    both = pairs.join(sketches.withColumnsRenamed({"t": "src", "sketch": "x"}), "src").join(
-        sketches.withColumnsRenamed({"t": "dst", "sketch": "y"}), "dst"
+    sketches = rows.select("t", "fp", "sketch").join(met, "t", "left_semi").groupBy("t").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
+    sketches = materialize(sketches, "sketches")
+    side = sketches.select("t", "sketch")
+    both = pairs.where("NOT dense").join(side.withColumnsRenamed({"t": "src", "sketch": "x"}), "src").join(
+        side.withColumnsRenamed({"t": "dst", "sketch": "y"}), "dst"
+    )
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.sort_by("t")
+        t = table.column("t").to_numpy()
+        prints = np.array(table.column("fp").to_pylist(), np.int64).reshape(len(t), seeds).view(np.uint64)
+        a, b = close_texts(prints, table.column("sketch").to_pylist(), least, distance)
+        return pa.Table.from_pydict({"src": t[a], "dst": t[b]})
+
+    family = components(pairs.where("dense").select("src", "dst")).withColumnsRenamed({"node": "t", "component": "family"})
+    family = materialize(family, "families")
+    blocks = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    meets = F.expr(
+        "explode(transform(filter(sequence(0, blocks - 1), o -> o <> block OR blocks = 1),"
+        " o -> struct(least(block, o) AS x, greatest(block, o) AS y)))"
     )
+    placed = sketches.join(family, "t").join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("t"), "blocks").cast("int"))
+    placed = placed.select("t", "fp", "sketch", "family", meets.alias("p")).select("t", "fp", "sketch", "family", "p.x", "p.y")
+    dense = placed.groupBy("family", "x", "y").applyInArrow(meet, "src bigint, dst bigint")
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
         ok = [resemblance(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         return batch.select(["src", "dst"]).filter(pa.array(ok, pa.bool_()))
 
     good = map_arrow(both.select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
-    found = components(good).withColumnsRenamed({"node": "t", "component": "group"})
+    found = components(materialize(good.unionByName(dense), "links")).withColumnsRenamed({"node": "t", "component": "group"})
     member = materialize(items.select("t", "low").join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
     low = member.groupBy("group").agg(F.min("low").alias("component"))
     return rows.select(KEY, "t").join(member.join(low, "group").select("t", "group", "component"), "t")

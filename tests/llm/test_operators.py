@@ -195,6 +195,43 @@ def test_similar_groups_keep_one_each(docs, rows, empty):
     assert simhash.keep_one(docs).columns == docs.columns and simhash.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [4096, 16])
+def test_copies_that_only_resemble_their_origin_are_one_group(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(240)]
+
+    def copy():
+        out = list(words)
+        for k in rng.sample(range(20, 220, 12), 4):
+            out[k] = "".join(rng.choice("klmnop") for _ in range(7))
+        return " ".join(out)
+
+    data = [(i, copy()) for i in range(1, 60)] + [(0, " ".join(words)), (60, "quite another text of few words"), (61, " ".join(words[:5])), (62, " ")]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()}
+    assert kept == {0, 60, 61, 62}
+
+
+def test_reached_texts_match_all_pairs():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 1 << 63, 700).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool[k % 3 * 40 : k % 3 * 40 + n], n - 8, replace=False)) for k, n in enumerate([90, 100, 110, 400, 420, 12] * 8)]
+    sketches = [s[: simhash.SKETCH].astype("<u8").tobytes() for s in sets] + [b"", b""]
+    prints = rng.integers(0, 4, (len(sketches), 2)).astype(np.uint64)
+    rows = np.full((len(sketches), simhash.SKETCH), 2**64 - 1, np.uint64)
+    for row, s in zip(rows, sketches):
+        row[: len(s) // 8] = np.frombuffer(s, "<u8")
+    sizes = np.array([len(s) // 8 for s in sketches])
+    for i, s in enumerate(sketches):
+        assert np.allclose(simhash.resemblances(rows[i, : sizes[i]], rows, sizes), [simhash.resemblance(s, z) for z in sketches])
+    near = lambda i, j: simhash.resemblance(sketches[i], sketches[j]) >= 0.8 and any(int(p ^ q).bit_count() <= 1 for p, q in zip(prints[i], prints[j]))
+    a, b = simhash.close_texts(prints, sketches, 0.8, 1)
+    linked = set(zip(a.tolist(), b.tolist()))
+    ids = list(range(len(sketches)))
+    assert all(near(i, j) for i, j in linked)
+    assert groups(ids, lambda i, j: (i, j) in linked or (j, i) in linked) == groups(ids, near)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "src long, dst long")).collect()}
