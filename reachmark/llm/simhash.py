@@ -262,6 +262,9 @@ def close_texts(prints: np.ndarray, sketches: list[bytes], least: float, distanc
     table = np.full((len(sketches), SKETCH), _LAST)
     for row, raw in zip(table, sketches, strict=True):
         row[: len(raw) // 8] = np.frombuffer(raw, "<u8")
+    values, number = np.unique(table, return_inverse=True)
+    number = number.reshape(table.shape).astype(np.int32)
+    mine = np.zeros(len(values), bool)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     new = np.arange(len(sketches))
     while len(new):
@@ -269,6 +272,11 @@ def close_texts(prints: np.ndarray, sketches: list[bytes], least: float, distanc
         while reached and len(new):
             i = reached.pop()
             at = np.flatnonzero((np.bitwise_count(prints[new] ^ prints[i]) <= distance).any(axis=1))
+            own = number[i, : sizes[i]]
+            mine[own] = True
+            common = mine[number[new[at]]].sum(axis=1)  # at least what the resemblance counts
+            mine[own] = False
+            at = at[common >= least * np.minimum(SKETCH, sizes[i] + sizes[new[at]] - common)]
             at = at[resemblances(table[i, : sizes[i]], table[new[at]], sizes[new[at]]) >= least]
             left.append(np.full(len(at), i))
             right.append(new[at])
