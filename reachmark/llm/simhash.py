@@ -206,187 +206,268 @@ def near_duplicates(
 
 # ---- groups of similar texts ------------------------------------------------------------
 
-SKETCH = 256
-#: Texts in a block of a family; every two blocks of one family meet in one task.
-BLOCK = 4096
-_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
-def _described(text: bytes, shingle: int, seeds: int) -> tuple[list[int], bytes]:
-    """A SimHash of the distinct words per seed, and the least ``SKETCH`` hashes of the shingles."""
+#: Texts in a block of a family, and the shingles per text it is laid out for; every two blocks
+#: of one family meet in one task.
+BLOCK, SKETCH = 4096, 256
+#: Shingles that are counted to tell common ones, and common ones that every task knows.
+COUNTED, COMMON = 16_000_000, 500_000
+#: A shingle of more texts than this is never gathered in one task.
+GATHERED = 4096
+#: Cells of up to so many texts give pairs, larger ones a forest.
+PAIRED = 32
+WORDS = 4  # of 64 bits, in a parity bitmap
+
+
+def _shingles(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes of a text in order."""
     words = text.lower().split()
     if not words:
-        return [0] * seeds, b""
+        return np.zeros(0, np.uint64)
     number: dict[bytes, int] = {}
     put = number.setdefault
     at = np.array([put(w, len(number)) for w in words])
     h = np.array([xxhash.xxh64_intdigest(w, SEED) for w in number], np.uint64)
-    prints = []
-    for seed in range(seeds):
-        bits = np.unpackbits(mix64(h, seed).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        prints.append(int.from_bytes(np.packbits(2 * bits.sum(0) > len(h), bitorder="little").tobytes(), "little"))
     n = max(1, len(words) - shingle + 1)
     grams = h[at[:n]]
     for k in range(1, min(shingle, len(words))):
         grams = mix64(grams, h[at[k : k + n]])
-    return prints, np.unique(grams)[:SKETCH].astype("<u8").tobytes()
+    return np.unique(grams)
+
+
+def parities(grams: np.ndarray) -> np.ndarray:
+    """``WORDS`` x 64 bits, each the parity of the hashes that fall on it. The bitmaps of two sets
+    differ in no more bits than the sets differ in members."""
+    bits = np.bincount((grams >> np.uint64(32)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def may_link(n: np.ndarray, bits: np.ndarray, m: np.ndarray, other: np.ndarray, least: float) -> np.ndarray:
+    """False only for sets of sizes ``n`` and ``m`` that cannot share ``least`` of their members."""
+    ok = np.minimum(n, m) >= least * np.maximum(n, m) - 1e-6
+    differ = np.bitwise_count(bits ^ other).sum(axis=-1, dtype=np.int64)
+    return ok & (differ * (1 + least) <= (1 - least) * (n + m) + 1e-6)
 
 
 def resemblance(a: bytes, b: bytes) -> float:
-    """Share of common shingles, from the least hashes of both; exact where those are all."""
+    """Share of common members of two sets of hashes, each distinct and in order."""
     x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    union = np.union1d(x, y)[:SKETCH]
-    return float((np.isin(union, x) & np.isin(union, y)).mean()) if len(union) else 1.0
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    union = len(x) + len(y) - common
+    return common / union if union else 1.0
 
 
 def resemblances(x: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``resemblance`` of the sketch ``x`` and every row, of which the first ``sizes`` hashes count."""
+    """``resemblance`` of the set ``x`` and every row, of which the first ``sizes`` hashes count."""
     own = np.arange(rows.shape[1]) < sizes[:, None]
-    if not len(x):
-        return (sizes == 0).astype(float)
-    common = own & (x[np.minimum(np.searchsorted(x, rows), len(x) - 1)] == rows)
-    union = np.minimum(len(x) + sizes - common.sum(axis=1), SKETCH)
-    both = np.concatenate((np.broadcast_to(x, (len(rows), len(x))), np.where(own & ~common, rows, _LAST)), axis=1)
-    top = np.partition(both, SKETCH - 1, axis=1)[:, SKETCH - 1 : SKETCH] if both.shape[1] > SKETCH else _LAST
-    return (common & (rows <= top)).sum(axis=1) / union
+    common = (own & np.isin(rows, x)).sum(axis=1)
+    union = len(x) + sizes - common
+    return np.where(union > 0, common / np.maximum(union, 1), 1.0)
 
 
-def close_texts(prints: np.ndarray, sketches: list[bytes], least: float, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def close_texts(prints: np.ndarray | None, sets: list[bytes], least: float, distance: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Places (left, right) of links that connect exactly those texts that all links connect.
 
-    A link has fingerprints of one column at most ``distance`` bits apart and a resemblance of
-    ``least``. Texts are reached from one another: each is compared with those not reached yet,
-    so texts around one centre take few passes.
+    A link has a resemblance of ``least`` and, where there are ``prints``, fingerprints of one
+    column at most ``distance`` bits apart. Texts are reached from one another: each is compared,
+    over the lists of texts per shingle, with those not reached yet, so texts around one centre
+    take few passes.
     """
-    sizes = np.array(list(map(len, sketches)), np.int64) // 8
-    table = np.full((len(sketches), SKETCH), _LAST)
-    for row, raw in zip(table, sketches, strict=True):
-        row[: len(raw) // 8] = np.frombuffer(raw, "<u8")
-    values, number = np.unique(table, return_inverse=True)
-    number = number.reshape(table.shape).astype(np.int32)
-    mine = np.zeros(len(values), bool)
+    sizes = np.array(list(map(len, sets)), np.int64) // 8
+    ends = np.cumsum(sizes)
+    values, number = np.unique(np.frombuffer(b"".join(sets), "<u8"), return_inverse=True)
+    lists = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[np.argsort(number, kind="stable")]
+    lengths = np.bincount(number, minlength=len(values))
+    first = np.cumsum(lengths) - lengths
+    free = np.ones(len(sets), bool)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    new = np.arange(len(sketches))
+    for start in range(len(sets)):
+        reached = [start] if free[start] else []
+        free[start] = False
+        while reached:
+            i = reached.pop()
+            own = number[ends[i] - sizes[i] : ends[i]]
+            k = lengths[own]
+            places = np.arange(k.sum()) + np.repeat(first[own] - (np.cumsum(k) - k), k)
+            common = np.bincount(lists[places], minlength=len(sets))
+            union = sizes[i] + sizes - common
+            ok = free & (np.where(union > 0, common / np.maximum(union, 1), 1.0) >= least)
+            if prints is not None:
+                ok &= (np.bitwise_count(prints ^ prints[i]) <= distance).any(axis=1)
+            at = np.flatnonzero(ok)
+            left.append(np.full(len(at), i))
+            right.append(at)
+            reached += at.tolist()
+            free[at] = False
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _cell_links(n: np.ndarray, bits: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """A forest of what ``may_link`` connects."""
+    new = np.arange(len(n))
+    left, right = [], []
     while len(new):
         reached, new = [int(new[0])], new[1:]
         while reached and len(new):
             i = reached.pop()
-            at = np.flatnonzero((np.bitwise_count(prints[new] ^ prints[i]) <= distance).any(axis=1))
-            own = number[i, : sizes[i]]
-            mine[own] = True
-            common = mine[number[new[at]]].sum(axis=1)  # at least what the resemblance counts
-            mine[own] = False
-            at = at[common >= least * np.minimum(SKETCH, sizes[i] + sizes[new[at]] - common)]
-            at = at[resemblances(table[i, : sizes[i]], table[new[at]], sizes[new[at]]) >= least]
-            left.append(np.full(len(at), i))
-            right.append(new[at])
-            reached += new[at].tolist()
-            new = np.delete(new, at)
-    return np.concatenate(left), np.concatenate(right)
+            ok = may_link(n[i], bits[i], n[new], bits[new], least)
+            at = new[ok].tolist()
+            left += [i] * len(at)
+            right += at
+            reached += at
+            new = new[~ok]
+    return left, right
 
 
-def similar_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8, distance: int = 5, seeds: int = 3
-) -> DataFrame:
+def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of common shingles in order, their counts, and of how many texts one was counted.
+
+    Counts only steer the work: any order of shingles finds the same links.
+    """
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    every = max(1, -(-total // COUNTED))
+
+    def flat(batch: pa.RecordBatch) -> pa.RecordBatch:
+        h = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")
+        return pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
+
+    some = sets.where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0).select("grams")
+    counts = materialize(map_arrow(some, flat, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
+    cut, held = 2, 0
+    for c, k in sorted(((r.c, r.k) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
+        held += k
+        if held > COMMON:
+            cut = c + 1
+            break
+    found = counts.where(F.col("c") >= cut).toArrow()
+    h, c = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
+    order = np.argsort(h)
+    return h[order], c[order], every
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """``_key, t, group, component``: groups of rows whose texts share ``least`` of their shingles or more.
 
-    ``component`` is the smallest key of the group, ``t`` a number of the text. Candidates are
-    texts with a SimHash, of one of ``seeds``, at most ``distance`` bits apart, found over pivot
-    distances; they link if their shingles do resemble that much. The fingerprints are of
-    distinct words: a changed word changes one of them, but ``shingle`` shingles. Texts without
-    words are one group. Null keys are never a component's key unless the group has no other.
+    ``component`` is the smallest key of the group, ``t`` a number of the text. Null keys are
+    never a component's key unless the group has no other. Texts without words are one group.
+
+    Links are those of the whole sets of shingle hashes, and none is left out. In one order of
+    all shingles, rare ones first, two sets of sizes n that share ``least`` have one of their first
+    n - ceil(least n) + 1 shingles in common. Texts meet in the cells of these. Sizes and parity
+    bitmaps drop only pairs that cannot link; the others are verified on the whole sets.
 
-    Cells of up to eight texts give their pairs. A larger cell gives a forest over its close
-    fingerprints, and what such forests connect is a family: there texts are compared until all
-    that are linked are connected, in blocks of ``BLOCK`` texts, so no link is lost and neither
-    all pairs nor a whole family meet in one task.
+    Cells of up to ``PAIRED`` texts give their pairs. Larger ones give a forest of pairs not
+    dropped, and shingles known to be in more than ``GATHERED`` texts a star without being
+    gathered. What these connect is a family: there texts are compared until all that are linked
+    are connected, in blocks, so neither all pairs nor a whole family meet in one task. That is
+    quadratic in a family only where its texts do not link.
     """
-    pivots = Pivots(blocks=distance + 3)
     src = docs.select(
         F.col(f"`{key}`").alias(KEY), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(TEXT)
     ).select(KEY, TEXT, F.xxhash64(TEXT).alias("t"))
     kind = src.schema[KEY].dataType.simpleString()
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [_described(t, shingle, seeds) for t in byte_rows(batch.column(1))]
-        prints = np.array([f[0] for f in found], np.uint64).view(np.int64).tolist()
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(prints, pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.binary())],
-            [KEY, "t", "fp", "sketch"],
-        )
-
-    rows = materialize(map_arrow(src, describe, f"{KEY} {kind}, t bigint, fp array<bigint>, sketch binary"), "described")
-    items = materialize(rows.groupBy("t").agg(F.min(KEY).alias("low"), F.first("fp").alias("fp")), "items")
-
-    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        t = batch.column(0).to_numpy(zero_copy_only=False)
-        prints = np.array(batch.column(1).to_pylist(), np.int64).reshape(len(t), seeds)
-        out: list[list[np.ndarray]] = [[], [], []]
-        for seed in range(seeds):
-            fp = np.ascontiguousarray(prints[:, seed])
-            for cell in pivots.cells(pivots.table(fp.view(np.uint64)), distance):
-                for o, v in zip(out, (mix64(cell, seed).view(np.int64), fp, t), strict=True):
-                    o.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["cell", "fp", "t"])
+        sets = [_shingles(t, shingle) for t in byte_rows(batch.column(2))]
+        raw = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(map(len, sets)), pa.int32()), raw], ["t", "low", "n", "grams"])
+
+    once = src.groupBy("t").agg(F.min(KEY).alias("low"), F.first(TEXT).alias(TEXT))
+    items = materialize(map_arrow(once, describe, f"t bigint, low {kind}, n int, grams binary"), "items")
+    common, counts, every = common_shingles(items)
+    fields = ["h", "t", "n", *(f"b{k}" for k in range(WORDS))]
+    schema = "h bigint, t bigint, n int, " + ", ".join(f"b{k} bigint" for k in range(WORDS))
+
+    def spread(hot: bool):
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            t, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            heads, bits = [], []
+            for raw in batch.column(2).to_pylist():
+                g = np.frombuffer(raw, "<u8")
+                rank = np.zeros(len(g), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, g), len(common) - 1)
+                    rank = np.where(common[at] == g, counts[at], 0)
+                head = np.argsort(rank, kind="stable")[: len(g) - int(np.ceil(least * len(g) - 1e-6)) + 1]
+                heads.append(g[head[(rank[head] * every > GATHERED) == hot]] if len(g) else np.zeros(0 if hot else 1, np.uint64))
+                bits.append(parities(g))
+            k = np.array(list(map(len, heads)))
+            table = np.repeat(np.stack(bits).view(np.int64), k, axis=0)
+            cols = [np.concatenate(heads).astype(np.uint64).view(np.int64), np.repeat(t, k), np.repeat(n, k), *table.T]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], fields)
+
+        return map_arrow(items.select("t", "n", "grams"), run, schema)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64)] * 3
+        parts: list[pa.RecordBatch] = []
         for batch in batches:
-            rest = [np.concatenate((r, c.to_numpy(zero_copy_only=False))) for r, c in zip(rest, batch.columns, strict=True)]
-            if len(rest[0]):
-                last = np.searchsorted(rest[0], rest[0][-1])
-                yield links(*(r[:last] for r in rest))
-                rest = [r[last:] for r in rest]
-        yield links(*rest)
-
-    def links(cell, fp, t) -> pa.RecordBatch:
+            if not batch.num_rows:
+                continue
+            h = batch.column(0).to_numpy()
+            last = np.searchsorted(h, h[-1])
+            if last or (parts and parts[-1].column(0)[-1].as_py() != h[0]):  # the last run may go on
+                yield links([*parts, batch.slice(0, last)])
+                parts = [batch.slice(last)]
+            else:
+                parts.append(batch)
+        if parts:
+            yield links(parts)
+
+    def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        cell, t, n, *words = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in range(3 + WORDS))
+        bits = np.stack(words, axis=1).view(np.uint64)
+        n = n.astype(np.int64)
         edge = np.flatnonzero(np.diff(cell)) + 1
         starts, ends = np.concatenate(([0], edge)), np.append(edge, len(cell))
         size = ends - starts
+        some = np.repeat(np.where(size <= PAIRED, ends, 0), size)  # where the cell of a row ends
         src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for gap in range(1, 8):  # all pairs of the runs of up to eight
-            a = np.concatenate([starts[(size <= 8) & (size > gap + k)] + k for k in range(8 - gap)])
-            near = np.bitwise_count((fp[a] ^ fp[a + gap]).view(np.uint64)) <= distance
-            src.append(t[a][near])
-            dst.append(t[a + gap][near])
+        for gap in range(1, min(PAIRED, len(cell))):
+            a = np.flatnonzero(np.arange(len(cell)) + gap < some)
+            if not len(a):
+                break
+            for k in range(0, len(a), 1 << 18):
+                x = a[k : k + (1 << 18)]
+                x = x[may_link(n[x], bits[x], n[x + gap], bits[x + gap], least)]
+                src.append(t[x])
+                dst.append(t[x + gap])
         few = sum(map(len, src))
-        for a, b in zip(starts[size > 8].tolist(), ends[size > 8].tolist(), strict=True):
-            own, first, at = np.unique(fp[a:b], return_index=True, return_inverse=True)
-            x, y = close_links(own, pivots, distance)
-            name = dict(zip(own.tolist(), t[a:b][first].tolist(), strict=True))
-            src += [np.array([name[v] for v in x.tolist()], np.int64), t[a:b][first][at]]
-            dst += [np.array([name[v] for v in y.tolist()], np.int64), t[a:b]]
+        for a, b in zip(starts[size > PAIRED].tolist(), ends[size > PAIRED].tolist(), strict=True):
+            x, y = _cell_links(n[a:b], bits[a:b], least)
+            src.append(t[a:b][np.array(x, int)])
+            dst.append(t[a:b][np.array(y, int)])
         s, d = np.concatenate(src), np.concatenate(dst)
         out = (np.minimum(s, d), np.maximum(s, d), np.arange(len(s)) >= few)
         return pa.RecordBatch.from_arrays([pa.array(v[s != d]) for v in out], ["src", "dst", "dense"])
 
-    dealt = items.select("t", "fp").mapInArrow(lambda b: map(spread, (x for x in b if x.num_rows)), "cell bigint, fp bigint, t bigint")
-    pairs = dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(runs, "src bigint, dst bigint, dense boolean")
+    cells = spread(False).repartition("h").sortWithinPartitions("h")
+    pairs = cells.mapInArrow(runs, "src bigint, dst bigint, dense boolean")
+    if len(counts) and int(counts.max()) * every > GATHERED:
+        hot = materialize(spread(True).select("h", "t"), "hot")
+        centre = F.broadcast(hot.groupBy("h").agg(F.min("t").alias("src")))  # COMMON rows at most
+        stars = hot.join(centre, "h").where("src <> t").select("src", F.col("t").alias("dst"), F.lit(True).alias("dense"))
+        pairs = pairs.unionByName(stars)
     pairs = materialize(pairs.groupBy("src", "dst").agg(F.max("dense").alias("dense")), "pairs")
-    met = pairs.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
-    sketches = rows.select("t", "fp", "sketch").join(met, "t", "left_semi").groupBy("t").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
-    sketches = materialize(sketches, "sketches")
-    side = sketches.select("t", "sketch")
-    both = pairs.where("NOT dense").join(side.withColumnsRenamed({"t": "src", "sketch": "x"}), "src").join(
-        side.withColumnsRenamed({"t": "dst", "sketch": "y"}), "dst"
+    side = items.select("t", "grams")
+    both = pairs.where("NOT dense").join(side.withColumnsRenamed({"t": "src", "grams": "x"}), "src").join(
+        side.withColumnsRenamed({"t": "dst", "grams": "y"}), "dst"
     )
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.sort_by("t")
         t = table.column("t").to_numpy()
-        prints = np.array(table.column("fp").to_pylist(), np.int64).reshape(len(t), seeds).view(np.uint64)
-        a, b = close_texts(prints, table.column("sketch").to_pylist(), least, distance)
+        a, b = close_texts(None, table.column("grams").to_pylist(), least)
         return pa.Table.from_pydict({"src": t[a], "dst": t[b]})
 
     family = components(pairs.where("dense").select("src", "dst")).withColumnsRenamed({"node": "t", "component": "family"})
-    family = materialize(family, "families")
-    blocks = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    family = materialize(family.join(items.select("t", "n"), "t"), "families")
+    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / (BLOCK * SKETCH))
+    blocks = family.groupBy("family").agg(F.ceil(most).cast("int").alias("blocks"))
     meets = F.expr(
         "explode(transform(filter(sequence(0, blocks - 1), o -> o <> block OR blocks = 1),"
         " o -> struct(least(block, o) AS x, greatest(block, o) AS y)))"
     )
-    placed = sketches.join(family, "t").join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("t"), "blocks").cast("int"))
-    placed = placed.select("t", "fp", "sketch", "family", meets.alias("p")).select("t", "fp", "sketch", "family", "p.x", "p.y")
+    placed = side.join(family, "t").join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("t"), "blocks").cast("int"))
+    placed = placed.select("t", "grams", "family", meets.alias("p")).select("t", "grams", "family", "p.x", "p.y")
     dense = placed.groupBy("family", "x", "y").applyInArrow(meet, "src bigint, dst bigint")
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -397,7 +478,7 @@ def similar_groups(
     found = components(materialize(good.unionByName(dense), "links")).withColumnsRenamed({"node": "t", "component": "group"})
     member = materialize(items.select("t", "low").join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
     low = member.groupBy("group").agg(F.min("low").alias("component"))
-    return rows.select(KEY, "t").join(member.join(low, "group").select("t", "group", "component"), "t")
+    return src.select(KEY, "t").join(member.join(low, "group").select("t", "group", "component"), "t")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -212,6 +212,27 @@ def test_copies_that_only_resemble_their_origin_are_one_group(spark, monkeypatch
     assert kept == {0, 60, 61, 62}
 
 
+@pytest.mark.parametrize("gathered,paired", [(4096, 32), (6, 3)])
+def test_similar_groups_match_all_pairs_of_whole_sets(spark, monkeypatch, gathered, paired):
+    monkeypatch.setattr(simhash, "GATHERED", gathered)
+    monkeypatch.setattr(simhash, "PAIRED", paired)
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghijklmn") for _ in range(8))
+    line = [word() for _ in range(30)]  # common to many texts
+    data = []
+    for n in [20, 60, 100, 300, 1000, 2600] * 4:
+        base = [word() for _ in range(n)]
+        put = lambda k: [word() for _ in range(k)]
+        data += [base, put(n // 6) + base, base + put(n // 5), base[n // 7 :], base[: n // 3] + base[n // 2 :], base[: n // 2] + put(n // 8) + base[n // 2 :]]
+        data += [base[: n // 2] + put(n // 4) + base[n // 2 :], line + base, base[:20] + line]
+    data += [line + [word() for _ in range(2)] for _ in range(12)] + [[]]
+    rows = list(enumerate(map(" ".join, data)))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in data]
+    want = groups(list(range(len(sets))), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    got = table(simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)))
+    assert {i: r.component for i, r in got.items()} == want
+
+
 def test_reached_texts_match_all_pairs():
     rng = np.random.default_rng(6)
     pool = rng.integers(0, 1 << 63, 700).astype(np.uint64)
