@@ -233,6 +233,15 @@ def test_similar_groups_match_all_pairs_of_whole_sets(spark, monkeypatch, gather
     assert {i: r.component for i, r in got.items()} == want
 
 
+def test_links_of_long_texts_are_of_whole_sets():
+    rng = np.random.default_rng(8)
+    for own in range(195, 206):  # of a union of 2000, 400 members are the bound for what is not common
+        h = rng.integers(0, 1 << 63, 2000).astype(np.uint64)
+        sets = [np.sort(x).astype("<u8").tobytes() for x in (h[: 2000 - own], h[own:])]
+        assert simhash.resemblance(*sets) == (2000 - 2 * own) / 2000
+        assert len(simhash.close_texts(None, sets, 0.8)[0]) == (own <= 200)
+
+
 def test_reached_texts_match_all_pairs():
     rng = np.random.default_rng(6)
     pool = rng.integers(0, 1 << 63, 700).astype(np.uint64)
