@@ -17,6 +17,8 @@ from reachmark.runtime import materialize
 SHARDS, SHARD_ROWS = 8, 1_000_000
 #: Single precision steers the search; pairs this much below the bound are verified, too.
 SLACK = 1e-4
+#: Vectors at most that audits ask every shard for, in blocks until enough links are seen.
+AUDITED = 8192
 
 
 def _links(a: tuple, b: tuple, same: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -60,28 +62,51 @@ def _forest(src: np.ndarray, dst: np.ndarray) -> tuple[list[int], list[int]]:
     return out
 
 
+def _matrix(rows: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows, shorter ones with zeros behind, as they are and as unit vectors."""
+    raw = np.zeros((len(rows), max(map(len, rows), default=0)), np.float64)
+    for r, x in zip(raw, rows, strict=True):
+        r[: len(x)] = x
+    most = np.abs(raw).max(axis=1, keepdims=True, initial=0)
+    return raw, raw / (np.linalg.norm(raw / most, axis=1, keepdims=True) * most)
+
+
 def build_indexes(classes: DataFrame, least: float, goal: float) -> DataFrame:
-    """One row per shard: its graph, its vectors and the beam that passed the audit."""
+    """One row per shard: its graph, its vectors, the beam that passed the audit, and what the
+    audit saw: links of sampled vectors of every shard (``home``) with this one, and those found.
+
+    The sample is of all vectors, so most of it is foreign to a shard, as most searches are.
+    """
+    sample = classes.select("rep", "shard", "embedding").orderBy(F.xxhash64("rep", F.lit("audit")), "rep").limit(AUDITED).toArrow()
+    asked, home = sample.column("rep").to_numpy(), sample.column("shard").to_numpy()
+    queries = _matrix(sample.column("embedding").to_pylist())[1].astype(np.float32)
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("rep")
-        rows = table.column("embedding").to_pylist()
-        raw = np.zeros((len(rows), max(map(len, rows))), np.float64)
-        for r, x in zip(raw, rows, strict=True):
-            r[: len(x)] = x
+        raw, unit = _matrix(table.column("embedding").to_pylist())
         if (raw.astype(np.float32) == raw).all():
             raw = raw.astype(np.float32)
-        unit = raw.astype(float)
-        unit /= np.linalg.norm(unit / np.abs(unit).max(axis=1, keepdims=True), axis=1, keepdims=True) * np.abs(unit).max(axis=1, keepdims=True)
         shard = table.column("shard")[0].as_py()
         g = Hnsw(unit, seed=shard)
-        ef, recall = g.audit(least - SLACK, goal)
-        data = g.to_bytes(
-            raw=raw[g.order], rep=table.column("rep").to_numpy()[g.order], copies=table.column("copies").to_numpy()[g.order], ef=np.array(ef)
+        rep = table.column("rep").to_numpy()[g.order]
+        place = {r: k for k, r in enumerate(rep.tolist())}
+        own = np.array([place.get(r, -1) for r in asked.tolist()], np.int64)
+        wide = max(queries.shape[1], g.vec.shape[1])
+        narrow = g.vec
+        q, g.vec = (np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for v in (queries, g.vec))
+        ef, there, found = g.audit(least - SLACK, goal, q, own)
+        g.vec = narrow
+        homes = np.flatnonzero(np.bincount(home, there))
+        seen = [{"home": int(h), "links": int(there[home == h].sum()), "found": int(found[home == h].sum())} for h in homes]
+        data = g.to_bytes(raw=raw[g.order], rep=rep, copies=table.column("copies").to_numpy()[g.order], ef=np.array(ef))
+        recall = found.sum() / there.sum() if there.any() else None  # no link seen, nothing known
+        audit = pa.array([seen], pa.list_(pa.struct([("home", pa.int32()), ("links", pa.int64()), ("found", pa.int64())])))
+        return pa.Table.from_pydict(
+            {"shard": pa.array([shard], pa.int32()), "ef": [ef], "recall": pa.array([recall], pa.float64()), "audit": audit, "data": pa.array([data], pa.binary())}
         )
-        return pa.Table.from_pydict({"shard": pa.array([shard], pa.int32()), "ef": [ef], "recall": [recall], "data": pa.array([data], pa.binary())})
 
-    return classes.groupBy("shard").applyInArrow(build, "shard int, ef bigint, recall double, data binary")
+    schema = "shard int, ef bigint, recall double, audit array<struct<home: int, links: bigint, found: bigint>>, data binary"
+    return classes.groupBy("shard").applyInArrow(build, schema)
 
 
 def near_duplicates(
@@ -96,7 +121,7 @@ def near_duplicates(
 
     Distinct vectors are dealt to shards by hash (``shards`` of them, more only to keep a
     shard below ``SHARD_ROWS``), each indexed whole. Per index the beam is widened until an
-    audit of sampled rows against brute force reaches ``goal``. Every two shards meet in one
+    audit against brute force reaches ``goal`` of the links of a sample of all vectors. Every two shards meet in one
     task, where each side queries the other's index; a task returns link counts and a spanning
     forest, never its pairs.
     """

@@ -159,19 +159,34 @@ class Hnsw:
         a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         return a, b
 
-    def audit(self, least: float, goal: float, queries: int = 256, seed: int = 1) -> tuple[int, float]:
-        """Widen the beam until ``goal`` of the pairs that brute force finds for a sample of rows
-        are found; the beam and the recall. A beam as wide as the graph ends it."""
+    def audit(
+        self, least: float, goal: float, queries: np.ndarray, own: np.ndarray, enough: int = 256, block: int = 256
+    ) -> tuple[int, np.ndarray, np.ndarray]:
+        """Widen the beam until ``goal`` of the pairs that brute force finds for the ``queries`` are
+        found; the beam, and per query the pairs there are and those found.
+
+        ``own`` is a query's place if it is a row of the graph, else -1: its pair with itself is no
+        evidence and left out. Queries are used in blocks until ``enough`` pairs were seen. A
+        beam as wide as the graph ends it.
+        """
         n = len(self.vec)
-        pick = np.sort(np.random.default_rng(seed).permutation(n)[:queries])
-        truth = [np.stack((np.full(len(x), i), x)) for i, p in enumerate(pick) for x in [np.flatnonzero(self.vec @ self.vec[p] >= least)]]
-        truth = np.concatenate(truth, axis=1) if truth else np.zeros((2, 0), int)
+        truth, seen, used = [np.zeros(0, np.int64)], 0, 0
+        while used < len(queries) and seen < enough:
+            i, j = np.nonzero(queries[used : used + block] @ self.vec.T >= least)
+            i += used
+            keep = own[i] != j
+            truth.append(i[keep] * n + j[keep])
+            seen += int(keep.sum())
+            used = min(used + block, len(queries))
+        pairs = np.concatenate(truth)
+        there = np.bincount(pairs // max(n, 1), minlength=len(queries))
         ef = 24
         while True:
-            a, b = self.within(self.vec[pick], least, ef)
-            recall = np.isin(truth[0] * n + truth[1], a * n + b).mean() if truth.size else 1.0
-            if recall >= goal or ef >= n:
-                return ef, float(recall)
+            ask = np.flatnonzero(there)  # the others have nothing to find
+            a, b = self.within(queries[ask], least, ef)
+            hit = np.isin(pairs, ask[a] * n + b)
+            if not len(pairs) or hit.mean() >= goal or ef >= n:
+                return ef, there, np.bincount(pairs[hit] // max(n, 1), minlength=len(queries))
             ef *= 2
 
     def to_bytes(self, **more: np.ndarray) -> bytes:

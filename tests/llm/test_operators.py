@@ -22,6 +22,7 @@ from reachmark.llm import (
 )
 from reachmark.llm.common import KEY
 from reachmark.llm.graph import components
+from reachmark.llm.hnsw import Hnsw
 from reachmark.llm.suffix_sort import sorted_suffixes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -286,6 +287,27 @@ def test_embeddings_match_all_pairs(spark):
     assert all(got[1000 + i].n_links == 0 and got[1000 + i].kept for i in range(len(odd)))
 
 
+def test_audit_widens_the_beam_of_a_poor_graph(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 16))
+    x[300:] = x[:300] + rng.normal(size=(300, 16)) * 0.02
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    good = Hnsw(x[300:])
+    place = np.argsort(good.order)
+    own = np.concatenate((np.full(300, -1), place))
+    ef, there, found = good.audit(0.95, 0.98, x.astype(np.float32), own)
+    assert there[:256].sum() >= 256 and found.sum() >= 0.98 * there.sum()
+    poor = Hnsw(x[300:])
+    for layer in poor.layers:
+        layer[1:] = layer[1:, :1]  # one way out of every row
+    assert poor.audit(0.95, 0.98, x.astype(np.float32), own)[0] > ef
+    assert good.audit(0.95, 0.98, x[300:].astype(np.float32), place)[1].sum() == 0  # pairs with itself only
+    data = [(i, i % 2, [float(v) for v in r], 1) for i, r in enumerate(np.roll(x, 1, axis=0))]
+    classes = spark.createDataFrame(data, "rep long, shard int, embedding array<float>, copies long")
+    seen = {(r.shard, a.home): a for r in embedding_dedup.build_indexes(classes, 0.95, 0.98).collect() for a in r.audit}
+    assert all(a.found >= 0.9 * a.links > 0 for a in seen.values()) and seen
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_constraint(rule):
     rng = np.random.default_rng(3)
