@@ -1,12 +1,12 @@
-"""Adaptive context-mixing range coder for token ids, many blocks in step.
+"""Adaptive range coder that selects among contexts, for token ids, many blocks in step.
 
 Every block is coded by itself: its models start empty and it ends in a checksum. Blocks go
 through the same steps side by side, one token of each at a time, so that each step is a few
 array operations.
 
-The prediction of an id mixes three orders. Order 2 and order 1 each hold, per context of two or
+The prediction of an id selects one of three orders; their probabilities are not mixed. Order 2 and order 1 each hold, per context of two or
 one ids before (hashed to a slot), the id seen last and how often it came again; order 0 holds
-adaptive frequencies. The three are mixed by weights that are learned for every pair of
+adaptive frequencies. How often each order gave the id is learned for every pair of
 confidences. One step of the range coder tells which order gives the id; if it is order 0, four
 more give the id's four-bit parts by frequencies in the context of the parts before.
 """
