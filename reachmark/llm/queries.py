@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm import bpe, embedding_dedup, language_model, packing, pii, quality, simhash, suffix_dedup, token_files, url_filter
+from reachmark.llm import (
+    alignment, bpe, embedding_dedup, language_model, packing, periodic_runs, pii, quality, simhash, suffix_dedup, token_files, trie_bpe, url_filter,
+)
 from reachmark.llm.common import KEY
 
 QUERIES = {}
@@ -126,3 +128,47 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode_documents(ids, path, pattern).select(
         F.col(KEY).alias("doc_id"), "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.link_scores(table(spark, sf_dir, "documents"), *paths).withColumnRenamed(KEY, "doc_id")
+
+
+@query("op12_word_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return trie_bpe.round_trip(table(spark, sf_dir, "documents"), path).withColumnRenamed(KEY, "doc_id")
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: a tenth of the texts, by a hash of the id, turned periodic behind some word."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select(
+        "doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"),
+    )
+    n = F.size("w")
+    placed = words.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    placed = placed.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    turned = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", place(i)))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    # the greatest length, then the smallest start and period
+    longest = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct(-r.length, r.start, r.period))), 1)
+    row = lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    top = found.select(KEY, "runs", "collapsed", F.when(F.size("runs") > 0, longest).alias("top"))
+    length = -F.col("top.col1")
+    return top.select(
+        F.col(KEY).alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), F.col("top.start").alias("start"),
+        length.alias("length"), F.col("top.period").alias("period"),
+        F.floor(1000 * length / F.col("top.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", row), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -11,6 +13,52 @@ from reachmark.llm.common import blank_chunks
 
 REMEMBERED = 400_000
 
+#: Runs of white space that the rank encoder's pattern cannot take; such texts go to the library of the file.
+_LONG_BLANKS = re.compile(r"\s{50000}")
+
+
+def printable_bytes() -> dict[str, int]:
+    """The character by which byte-level vocabularies write each byte: itself where it can be printed."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def byte_level_tokens(path: str) -> dict[int, bytes] | None:
+    """Bytes of every id of a byte-level file that splits texts by the public pattern, else None."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    split, model = file.get("pre_tokenizer") or {}, file["model"]
+    plain = not file.get("normalizer") and not any(
+        model.get(k) for k in ("end_of_word_suffix", "continuing_subword_prefix", "ignore_merges", "dropout")
+    )
+    if not plain or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return None
+    to_byte = printable_bytes()
+    return {i: bytes(to_byte[c] for c in t) for t, i in model["vocab"].items()}
+
+
+class RankEncoder:
+    """Encodes by a byte-level file whose ids of merged tokens rise in the order of its merges.
+
+    The ids then serve as ranks, and a compiled merge loop over them gives what the file's own
+    library gives, in a quarter of the time. Strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, tokens: dict[int, bytes]):
+        import public_tokenizers
+        import tiktoken
+
+        self.path, self.tokens = path, tokens
+        ranks = {t: i for i, t in tokens.items()}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a whole text, unsigned 32-bit."""
+        if len(text) >= 50_000 and _LONG_BLANKS.search(text):
+            return np.array(chunk_encoder(self.path, True).tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.encoding.encode_ordinary(text), np.uint32)
+
 
 class ChunkEncoder:
     """Encodes the parts of a text between single blanks, and remembers parts met before.
@@ -49,6 +97,13 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, spaced: bool) -> ChunkEncoder:
+def chunk_encoder(path: str, spaced: bool) -> ChunkEncoder:
     """One encoder per worker and vocabulary file."""
     return ChunkEncoder(path, spaced)
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str, spaced: bool) -> ChunkEncoder | RankEncoder:
+    """The fastest encoder that gives the ids of a file; one per worker and file."""
+    tokens = byte_level_tokens(path) if spaced else None
+    return RankEncoder(path, tokens) if tokens else chunk_encoder(path, spaced)
