@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Sequence
-from itertools import permutations as all_orders
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reachmark.operators import trees as TR
+from reachmark.operators.boosted import BoostedModel
 from reachmark.operators.ordering import exact_quantiles
 
 CAP_QUANTILE = 0.95
+#: Features up to which every subset is scored.
+SUBSET_FEATURES = 12
 
 
 def _ranked(sums: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -37,6 +42,25 @@ def shapley_linear(df: DataFrame, coefficients: dict[str, float]) -> DataFrame:
     return _ranked(sums, list(coefficients))
 
 
+def shapley_trees(model: BoostedModel, df: DataFrame) -> DataFrame:
+    """Mean absolute attribution per feature of a boosted model over all rows, ranked.
+
+    Attributions follow the paths of the trees: what is not known of a row is averaged by the training
+    weight that reached each branch. The work grows with the leaves and the depth, not with the
+    subsets of the features, and tasks give one sum per feature.
+    """
+    rows, features = model.with_features(df)
+    sums = TR.mean_attributions(model.trees, rows, features)
+    order = Window.orderBy(F.desc("importance"), "col_name")
+    return sums.withColumn("rank", F.row_number().over(order))  # one row per feature
+
+
+def attribution_rows(model: BoostedModel, df: DataFrame, key: str) -> DataFrame:
+    """``key, expected, shares``: attributions of every row, in order of ``model.trees.features``."""
+    rows, features = model.with_features(df)
+    return TR.attributions(model.trees, rows, key, features)
+
+
 def shapley_mc(
     df: DataFrame,
     score: Callable[[DataFrame], DataFrame],
@@ -47,22 +71,39 @@ def shapley_mc(
 ) -> DataFrame:
     """Mean absolute Shapley value per numeric feature of any model.
 
-    Every row is scored along feature orders that switch it from the mean row to itself
-    one feature at a time; the change at each switch is the feature's share. All rows
-    take part. With ``orders`` None all orders are used and the result is exact, at the cost
-    of every subset of the features; a number draws that many, the same for every row.
-    ``score`` adds ``proba`` and keeps other columns.
+    A row is scored with subsets of its features in place, the others at their means. All rows
+    take part. With ``orders`` None every subset is scored once and the result is exact, for up
+    to ``SUBSET_FEATURES`` features; a number draws that many orders of the features, the same for every
+    row, and scores their prefixes. ``score`` adds ``proba`` and keeps other columns. For
+    boosted models ``shapley_trees`` needs neither.
     """
     features = list(features)
     means = _means(df, features)
+    n = len(features)
+    weights: dict[str, dict[frozenset, float]] = {f: {} for f in features}
+
+    def add(f: str, coalition: frozenset, weight: float) -> None:
+        weights[f][coalition] = weights[f].get(coalition, 0.0) + weight
+
     if orders is None:
-        paths = [list(p) for p in all_orders(features)]
+        if n > SUBSET_FEATURES:
+            raise ValueError(f"{n} features have {2**n} subsets; give a number of orders")
+        for f in features:
+            rest = [g for g in features if g != f]
+            for k in range(n):
+                for s in map(frozenset, combinations(rest, k)):
+                    w = math.factorial(k) * math.factorial(n - 1 - k) / math.factorial(n)
+                    add(f, s | {f}, w)
+                    add(f, s, -w)
     else:
         rng = random.Random(seed)
-        paths = [rng.sample(features, len(features)) for _ in range(orders)]
-    # Coalitions are shared between orders: each distinct one is scored once per row.
-    wanted = {frozenset(p[:i]) for p in paths for i in range(len(p) + 1)}
-    coalitions = sorted(wanted, key=lambda s: (len(s), sorted(s)))
+        for _ in range(orders):
+            path = rng.sample(features, n)
+            for i, f in enumerate(path):
+                add(f, frozenset(path[: i + 1]), 1 / orders)
+                add(f, frozenset(path[:i]), -1 / orders)
+    # Coalitions are shared between features: each distinct one is scored once per row.
+    coalitions = sorted({s for w in weights.values() for s in w}, key=lambda s: (len(s), sorted(s)))
     number = {s: i for i, s in enumerate(coalitions)}
     cells = [
         F.struct(
@@ -77,23 +118,28 @@ def shapley_mc(
     rest = [c for c in df.columns if c not in features]
     spread = df.select(*rest, F.inline(F.array(*cells)))
     scored = score(spread)
-    # One row per key again, with the score of every coalition.
-    wide = scored.groupBy(key).agg(
-        *[F.max(F.when(F.col("_set") == i, F.col("proba"))).alias(f"s{i}") for i in number.values()]
-    )
-    shares: dict[str, Column] = {}
+    # A row's share is a weighted sum of its scores: one sum per row and feature.
+    shares = {}
     for f in features:
-        steps = None
-        for p in paths:
-            at = p.index(f)
-            before, after = number[frozenset(p[:at])], number[frozenset(p[: at + 1])]
-            step = F.col(f"s{after}") - F.col(f"s{before}")
-            steps = step if steps is None else steps + step
-        shares[f] = steps / len(paths)
-    sums = wide.agg(*[F.avg(F.abs(v)).alias(f) for f, v in shares.items()])
+        listed = F.array(*[F.lit(weights[f].get(s, 0.0)) for s in coalitions])
+        shares[f] = F.sum(F.col("proba") * F.get(listed, F.col("_set"))).alias(f)
+    wide = scored.groupBy(key).agg(*shares.values())
+    sums = wide.agg(*[F.avg(F.abs(F.col(f))).alias(f) for f in features])
     return _ranked(sums, features)
 
 
+def dependence_trees(model: BoostedModel, df: DataFrame, features: Sequence[str], grid: int = 10) -> DataFrame:
+    """``partial_dependence`` of a boosted model's numeric features, all in one scan behind the grid ends."""
+    ends = exact_quantiles(df, features, [0.0, CAP_QUANTILE])
+    grids = {f: _points(*ends[f], grid) for f in features}
+    rows, columns = model.with_features(df)
+    return TR.dependence(model.trees, rows, grids, columns)
+
+
+def _points(low: float, high: float, grid: int) -> list[float]:
+    return [low + (high - low) * i / (grid - 1) for i in range(grid)]
+
+
 def partial_dependence(
     df: DataFrame,
     score: Callable[[DataFrame], DataFrame],
@@ -102,19 +148,19 @@ def partial_dependence(
 ) -> DataFrame:
     """Mean score over all rows with a feature set to each value of a grid.
 
-    The grid runs from the minimum to the 95th percentile. Grid values are exploded in
-    the rows and averaged before the shuffle.
+    The grid runs from the minimum to the 95th percentile. All features share one scan and one
+    shuffle: a row is exploded once into the changed rows of every feature, and scores are
+    averaged before the shuffle. ``score`` adds ``proba`` and keeps other columns.
     """
+    features = list(features)
     ends = exact_quantiles(df, features, [0.0, CAP_QUANTILE])
-    out = None
-    for f in features:
-        low, high = ends[f]
-        points = [low + (high - low) * i / (grid - 1) for i in range(grid)]
-        rest = [c for c in df.columns if c != f]
-        spread = df.select(*rest, F.posexplode(F.array(*[F.lit(x) for x in points])).alias("_no", f))
-        part = score(spread).groupBy("_no").agg(
-            F.first(f).alias("value"), F.avg("proba").alias("mean_proba")
-        )
-        part = part.select(F.lit(f).alias("variable"), F.col("_no").alias("point_no"), "value", "mean_proba")
-        out = part if out is None else out.unionByName(part)
-    return out
+    cells = []
+    for v, f in enumerate(features):
+        for i, x in enumerate(_points(*ends[f], grid)):
+            changed = [F.lit(x).alias(g) if g == f else F.col(f"`{g}`").cast("double").alias(g) for g in features]
+            cells.append(F.struct(F.lit(v).alias("_variable"), F.lit(i).alias("_no"), F.lit(x).alias("_value"), *changed))
+    rest = [c for c in df.columns if c not in features]
+    scored = score(df.select(*rest, F.inline(F.array(*cells))))
+    means = scored.groupBy("_variable", "_no", "_value").agg(F.avg("proba").alias("mean_proba"))
+    names = F.array(*[F.lit(f) for f in features])
+    return means.select(F.get(names, F.col("_variable")).alias("variable"), F.col("_no").alias("point_no"), F.col("_value").alias("value"), "mean_proba")

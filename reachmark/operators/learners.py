@@ -1,7 +1,10 @@
-"""Classifier families on MLlib: features, fitting, search, comparison and a model store.
+"""Classifier families: features, fitting, search, comparison and a model store.
 
-Three families stand in for three boosting libraries: boosted trees (``gbt``), bagged
-trees (``rf``) and a logistic regression (``lr``) as a cheap baseline.
+Three boosted families stand in for three boosting libraries and take their parameters:
+``gbt`` (weighted bootstrap, features drawn per level, stops by patience), ``bagged`` (class
+bagging every few trees, features drawn per tree, stops by patience) and ``plain`` (least
+loss reduction, keeps all trees). Bagged trees (``rf``) and a logistic regression (``lr``) on
+MLlib are cheap baselines.
 """
 
 from __future__ import annotations
@@ -9,17 +12,12 @@ from __future__ import annotations
 import datetime
 import json
 import math
-import random
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -29,34 +27,63 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reachmark.functions.columns import hash_order
-from reachmark.operators import gains
+from reachmark.operators import boosting, gains
+from reachmark.operators.boosted import BoostedModel, ordered_statistics, statistics_size
+from reachmark.operators.search import Proposer
 from reachmark.operators.sampling import stratified_folds, stratified_split
 from reachmark.operators.select import MISSING_CATEGORY, drop_duplicate_names
 from reachmark.runtime import materialize
 
 MIN_ROWS = 100
-MAX_CATEGORIES = 1_000
 SEED = 25
-FAMILIES = ("gbt", "rf", "lr")
+PATIENCE = 20
+BOOSTED = ("gbt", "bagged", "plain")
+FAMILIES = BOOSTED
+BASELINES = ("rf", "lr")
 
-# Search spaces: ("uniform", low, high) or ("quniform", low, high, step).
+# The search spaces of the boosted families, ("uniform", low, high) or
+# ("quniform", low, high, step).
 SPACES = {
     "gbt": {
         "n_estimators": ("quniform", 100, 1000, 50),
         "max_depth": ("quniform", 3, 5, 1),
+        "reg_lambda": ("uniform", 1, 3),
         "learning_rate": ("uniform", 0.001, 0.05),
+        "bagging_temperature": ("quniform", 0.1, 1.0, 0.2),
         "scale_pos_weight": ("quniform", 0.01, 1.0, 0.2),
-        "colsample": ("quniform", 0.3, 0.9, 0.2),
+        "colsample_bylevel": ("quniform", 0.3, 0.9, 0.2),
         "subsample": ("quniform", 0.2, 0.9, 0.2),
         "min_child_samples": ("quniform", 100, 500, 100),
     },
-    "rf": {
+    "bagged": {
         "n_estimators": ("quniform", 100, 1000, 50),
         "max_depth": ("quniform", 3, 5, 1),
+        "reg_alpha": ("uniform", 1, 3),
+        "reg_lambda": ("uniform", 1, 3),
+        "learning_rate": ("uniform", 0.001, 0.05),
         "subsample": ("quniform", 0.5, 0.9, 0.2),
         "pos_bagging_fraction": ("quniform", 0.1, 1.0, 0.2),
         "neg_bagging_fraction": ("quniform", 0.1, 1.0, 0.2),
-        "colsample": ("quniform", 0.3, 0.9, 0.2),
+        "colsample_bytree": ("quniform", 0.3, 0.9, 0.2),
+        "min_child_samples": ("quniform", 100, 500, 100),
+    },
+    "plain": {
+        "n_estimators": ("quniform", 100, 1000, 50),
+        "max_depth": ("quniform", 3, 5, 1),
+        "reg_alpha": ("uniform", 1, 3),
+        "reg_lambda": ("uniform", 1, 3),
+        "gamma": ("quniform", 0.0, 1.0, 0.001),
+        "learning_rate": ("uniform", 0.001, 0.05),
+        "scale_pos_weight": ("quniform", 0.01, 1.0, 0.2),
+        "colsample_bylevel": ("quniform", 0.3, 0.9, 0.2),
+        "subsample": ("quniform", 0.2, 0.9, 0.2),
+        "min_child_weight": ("quniform", 0.01, 0.1, 0.01),
+    },
+    "rf": {
+        "n_estimators": ("quniform", 100, 1000, 50),
+        "max_depth": ("quniform", 3, 5, 1),
+        "subsample": ("quniform", 0.5, 0.9, 0.2),
+        "colsample_bytree": ("quniform", 0.3, 0.9, 0.2),
         "min_child_samples": ("quniform", 100, 500, 100),
     },
     "lr": {
@@ -68,11 +95,12 @@ SPACES = {
 
 
 # What each family takes; other parameters are refused, not ignored.
-COLUMN_SHARES = ("colsample", "colsample_bytree", "colsample_bylevel")
+COLUMN_SHARES = ("colsample_bytree", "colsample_bylevel")
 _ROWS = {"seed", "scale_pos_weight", "pos_bagging_fraction", "neg_bagging_fraction"}
 _TREES = {"n_estimators", "max_depth", "subsample", "min_child_samples", "min_child_weight", "gamma", *COLUMN_SHARES}
+_BOOSTED = _ROWS | _TREES | {"learning_rate", "reg_alpha", "reg_lambda", "bagging_temperature", "max_bin", "patience"}
 PARAMETERS = {
-    "gbt": _ROWS | _TREES | {"learning_rate"},
+    **dict.fromkeys(BOOSTED, _BOOSTED),
     "rf": _ROWS | _TREES,
     "lr": _ROWS | {"reg_lambda", "elastic_net", "max_iter"},
 }
@@ -141,11 +169,42 @@ def _typed(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def _estimator(family: str, params: dict, categories: int):
+def _checked(family: str, params: dict) -> dict:
     if family not in PARAMETERS:
         raise ValueError(f"unknown family: {family}")
     if unknown := sorted(set(params) - PARAMETERS[family]):
         raise ValueError(f"{family} has no parameter {', '.join(unknown)}")
+    return params
+
+
+def boost_params(family: str, params: dict) -> boosting.BoostParams:
+    """Boosting by the parameters of a family; each has its own defaults."""
+    p = _checked(family, params)
+    share = lambda name: min(1.0, max(0.01, float(p.get(name, 1.0))))
+    return boosting.BoostParams(
+        trees=int(p.get("n_estimators", 100)),
+        depth=int(p.get("max_depth", 4)),
+        rate=float(p.get("learning_rate", 0.1)),
+        l1=float(p.get("reg_alpha", 0.0)),
+        l2=float(p.get("reg_lambda", 0.0 if family == "bagged" else 1.0)),
+        gamma=float(p.get("gamma", 0.0)),
+        min_rows=int(p.get("min_child_samples", 1)),
+        min_hessian=float(p.get("min_child_weight", 0.0)),
+        subsample=share("subsample"),
+        positive_share=share("pos_bagging_fraction"),
+        negative_share=share("neg_bagging_fraction"),
+        bagging_every=5 if family == "bagged" else 1,
+        tree_share=share("colsample_bytree"),
+        level_share=share("colsample_bylevel"),
+        temperature=float(p.get("bagging_temperature", 0.0)),
+        bins=int(p.get("max_bin", 64)),
+        patience=int(p.get("patience", 0 if family == "plain" else PATIENCE)),
+        seed=int(p.get("seed", SEED)),
+    )
+
+
+def _estimator(family: str, params: dict, categories: int):
+    params = _checked(family, params)
     seed = int(params.get("seed", SEED))
     common = {"labelCol": "_label", "weightCol": "_weight", "featuresCol": "features"}
     if family == "lr":
@@ -157,29 +216,21 @@ def _estimator(family: str, params: dict, categories: int):
         )
     # MLlib draws features once per split; shares per tree and per level are drawn there, too.
     features = math.prod(float(params.get(k, 1.0)) for k in COLUMN_SHARES)
-    tree = {
-        "maxDepth": int(params.get("max_depth", 4)),
-        "subsamplingRate": min(1.0, max(0.05, float(params.get("subsample", 1.0)))),
-        "featureSubsetStrategy": str(min(1.0, max(0.05, features))),
-        "minInstancesPerNode": max(1, int(params.get("min_child_samples", 1))),
-        "minWeightFractionPerNode": min(0.49, float(params.get("min_child_weight", 0.0))),
-        "minInfoGain": float(params.get("gamma", 0.0)),
-        "maxBins": max(32, categories + 2),
-        "seed": seed,
+    return RandomForestClassifier(
+        numTrees=int(params.get("n_estimators", 20)),
+        maxDepth=int(params.get("max_depth", 4)),
+        subsamplingRate=min(1.0, max(0.05, float(params.get("subsample", 1.0)))),
+        featureSubsetStrategy=str(min(1.0, max(0.05, features))),
+        minInstancesPerNode=max(1, int(params.get("min_child_samples", 1))),
+        minWeightFractionPerNode=min(0.49, float(params.get("min_child_weight", 0.0))),
+        minInfoGain=float(params.get("gamma", 0.0)),
+        maxBins=max(32, categories + 2),
+        seed=seed,
         **common,
-    }
-    if family == "gbt":
-        return GBTClassifier(
-            maxIter=int(params.get("n_estimators", 20)),
-            stepSize=float(params.get("learning_rate", 0.1)),
-            validationIndicatorCol="_validation",
-            validationTol=0.0,  # go on as long as the validation rows gain at all
-            **tree,
-        )
-    return RandomForestClassifier(numTrees=int(params.get("n_estimators", 20)), **tree)
+    )
 
 
-def with_training_columns(df: DataFrame, spec: ModelSpec, params: dict, validation: float = 0.1):
+def with_training_columns(df: DataFrame, spec: ModelSpec, params: dict, validation: float = 0.1, once: bool = True):
     """Label, weight and early-stopping mark of training rows.
 
     The rows for early stopping are a hash share of the training rows: the test sample
@@ -191,7 +242,8 @@ def with_training_columns(df: DataFrame, spec: ModelSpec, params: dict, validati
     # Bagging fractions draw a share of each class, by hash.
     share = F.when(F.col(spec.target) == 1, float(params.get("pos_bagging_fraction", 1.0)))
     share = share.otherwise(float(params.get("neg_bagging_fraction", 1.0)))
-    if {"pos_bagging_fraction", "neg_bagging_fraction"} & set(params):
+    # Boosted families draw per tree, not once.
+    if once and {"pos_bagging_fraction", "neg_bagging_fraction"} & set(params):
         df = df.filter(hash_order(F.col(spec.key), SEED + 2) < share * 2**32)
     return _typed(df, spec).withColumns(
         {
@@ -206,13 +258,15 @@ def with_training_columns(df: DataFrame, spec: ModelSpec, params: dict, validati
 class Fitted:
     """A fitted model with its family, parameters and column roles."""
 
-    model: PipelineModel
+    model: PipelineModel | BoostedModel
     family: str
     params: dict
     spec: ModelSpec
 
     def score(self, df: DataFrame, name: str = "proba") -> DataFrame:
         """Rows with the probability of class 1."""
+        if isinstance(self.model, BoostedModel):
+            return self.model.score(df, name)
         scored = self.model.transform(_typed(df, self.spec))
         proba = vector_to_array("probability")[1].alias(name)
         return scored.select(*[scored[c] for c in df.columns if c != name], proba)
@@ -227,24 +281,35 @@ def _categories(features: PipelineModel) -> int:
 def fit_family(df: DataFrame, spec: ModelSpec, family: str, params: dict | None = None) -> Fitted:
     """Fit one family on training rows."""
     params = params or {}
+    if family in BOOSTED:
+        return _fit_boosted(df, spec, family, params)
+    _checked(family, params)
     rows = with_training_columns(df, spec, params)
     features = Pipeline(stages=_feature_stages(spec, one_hot=family == "lr")).fit(rows)
-    categories = _categories(features)
-    if categories > MAX_CATEGORIES and family != "lr":
-        raise ValueError(f"a column has {categories} categories; encode it by weight of evidence")
-    model = _estimator(family, params, categories).fit(features.transform(rows))
+    model = _estimator(family, params, _categories(features)).fit(features.transform(rows))
     return Fitted(PipelineModel(stages=[*features.stages, model]), family, params, spec)
 
 
-def draw(space: dict, rng: random.Random) -> dict:
-    """One parameter set. ``quniform`` rounds to its step, and never to zero or below."""
-    out = {}
-    for name, (kind, low, high, *step) in space.items():
-        value = rng.uniform(low, high)
-        if kind == "quniform":
-            value = max(round(value / step[0]) * step[0], low)
-        out[name] = value
-    return out
+def _fit_boosted(df: DataFrame, spec: ModelSpec, family: str, params: dict) -> Fitted:
+    """Boosted trees; categories of any number enter by their ordered statistics."""
+    p = boost_params(family, params)
+    rows = with_training_columns(df.select(*spec.columns), spec, params, once=False)
+    if not p.patience:
+        rows = rows.withColumn("_validation", F.lit(False))
+    stats, prior, encoded = None, 0.0, []
+    if spec.categorical:
+        key = F.col(spec.key)
+        rows, stats, prior = ordered_statistics(rows, spec.categorical, F.col("_label"), key, F.col("_validation"), p.seed)
+        encoded = [F.coalesce(f"_s{i}", F.lit(prior)) for i in range(len(spec.categorical))]
+    features = [F.col(c) for c in spec.numeric] + encoded
+    names = [*spec.numeric, *spec.categorical]
+    grown = boosting.boost(
+        rows, names, features, F.col("_label"), F.col("_weight"), F.col(spec.key), F.col("_validation"), p
+    )
+    model = BoostedModel(
+        grown.trees, spec.numeric, spec.categorical, prior, stats, statistics_size(stats), grown.watched
+    )
+    return Fitted(model, family, params, spec)
 
 
 @dataclass
@@ -258,7 +323,10 @@ class Trial:
 
 
 class Search:
-    """Random search over the families: draw, fit on train, measure on train and test."""
+    """Search over the families: propose, fit on train, measure on train and test.
+
+    Proposals learn from a family's earlier trials; ``learns=False`` draws them at random.
+    """
 
     def __init__(
         self,
@@ -269,7 +337,9 @@ class Search:
         kfolds: int = 0,
         test_size: float = 0.2,
         seed: int = SEED,
+        learns: bool = True,
     ):
+        self.learns = learns
         self.spec, self.families, self.seed = spec, list(families), seed
         self.spaces = SPACES | (spaces or {})
         self.n_iter, self.kfolds, self.test_size = n_iter, kfolds, test_size
@@ -287,9 +357,11 @@ class Search:
     def run(self, df: DataFrame) -> list[Trial]:
         self.split(df)
         for family in self.families:
-            rng = random.Random(f"{self.seed}-{family}")
+            proposer = Proposer(self.spaces[family], f"{self.seed}-{family}", learns=self.learns)
             for no in range(1, self.n_iter + 1):
-                self.trials.append(self._trial(no, family, draw(self.spaces[family], rng)))
+                trial = self._trial(no, family, proposer.next())
+                proposer.tell(trial.params, trial.loss)
+                self.trials.append(trial)
         return self.trials
 
     def _trial(self, no: int, family: str, params: dict) -> Trial:
@@ -304,6 +376,13 @@ class Search:
         folded = stratified_folds(
             self.train, self.spec.key, self.kfolds, self.spec.target, self.seed
         )
+        if family in BOOSTED:
+            areas = []
+            for k in [r[0] for r in folded.select("fold").distinct().orderBy("fold").collect()]:
+                fitted = fit_family(folded.filter(F.col("fold") != k), self.spec, family, params)
+                scored = fitted.score(folded.filter(F.col("fold") == k))
+                areas.append(gains.auc_gini(scored, self.spec.target, "proba", self.spec.weight).first()["auc"])
+            return sum(areas) / len(areas)
         rows = with_training_columns(folded, self.spec, params)
         stages = _feature_stages(self.spec, one_hot=family == "lr")
         # The folds are fitted with the estimator that a refit on all of them uses.
@@ -374,8 +453,7 @@ class Search:
         rows = []
         for family, fitted in self.finals.items():
             metrics, monotone = self.measure(fitted)
-            trees = fitted.params.get("n_estimators")
-            trees = None if trees is None else int(trees)
+            trees = tree_count(fitted)
             rows += [
                 (family, m, v["Dev"], v["OOT"], v["Diff"], monotone, trees)
                 for m, v in metrics.items()
@@ -414,10 +492,20 @@ def feature_names(model: PipelineModel) -> list[str]:
     return [c.rsplit("__", 1)[0] for c in assembler.getInputCols()]
 
 
+def tree_count(fitted: Fitted) -> int | None:
+    """Trees that a model keeps."""
+    if isinstance(fitted.model, BoostedModel):
+        return len(fitted.model.trees)
+    return getattr(fitted.model.stages[-1], "getNumTrees", None)
+
+
 def importance_share(fitted: Fitted, spark: SparkSession) -> DataFrame:
     """Feature importance with its share of the total, largest first (tree families)."""
-    values = fitted.model.stages[-1].featureImportances.toArray()
-    rows = [(n, float(v)) for n, v in zip(feature_names(fitted.model), values)]
+    if isinstance(fitted.model, BoostedModel):
+        names, values = fitted.model.trees.features, fitted.model.trees.importance()
+    else:
+        names, values = feature_names(fitted.model), fitted.model.stages[-1].featureImportances.toArray()
+    rows = [(n, float(v)) for n, v in zip(names, values)]
     table = spark.createDataFrame(rows, "variable string, importance double")
     total = F.sum("importance").over(
         Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -428,8 +516,7 @@ def importance_share(fitted: Fitted, spark: SparkSession) -> DataFrame:
 
 def tree_importance(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Importance ranking of a boosted model with default parameters."""
-    fitted = fit_family(df, spec, "gbt", {"n_estimators": 10, "max_depth": 4})
-    return importance_share(fitted, df.sparkSession)
+    return importance_share(fit_family(df, spec, "gbt"), df.sparkSession)
 
 
 # -- model store ------------------------------------------------------------------------
@@ -459,7 +546,10 @@ def save_run(
     """Save a model under ``root`` and add its row to the runs table; returns the run id."""
     run_id = uuid.uuid4().hex
     path = f"{root}/models/{run_id}"
-    fitted.model.write().overwrite().save(path)
+    if isinstance(fitted.model, BoostedModel):
+        fitted.model.save(spark, path)
+    else:
+        fitted.model.write().overwrite().save(path)
     spec = {**fitted.spec.__dict__}
     row = (run_id, name, fitted.family, json.dumps(fitted.params), json.dumps(spec), auc_train, trained_on or datetime.date.today(), path)
     spark.createDataFrame([row], _RUNS).coalesce(1).write.mode("append").parquet(f"{root}/runs")
@@ -475,10 +565,11 @@ def load_run(spark: SparkSession, root: str, run_id: str) -> Fitted:
     row = runs_table(spark, root).filter(F.col("run_id") == run_id).first()
     if row is None:
         raise KeyError(f"no such run: {run_id}")
-    if row["family"] not in FAMILIES:
+    if row["family"] not in PARAMETERS:
         raise ValueError(f"unknown family: {row['family']}")
     spec = json.loads(row["spec"])
     spec = ModelSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in spec.items()})
-    model = PipelineModel.load(row["path"])
+    boosted = row["family"] in BOOSTED
+    model = BoostedModel.load(spark, row["path"]) if boosted else PipelineModel.load(row["path"])
     return Fitted(model, row["family"], json.loads(row["params"]), spec)
 

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reachmark.operators.boosted import BoostedModel, score_models
 from reachmark.operators.encoding import WoeModel
 from reachmark.operators.learners import Fitted
 from reachmark.operators.lookup import union_by_name
@@ -81,20 +82,26 @@ def segment_of(name: str) -> Column | None:
 
 
 def score_batch(
-    df: DataFrame, models: dict[str, Callable[[DataFrame], DataFrame]], key: str = "duns"
+    df: DataFrame, models: dict[str, Fitted | Callable[[DataFrame], DataFrame]], key: str = "duns"
 ) -> DataFrame:
     """(key, proba, mdl_name) of every model over its segment.
 
-    Each scorer adds ``proba``. Models of an unknown type are logged and left out.
+    A model is fitted, or a function that adds ``proba``. All boosted models share one scan, in
+    which one Arrow function scores a row by every model and the row's own segments are kept; any other
+    model scans its segment by itself. Models of an unknown type are logged and left out.
     """
-    parts = []
+    parts, boosted = [], {}
     for name, scorer in models.items():
         rows = segment_of(name)
         if rows is None:
             log.error("no segment for model %s", name)
-            continue
-        scored = scorer(df.filter(rows))
-        parts.append(scored.select(key, "proba", F.lit(short_name(name)).alias("mdl_name")))
+        elif isinstance(scorer, Fitted) and isinstance(scorer.model, BoostedModel):
+            boosted[name] = scorer.model
+        else:
+            scored = (scorer.score if isinstance(scorer, Fitted) else scorer)(df.filter(rows))
+            parts.append(scored.select(key, "proba", F.lit(short_name(name)).alias("mdl_name")))
+    if boosted:
+        parts.insert(0, _score_boosted(df, boosted, key))
     if not parts:
         return df.select(key).limit(0).select(
             key, F.lit(0.0).alias("proba"), F.lit("").alias("mdl_name")
@@ -102,6 +109,17 @@ def score_batch(
     return union_by_name(parts)
 
 
+def _score_boosted(df: DataFrame, models: dict[str, BoostedModel], key: str) -> DataFrame:
+    needed = [key, *(["class_type"] if "class_type" in df.columns else [])]
+    needed += [c for m in models.values() for c in (*m.numeric, *m.categorical)]
+    scored = score_models(df.select(*dict.fromkeys(needed)), list(models.values()), "_proba")
+    cells = [
+        F.when(segment_of(name), F.struct(F.col("_proba")[i].alias("proba"), F.lit(short_name(name)).alias("mdl_name")))
+        for i, name in enumerate(models)
+    ]
+    return scored.select(key, F.inline(F.filter(F.array(*cells), lambda s: s.isNotNull())))
+
+
 def score_batch_linear(
     df: DataFrame, models: dict[str, tuple[float, dict[str, float]]], key: str = "duns"
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from reachmark.operators import learners as L
 from reachmark.operators import lookup as J
 from reachmark.operators import names as N
 from reachmark.operators import scoring as S
+from reachmark.operators.search import draw
 from reachmark.runtime import scratch_path
 
 SPEC = L.ModelSpec("y", "k", ("a", "b"), ("c",))
@@ -77,8 +78,8 @@ def test_search_refit_and_compare(spark, rows):
 def test_draws_are_seeded_and_on_step():
     import random
 
-    one = L.draw(L.SPACES["gbt"], random.Random(3))
-    assert one == L.draw(L.SPACES["gbt"], random.Random(3))
+    one = draw(L.SPACES["gbt"], random.Random(3))
+    assert one == draw(L.SPACES["gbt"], random.Random(3))
     assert one["n_estimators"] % 50 == 0 and one["scale_pos_weight"] > 0
 
 
