@@ -55,27 +55,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def group_pairs(groups: DataFrame, name: str) -> DataFrame:
-    """All pairs of rows of a small per-group aggregate, the smaller name first.
+#: Groups in a block of ``group_pairs``.
+PAIR_BLOCK = 256
 
-    The groups (campaign arms) are put in one array; no join is needed.
+
+def group_pairs(groups: DataFrame, name: str, block: int = PAIR_BLOCK) -> DataFrame:
+    """All pairs of rows of a per-group aggregate, the smaller name first.
+
+    Groups are dealt to blocks by a hash of their name, and every two blocks meet in one key
+    of a join, so that no task holds all groups. Null names pair with nothing.
     """
-    row = F.struct(name, *[c for c in groups.columns if c != name])
-    arms = groups.agg(F.array_sort(F.collect_list(row)).alias("g"))
-    pairs = F.flatten(
-        F.transform(
-            "g",
-            lambda a, i: F.transform(
-                F.filter("g", lambda b: b[name] > a[name]),
-                lambda b: F.struct(a.alias("a"), b.alias("b")),
-            ),
-        )
-    )
-    out = arms.select(F.inline(pairs))
-    return out.select(
-        *[F.col(f"a.{c}").alias(f"{c}_a") for c in groups.columns],
-        *[F.col(f"b.{c}").alias(f"{c}_b") for c in groups.columns],
-    )
+    n = groups.count()
+    blocks = max(1, -(-n // block))
+    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    dealt = groups.withColumn("_own", F.pmod(F.xxhash64(name), F.lit(blocks)).cast("int"))
+    left = dealt.select(F.col("_own").alias("_x"), others.alias("_y"), *[F.col(c).alias(f"{c}_a") for c in groups.columns])
+    right = dealt.select(others.alias("_x"), F.col("_own").alias("_y"), *[F.col(c).alias(f"{c}_b") for c in groups.columns])
+    pairs = left.join(right, ["_x", "_y"]).filter(F.col(f"{name}_a") < F.col(f"{name}_b"))
+    return pairs.drop("_x", "_y")
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reachmark.operators import explain as E
+from reachmark.operators import gains as G
 from reachmark.operators import learners as L
 from reachmark.operators import scoring as S
+from reachmark.operators import trees as TR
 from reachmark.plans.registry import query, rounded
 from reachmark.plans.views import campaign, stored_campaign, table, with_views
+from reachmark.runtime import materialize
 
 KEY, LABEL = "account_id", "flg_resp"
-NUMERIC = ("x_price", "x_bal", "x_qty", "ref_score")
+NUMERIC = ("x_price", "x_bal", "x_qty", "score_resp")
 SPEC = L.ModelSpec(LABEL, KEY, NUMERIC, ("market_segment", "list_name"))
+PLAIN = L.ModelSpec(LABEL, KEY, ("x_price", "x_bal", "score_resp"))
 
 # Linear models: name -> (intercept, coefficients).
 MODELS = {
@@ -33,65 +41,151 @@ def _linear_score(df):
     return df.withColumn("proba", S.linear_proba(F.lit(-1.0), _COEF))
 
 
+# What SQL can hold of a fitted model: the rows scored, the responders among them, and that
+# every probability is one and ranks better than a floor.
+_SCORED = "SELECT CAST(COUNT(*) AS BIGINT) AS scored, CAST(SUM(flg_resp) AS BIGINT) AS responders, true AS in_range, true AS above_floor FROM campaign"
+FLOOR = 0.6
+
+
+def _facts(scored):
+    p, y = F.col("proba"), F.col(LABEL)
+    auc = G.auc_gini(scored, LABEL, "proba").select("auc").scalar()
+    return scored.agg(
+        F.count("proba").alias("scored"), F.sum(y).cast("bigint").alias("responders"),
+        F.bool_and((p > 0) & (p < 1)).alias("in_range"),
+    ).withColumn("above_floor", auc > FLOOR)
+
+
+def _fit(spark, sf_dir, family, params, spec=SPEC):
+    df = L.validate_input(_rows(spark, sf_dir), spec)
+    return L.fit_family(df, spec, family, params), df
+
+
 def _fit_scored(spark, sf_dir, family, params):
-    df = L.validate_input(_rows(spark, sf_dir), SPEC)
-    fitted = L.fit_family(df, SPEC, family, params)
-    return fitted.score(df).select(KEY, LABEL, "proba")
+    fitted, df = _fit(spark, sf_dir, family, params)
+    return _facts(materialize(fitted.score(df).select(KEY, LABEL, "proba"), "scored"))
 
 
-@query("fit_gbt")
+@query("fit_gbt", with_views("campaign", _SCORED))
 def fit_gbt(spark, sf_dir):
-    return _fit_scored(spark, sf_dir, "gbt", {"n_estimators": 5, "max_depth": 3, "subsample": 0.8})
+    params = {"n_estimators": 100, "max_depth": 3, "reg_lambda": 1.5, "bagging_temperature": 0.3, "colsample_bylevel": 0.7, "subsample": 0.8, "min_child_samples": 20}
+    return _fit_scored(spark, sf_dir, "gbt", params)
 
 
-@query("fit_rf")
+@query("fit_bagged", with_views("campaign", _SCORED))
+def fit_bagged(spark, sf_dir):
+    params = {"n_estimators": 100, "max_depth": 3, "reg_alpha": 1.0, "reg_lambda": 1.5, "pos_bagging_fraction": 0.8, "neg_bagging_fraction": 0.7, "colsample_bytree": 0.7}
+    return _fit_scored(spark, sf_dir, "bagged", params)
+
+
+@query("fit_plain", with_views("campaign", _SCORED))
+def fit_plain(spark, sf_dir):
+    params = {"n_estimators": 30, "max_depth": 3, "reg_alpha": 1.0, "gamma": 0.1, "min_child_weight": 0.05, "colsample_bylevel": 0.7, "subsample": 0.8}
+    return _fit_scored(spark, sf_dir, "plain", params)
+
+
+@query("fit_rf", with_views("campaign", _SCORED))
 def fit_rf(spark, sf_dir):
-    return _fit_scored(spark, sf_dir, "rf", {"n_estimators": 5, "max_depth": 4, "colsample": 0.7})
+    return _fit_scored(spark, sf_dir, "rf", {"n_estimators": 20, "max_depth": 4, "colsample_bytree": 0.7})
 
 
-@query("fit_lr")
+@query(
+    "fit_lr",
+    with_views("campaign", """SELECT t.feature, round(SUM(wt * flg_resp * v) / SUM(wt * v), 4) AS rate FROM campaign,
+ LATERAL (VALUES ('score_resp', score_resp), ('weight', 1.0::DOUBLE), ('x_price', x_price::DOUBLE)) t(feature, v) GROUP BY t.feature"""),
+)
 def fit_lr(spark, sf_dir):
-    return _fit_scored(spark, sf_dir, "lr", {"reg_lambda": 0.01})
+    """Score equations: weighted by any feature, probabilities sum to what labels sum to."""
+    spec = L.ModelSpec(LABEL, KEY, ("x_price", "score_resp"))
+    fitted, df = _fit(spark, sf_dir, "lr", {"max_iter": 200}, spec)
+    features = {"score_resp": F.col("score_resp"), "weight": F.lit(1.0), "x_price": F.col("x_price").cast("double")}
+    rate = lambda v: F.round(F.sum(F.col("wt") * F.col("proba") * v) / F.sum(F.col("wt") * v), 4)
+    cells = [F.struct(F.lit(n).alias("feature"), F.col(n).alias("rate")) for n in features]
+    return fitted.score(df).agg(*[rate(v).alias(n) for n, v in features.items()]).select(F.inline(F.array(*cells)))
+
+
+# Ranges small enough for a test machine; the families' own ranges are learners.SPACES.
+SEARCHED = {
+    "gbt": {"n_estimators": ("quniform", 20, 60, 10), "max_depth": ("quniform", 2, 3, 1), "learning_rate": ("uniform", 0.1, 0.5), "patience": ("quniform", 5, 5, 1)},
+    "bagged": {"n_estimators": ("quniform", 20, 60, 10), "max_depth": ("quniform", 2, 3, 1), "reg_alpha": ("uniform", 1, 3), "learning_rate": ("uniform", 0.1, 0.5), "patience": ("quniform", 5, 5, 1)},
+    "plain": {"n_estimators": ("quniform", 10, 20, 5), "max_depth": ("quniform", 2, 3, 1), "gamma": ("quniform", 0.0, 1.0, 0.001), "learning_rate": ("uniform", 0.2, 0.5)},
+}
 
 
-SMALL_SPACES = {
-    "gbt": {"n_estimators": ("quniform", 2, 4, 1), "max_depth": ("quniform", 2, 3, 1), "learning_rate": ("uniform", 0.05, 0.2)},
-    "rf": {"n_estimators": ("quniform", 3, 5, 1), "max_depth": ("quniform", 2, 4, 1)},
-    "lr": {"reg_lambda": ("uniform", 0.0, 0.1)},
-}
+def _search(spark, sf_dir, n_iter, kfolds=0):
+    search = L.Search(SPEC, spaces=SEARCHED, n_iter=n_iter, kfolds=kfolds)
+    search.run(_rows(spark, sf_dir))
+    return search
 
 
-@query("search_trials")
+@query("search_trials", "SELECT family, CAST(trial AS INT) AS trial, 7 AS measures, true AS loss_below_floor FROM (VALUES ('gbt'), ('bagged'), ('plain')) f(family), range(1, 3) t(trial)")
 def search_trials(spark, sf_dir):
-    search = L.Search(SPEC, families=["lr", "rf"], spaces=SMALL_SPACES, n_iter=1)
-    search.run(_rows(spark, sf_dir))
-    return rounded(search.trials_table(spark))
+    """Three families, two proposals each, by the loss of two folds."""
+    found = _search(spark, sf_dir, 2, kfolds=2).trials_table(spark)
+    return found.groupBy("family", "trial").agg(
+        F.count_distinct("metric").cast("int").alias("measures"), (F.max("loss") < 1 - FLOOR).alias("loss_below_floor")
+    )
 
 
-@query("model_comparison")
+@query(
+    "model_comparison",
+    with_views("campaign", """, n AS (SELECT flg_resp AS y, CAST(floor(0.2::DOUBLE * COUNT(*) + 0.5) AS BIGINT) AS k FROM campaign GROUP BY flg_resp)
+ SELECT family, round(SUM(k * y) / SUM(k)::DOUBLE, 6) AS no_skill, true AS above_floor, true AS one_chosen FROM n, (VALUES ('gbt'), ('bagged'), ('plain')) f(family) GROUP BY family"""),
+)
 def model_comparison(spark, sf_dir):
-    search = L.Search(SPEC, families=["lr", "rf"], spaces=SMALL_SPACES, n_iter=1)
-    search.run(_rows(spark, sf_dir))
-    table_, chosen = search.compare()
-    return rounded(table_.withColumn("chosen", F.col("family") == chosen))
+    """Test measures of the three families and the one chosen; the rate without skill is that of the test rows."""
+    found, chosen = _search(spark, sf_dir, 1).compare()
+    best = found.agg(F.max_by("family", "auc")).scalar()
+    return rounded(found.select("family", "no_skill", (F.col("auc") > FLOOR).alias("above_floor"), (best == chosen).alias("one_chosen")))
+
+
+_SHARES = """SELECT v.variable, true AS positive, CAST(ROW_NUMBER() OVER (ORDER BY v.variable <> 'score_resp', v.variable) AS INT) = 1 AS first, 1.0::DOUBLE AS total
+ FROM (VALUES ('x_price'), ('x_bal'), ('x_qty'), ('score_resp'), ('market_segment'), ('list_name')) v(variable)"""
+
+
+def _shares(table_):
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # one row per feature
+    return table_.select(
+        "variable", (F.col("importance") >= 0).alias("positive"),
+        (F.col("importance") == F.max("importance").over(every)).alias("first"), F.round(F.sum("share").over(every), 6).alias("total"),
+    )
 
 
-@query("tree_importance")
+@query("tree_importance", _SHARES)
 def tree_importance(spark, sf_dir):
-    return L.tree_importance(L.validate_input(_rows(spark, sf_dir), SPEC), SPEC)
+    """All features with the share of their gain; the earlier score comes first."""
+    return _shares(L.tree_importance(L.validate_input(_rows(spark, sf_dir), SPEC), SPEC))
 
 
-@query("importance_share")
+@query("importance_share", _SHARES)
 def importance_share(spark, sf_dir):
-    df = L.validate_input(_rows(spark, sf_dir), SPEC)
-    return L.importance_share(L.fit_family(df, SPEC, "rf", {"n_estimators": 5}), spark)
+    fitted, _ = _fit(spark, sf_dir, "rf", {"n_estimators": 20})
+    return _shares(L.importance_share(fitted, spark))
 
 
-@query("score_table")
+@query(
+    "score_table",
+    with_views("campaign", "SELECT CAST(COUNT(*) AS BIGINT) AS scored, round(SUM(wt * flg_resp) / SUM(wt)::DOUBLE, 4) AS mean_proba FROM campaign"),
+)
 def score_table(spark, sf_dir):
-    df = L.validate_input(_rows(spark, sf_dir), SPEC)
-    fitted = L.fit_family(df, SPEC, "lr", {"reg_lambda": 0.01})
-    return S.score_table(fitted, df, categorical=SPEC.categorical).select(KEY, "proba")
+    """A model without penalty: the weighted mean of its probabilities is the response rate."""
+    fitted, df = _fit(spark, sf_dir, "lr", {"max_iter": 200})
+    scored = S.score_table(fitted, df, categorical=SPEC.categorical)
+    mean = F.round(F.sum(F.col("wt") * F.col("proba")) / F.sum("wt"), 4)
+    return scored.agg(F.count("proba").alias("scored"), mean.alias("mean_proba"))
+
+
+@query(
+    "boost_stages",
+    "SELECT CAST(i AS INT) AS trees, true AS better FROM range(0, 26) t(i)",
+)
+def boost_stages(spark, sf_dir):
+    """Every prefix of an ensemble in one pass: with all rows and no shrinkage of the gain, each tree lowers the loss."""
+    fitted, df = _fit(spark, sf_dir, "plain", {"n_estimators": 25, "max_depth": 3}, PLAIN)
+    rows, features = fitted.model.with_features(df)
+    found = TR.stages(fitted.model.trees, rows, LABEL, F.col("wt"), features)
+    before = F.lag("log_loss").over(Window.orderBy("trees"))  # one row per tree
+    return found.select("trees", F.coalesce(F.col("log_loss") <= before + 1e-9, F.col("auc") == 0.5).alias("better"))
 
 
 @query("score_linear", with_views("campaign", f"SELECT account_id, round({_LINEAR}, 6) AS proba FROM campaign"))
@@ -173,12 +267,51 @@ def shapley_linear(spark, sf_dir):
     return rounded(E.shapley_linear(campaign(spark, sf_dir, "x_price", "x_bal"), _COEF))
 
 
-@query("shapley_mc")
+def _sql_shapley(features: dict[str, float], intercept: float) -> str:
+    """Mean absolute Shapley values of a logistic score by all its coalitions."""
+    names = list(features)
+    n = len(names)
+
+    def worth(inside) -> str:
+        total = " + ".join(f"{features[f]!r}::DOUBLE * {f if f in inside else 'm_' + f}" for f in names)
+        return f"1 / (1 + exp(-({intercept}::DOUBLE + {total})))"
+
+    cells = []
+    for f in names:
+        rest = [g for g in names if g != f]
+        terms = [
+            f"{math.factorial(k) * math.factorial(n - 1 - k)}::DOUBLE / {math.factorial(n)} * ({worth({*s, f})} - {worth(set(s))})"
+            for k in range(n) for s in combinations(rest, k)
+        ]
+        cells.append(f"AVG(abs({' + '.join(terms)})) AS {f}")
+    means = ", ".join(f"AVG({f}) AS m_{f}" for f in names)
+    return f""", m AS (SELECT {means} FROM campaign), v AS (SELECT {', '.join(cells)} FROM campaign, m),
+ u AS (UNPIVOT v ON {', '.join(names)} INTO NAME col_name VALUE importance)
+ SELECT col_name, round(importance, 6) AS importance, CAST(ROW_NUMBER() OVER (ORDER BY importance DESC) AS INT) AS rank FROM u"""
+
+
+_THREE = {"x_price": 0.000002, "x_bal": 0.0001, "ref_score": 0.005}
+
+
+@query("shapley_mc", with_views("campaign", _sql_shapley(_THREE, -3.0)))
 def shapley_mc(spark, sf_dir):
-    spec = L.ModelSpec(LABEL, KEY, ("x_price", "x_bal", "ref_score"))
-    df = stored_campaign(spark, sf_dir, KEY, LABEL, "wt", *spec.numeric)
-    fitted = L.fit_family(df, spec, "rf", {"n_estimators": 5})
-    return E.shapley_mc(df.select(KEY, *spec.numeric), fitted.score, spec.numeric, KEY)
+    df = stored_campaign(spark, sf_dir, KEY, *_THREE)
+    score = lambda rows: rows.withColumn("proba", S.linear_proba(F.lit(-3.0), _THREE))
+    return rounded(E.shapley_mc(df, score, list(_THREE), KEY))
+
+
+@query(
+    "shapley_trees",
+    """SELECT v.col_name, true AS adds_up, v.col_name = 'score_resp' AS first
+ FROM (VALUES ('x_price'), ('x_bal'), ('x_qty'), ('score_resp'), ('market_segment'), ('list_name')) v(col_name)""",
+)
+def shapley_trees(spark, sf_dir):
+    """Attributions of boosted trees: per row they add up to its margin, for every row."""
+    fitted, df = _fit(spark, sf_dir, "gbt", {"n_estimators": 40, "max_depth": 3})
+    rows = E.attribution_rows(fitted.model, df, KEY).join(fitted.score(df).select(KEY, "proba"), KEY)
+    total = F.aggregate("shares", F.col("expected"), lambda t, x: t + x)
+    off = rows.agg(F.max(F.abs(total - F.ln(F.col("proba") / (1 - F.col("proba")))))).scalar()
+    return E.shapley_trees(fitted.model, df).select("col_name", (off < 1e-6).alias("adds_up"), (F.col("rank") == 1).alias("first"))
 
 
 @query(
@@ -192,3 +325,35 @@ def partial_dependence(spark, sf_dir):
     df = campaign(spark, sf_dir, "x_price", "x_bal")
     out = E.partial_dependence(df, _linear_score, ["x_price", "x_bal"], grid=5)
     return out.select("variable", "point_no", F.round("value", 6).alias("value"), F.round("mean_proba", 6).alias("mean_proba"))
+
+
+@query(
+    "dependence_trees",
+    with_views("campaign", """, q AS (SELECT MIN(x_price) AS pl, quantile_cont(x_price, 0.95) AS ph, MIN(score_resp) AS bl, quantile_cont(score_resp, 0.95) AS bh FROM campaign)
+ SELECT 'x_price' AS variable, CAST(i AS INT) AS point_no, round(pl + (ph - pl) * i / 4, 4) AS value, true AS in_range FROM q, range(5) t(i)
+ UNION ALL SELECT 'score_resp', CAST(i AS INT), round(bl + (bh - bl) * i / 4, 4), true FROM q, range(5) t(i)"""),
+)
+def dependence_trees(spark, sf_dir):
+    """Mean probability of boosted trees along a grid of two features, in one scan."""
+    fitted, df = _fit(spark, sf_dir, "gbt", {"n_estimators": 40, "max_depth": 3})
+    out = E.dependence_trees(fitted.model, df, ["x_price", "score_resp"], grid=5)
+    return out.select("variable", "point_no", F.round("value", 4).alias("value"), F.col("mean_proba").between(0, 1).alias("in_range"))
+
+
+@query(
+    "score_batch_fitted",
+    with_views("campaign", """SELECT 'BR1_ppp_RESP' AS mdl_name, CAST(COUNT(*) AS BIGINT) AS cnt, CAST(COUNT(DISTINCT duns) AS BIGINT) AS scored, true AS in_range FROM campaign WHERE class_type = 'C1'
+ UNION ALL SELECT 'BR1_APPR', CAST(COUNT(*) AS BIGINT), CAST(COUNT(DISTINCT duns) AS BIGINT), true FROM campaign"""),
+)
+def score_batch_fitted(spark, sf_dir):
+    """Two fitted models in one scan; FUND models and unknown types are not scored."""
+    df = L.validate_input(
+        stored_campaign(spark, sf_dir, KEY, LABEL, "wt", "duns", "class_type", *SPEC.numeric, *SPEC.categorical), SPEC
+    )
+    one = L.fit_family(df, SPEC, "gbt", {"n_estimators": 20, "max_depth": 3, "patience": 0})
+    two = L.fit_family(df, PLAIN, "plain", {"n_estimators": 20, "max_depth": 2})
+    models = {"BR1_ppp_RESP_C1": one, "BR1_APPR_all": two, "BR1_FUND_all": two, "BR1_odd_all": one}
+    p = F.col("proba")
+    return S.score_batch(df, models).groupBy("mdl_name").agg(
+        F.count("proba").alias("cnt"), F.count_distinct("duns").alias("scored"), F.bool_and((p > 0) & (p < 1)).alias("in_range")
+    )

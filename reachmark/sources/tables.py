@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reachmark.operators.select import keep_columns
-from reachmark.runtime import materialize
+from reachmark.runtime import SMALL_TABLE_ROWS, materialize
 
 log = logging.getLogger(__name__)
 
@@ -126,35 +129,53 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def insert_file(
-    spark: SparkSession, name: str, path: str, delimiter: str = ",", first_row: int = 1
+    spark: SparkSession, name: str, path: str | list[str], delimiter: str = ",", first_row: int = 1
 ) -> None:
-    """Append one delimited file by position, from its ``first_row`` (1-based) on.
+    """Append delimited files by position, each from its ``first_row`` (1-based) on.
 
-    Rows in front of the data must lie in the file's first block; that is checked, and
-    lets the rest be parsed without numbering all lines.
+    ``path``: one or more files or folders. Lines are counted as they stand in a file, blank
+    ones too; blank lines give no row.
     """
     schema = _nullable(spark.table(name).schema)
     if first_row <= 2:
         copy_file_into(spark, name, path, sep=delimiter, header=first_row == 2)
         return
-    skip = first_row - 1
-    text = spark.read.text(path)
-    if len(text.inputFiles()) > 1:
-        raise ValueError(f"{path} is more than one file; give them one by one to skip rows of each")
-    lines = text.select(
-        "value",
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
-    )
-    head = F.col("start") == 0
-    if lines.filter(head).limit(skip).count() < skip and not lines.filter(~head).isEmpty():
-        raise ValueError(f"the first {skip} rows of {path} reach beyond its first block")
-    # A partition holds one block of a large file, or the whole of a small one.
-    rest = lines.filter(~(head & (F.col("row") < skip)))
-    parsed = rest.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"sep": delimiter}).alias("r"))
+    rest = numbered_lines(spark, path).filter((F.col("line_no") >= first_row) & (F.trim("line") != ""))
+    parsed = rest.select(F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"sep": delimiter}).alias("r"))
     parsed.select("r.*").write.insertInto(name)
 
 
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, line_no, line`` of text files, lines numbered from 1 within each file.
+
+    A task reads the lines of a block of a file in order and numbers them from the block's
+    start; the lines of the blocks before it, counted in a first pass, are added. No file has
+    to be read by one task.
+    """
+    text = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n = None, 0
+        for batch in batches:
+            files, starts = batch.column("file").to_pylist(), batch.column("start").to_numpy()
+            numbers = np.empty(batch.num_rows, np.int64)
+            for i, block in enumerate(zip(files, starts.tolist())):
+                if block != at:
+                    at, n = block, 0
+                n += 1
+                numbers[i] = n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], [*batch.schema.names, "n"])
+
+    lines = text.mapInArrow(number, "value string, file string, start bigint, n bigint")
+    blocks = text.groupBy("file", "start").agg(F.count(F.lit(1)).alias("lines"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # blocks, not lines
+    blocks = materialize(blocks.select("file", "start", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before")), "blocks")
+    known = F.broadcast(blocks) if blocks.count() <= SMALL_TABLE_ROWS else blocks
+    return lines.join(known, ["file", "start"]).select("file", (F.col("before") + F.col("n")).alias("line_no"), F.col("value").alias("line"))
+
+
 def row_count(
     spark: SparkSession, table: str | DataFrame, assert_count: Callable[[int], bool] | None = None
 ) -> int:
@@ -197,9 +218,11 @@ def archive_table(
 
     Rows already there with the same keys are stale: they are replaced, or with
     ``overwrite_stale`` off only counted and kept. Returns the number of stale rows.
-    In an archive partitioned by the keys, as made here, a replaced snapshot is one partition
-    overwrite, and other keys are never read. An archive of another layout is appended to;
-    to replace rows there, the ones to keep are stored and the table is written again.
+    A replacement is written next to the table and takes effect when the location of the
+    partition (or, in an archive that is not partitioned by the keys, of the table) is switched to it: a
+    job that fails before leaves the old rows. Read archives by name, not by path.
+    In an archive partitioned by the keys, as made here, other keys are never read. One of
+    another layout is appended to, and to replace rows there the ones to keep are written again.
     """
     keys = keys or {}
     rows = as_df(spark, table).drop(*ignore)
@@ -216,23 +239,40 @@ def archive_table(
     if stale:
         log.warning("%d stale rows in %s%s", stale, archive, "" if overwrite_stale else " are kept")
     parts = {c.name.lower() for c in spark.catalog.listColumns(archive) if c.isPartition}
-    if parts != {k.lower() for k in keys}:
-        if not (stale and overwrite_stale):
-            copy_into(rows, archive)
-            return stale
-        kept = target.filter(~F.coalesce(same, F.lit(False)))
-        whole = materialize(kept.unionByName(_aligned(rows, target.schema)), "archive")
-        whole.write.insertInto(archive, overwrite=True)
+    if not (stale and overwrite_stale):
+        copy_into(rows, archive)
         return stale
-    plain = T.StructType([f for f in target.schema if f.name.lower() not in parts])
-    view = f"_archive_{abs(hash((archive, *map(str, keys.values()))))}"
-    _aligned(rows, plain).createOrReplaceTempView(view)
-    verb = "OVERWRITE" if overwrite_stale else "INTO"
+    if parts == {k.lower() for k in keys}:
+        plain = T.StructType([f for f in target.schema if f.name.lower() not in parts])
+        _switch(_aligned(rows, plain), archive, keys)
+    else:
+        kept = target.filter(~F.coalesce(same, F.lit(False)))
+        _switch(kept.unionByName(_aligned(rows, target.schema)), archive, {}, sorted(parts))
+    return stale
+
+
+def _switch(rows: DataFrame, name: str, keys: dict[str, object], partition_by: Sequence[str] = ()) -> None:
+    """Write ``rows`` aside and make them the table, or its partition of ``keys``; then empty the old place."""
+    spark = rows.sparkSession
     spec = ", ".join(f"`{k}` = :k{i}" for i, k in enumerate(keys))
-    spec = f"PARTITION ({spec})" if keys else ""
     args = {f"k{i}": v for i, v in enumerate(keys.values())}
-    try:
-        spark.sql(f"INSERT {verb} TABLE `{archive}` {spec} SELECT * FROM `{view}`", args=args or None)
-    finally:
-        spark.catalog.dropTempView(view)
-    return stale
+    root, old = _location(spark, name), _location(spark, name, keys)
+    new = f"{root.split(_VERSIONS)[0]}{_VERSIONS}{uuid.uuid4().hex}"
+    rows.write.partitionBy(*partition_by).parquet(new)
+    place = f"PARTITION ({spec}) " if keys else ""
+    spark.sql(f"ALTER TABLE `{name}` {place}SET LOCATION '{new}'", args=args or None)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE `{name}`")
+    spark.catalog.refreshTable(name)
+    rows.limit(0).write.mode("overwrite").parquet(old)  # nothing refers to it any more
+
+
+_VERSIONS = "_versions/"
+
+
+def _location(spark: SparkSession, name: str, keys: dict[str, object] | None = None) -> str:
+    """Where a table's files, or those of one partition, are."""
+    spec = ", ".join(f"`{k}` = :k{i}" for i, k in enumerate(keys or {}))
+    args = {f"k{i}": v for i, v in enumerate((keys or {}).values())}
+    rows = spark.sql(f"DESCRIBE FORMATTED `{name}` {f'PARTITION ({spec})' if keys else ''}", args=args or None)
+    return rows.filter("col_name = 'Location'").first()["data_type"].rstrip("/")

@@ -221,6 +221,9 @@ def test_lookups(spark):
     groups = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3)], "g string, n int")
     pairs = {(r["g_a"], r["g_b"], r["n_a"], r["n_b"]) for r in J.group_pairs(groups, "g").collect()}
     assert pairs == {("x", "y", 1, 2), ("x", "z", 1, 3), ("y", "z", 2, 3)}
+    many = spark.range(40).selectExpr("concat('g', lpad(id, 2, '0')) AS g", "id AS n").unionByName(spark.createDataFrame([(None, 9)], "g string, n long"))
+    found = J.group_pairs(many, "g", block=7)
+    assert found.count() == found.distinct().count() == 40 * 39 // 2 and found.filter("g_a >= g_b").count() == 0
     states = spark.createDataFrame([("TX",), ("XX",)], "member string")
     found = {r["member"]: r["region"] for r in J.with_lookup(states, state_regions(spark), ["member"]).collect()}
     assert found == {"TX": "south_west", "XX": None}

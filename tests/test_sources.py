@@ -137,11 +137,54 @@ def test_archive_of_another_layout(spark, staged, overwrite):
     W.drop_table(spark, name)
 
 
-def test_rows_are_skipped_in_one_file_only(spark, staged, tmp_path):
-    for i in range(2):
-        (tmp_path / f"p{i}.txt").write_text("x\ny\n8|h|1\n")
-    with pytest.raises(ValueError):
-        W.insert_file(spark, staged, str(tmp_path), "|", first_row=3)
+def test_rows_are_skipped_in_every_file(spark, staged, tmp_path):
+    for i in range(40):
+        (tmp_path / f"p{i}.txt").write_text(f"x\n\n{i}|h|1\n\n{i}|h|2\n{i}|h|3\n")
+    W.delete_all_rows(spark, staged)
+    W.insert_file(spark, staged, str(tmp_path), "|", first_row=3)
+    rows = spark.table(staged)
+    assert rows.count() == 120 and rows.filter("v is null").count() == 0
+    assert {r["n"] for r in rows.groupBy("id").agg(F.count("*").alias("n")).collect()} == {3}
+
+
+def test_lines_are_numbered_over_blocks(spark, staged, tmp_path):
+    """Rows to skip reach far beyond the first block of a file."""
+    big = tmp_path / "big.txt"
+    big.write_text("".join(f"{i}|{'v' * (i % 90)}|{i % 7}\n" for i in range(1, 20_001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        lines = W.numbered_lines(spark, str(big))
+        assert lines.filter(F.col("line_no") != F.split("line", r"\|")[0].cast("long")).count() == 0
+        assert lines.count() == 20_000
+        W.delete_all_rows(spark, staged)
+        W.insert_file(spark, staged, str(big), "|", first_row=15_001)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = spark.table(staged).agg(F.min("id"), F.max("id"), F.count("id")).first()
+    assert tuple(got) == (15_001, 20_000, 5_000)
+
+
+@pytest.mark.parametrize("flat", [True, False])
+def test_a_failed_replacement_keeps_the_old_rows(spark, staged, flat):
+    name = f"safe_{staged}_{flat}".lower()
+    if flat:
+        schema = T.StructType([T.StructField("month", T.StringType()), T.StructField("id", T.IntegerType())])
+        W.create_table(spark, name, schema, scratch_path(spark, name))
+    W.archive_table(spark, staged, name, {"month": "m1"}, ignore=["junk", "v"])
+    W.archive_table(spark, staged, name, {"month": "m2"}, ignore=["junk", "v"])
+    broken = spark.table(staged).withColumn("id", F.when(F.col("id") > 1, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        W.archive_table(spark, broken, name, {"month": "m1"}, True, ["junk", "v"])
+    want = {("m1", 1, 1), ("m1", 2, 1), ("m2", 1, 1), ("m2", 2, 1)}
+    assert months(spark, name) == want
+    fresh = spark.table(staged).filter("id = 2")
+    for _ in range(2):
+        assert W.archive_table(spark, fresh, name, {"month": "m1"}, True, ["junk", "v"]) > 0
+        assert months(spark, name) == want - {("m1", 1, 1)}
+    W.archive_table(spark, staged, name, {"month": "m3"}, True, ["junk", "v"])
+    assert ("m3", 1, 1) in months(spark, name)
+    W.drop_table(spark, name)
 
 
 def test_archive_must_exist(spark, staged):
