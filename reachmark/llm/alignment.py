@@ -22,6 +22,8 @@ from reachmark.runtime import materialize, spread
 
 #: Bytes of text that make a block: a block's distinct pairs are asked for once.
 BLOCK_BYTES = 4 << 20
+#: Bytes of text that are aligned at once.
+SLICE_BYTES = 1 << 20
 #: A group with more links than this is counted by its distinct ids, not link by link.
 WIDE_GROUP = 256
 
@@ -170,20 +172,20 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return Aligner(byte_path, piece_path)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in blocks of about ``BLOCK_BYTES`` of text; a longer text is a block of its own."""
-    for batch in batches:
-        number = np.cumsum([len(t) for t in batch.column(1).to_pylist()]) // BLOCK_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            if e > s:
-                yield batch.slice(s, e - s)
+def _runs(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes; a longer text shares its range with few."""
+    number = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(sizes)]
+    return [(s, e) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if e > s]
 
 
-def align_documents(docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def align_documents(
+    docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc_id", text: str = "text", with_groups: bool = True
+) -> DataFrame:
     """Per row of ``docs`` its alignment, in one narrow pass.
 
-    ``_key, n_a, n_b, n_groups, n_links, groups`` (written as ``a1,a2|b1;a3|b2``) and
+    ``_key, n_a, n_b, n_groups, n_links, groups_sha256``, with ``groups`` if asked for (written
+    as ``a1,a2|b1;a3|b2``), and
     ``_block, pairs array<bigint>, times array<bigint>``: distinct linked id pairs and their
     links; an id pair is written ``a * pieces + b``. Null, empty and very long texts, repeated rows and
     null keys give one row each; null and empty ones, and texts that a tokenizer does not
@@ -191,28 +193,32 @@ def align_documents(docs: DataFrame, byte_path: str, piece_path: str, key: str =
     """
     src = spread(keyed_texts(docs, key, text))
     kind = src.schema[KEY].dataType.simpleString()
-    schema = (
-        f"{KEY} {kind}, _block string, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
-        "groups_sha256 string, pairs array<bigint>, times array<bigint>"
-    )
+    names = [KEY, "_block", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times", *(["groups"] if with_groups else [])]
+    types = [kind, "string", *["bigint"] * 4, "string", "array<bigint>", "array<bigint>", "string"]
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, types))
+
+    def rows_of(texts: pa.Array, block: str) -> list[pa.Array]:
+        both, rows = aligner(byte_path, piece_path), []
+        for a, b, na, nb in both.align(texts.to_pylist()):
+            pairs, times = linked_pairs(a, b, na, nb, both.width)
+            groups = both.written_groups(a, b, na, nb)
+            digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+            rows.append((block, len(a), len(b), len(na), int((na * nb).sum()), digest, pairs, times, *([groups] if with_groups else [])))
+        cols = list(zip(*rows, strict=True))
+        offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in cols[6]]))).astype(np.int32))
+        arrays = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in cols[6:8]]
+        plain = [pa.array(cols[0]), *[pa.array(c, pa.int64()) for c in cols[1:5]], pa.array(cols[5])]
+        return [*plain, *arrays, *[pa.array(c) for c in cols[8:]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(byte_path, piece_path)
-        for block in _blocks(batches):
-            name, rows = uuid.uuid4().hex, []
-            for a, b, na, nb in both.align(block.column(1).to_pylist()):
-                pairs, times = linked_pairs(a, b, na, nb, both.width)
-                groups = both.written_groups(a, b, na, nb)
-                digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                rows.append((name, len(a), len(b), len(na), int((na * nb).sum()), groups, digest, pairs, times))
-            cols = list(zip(*rows, strict=True))
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in cols[7]]))).astype(np.int32))
-            arrays = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in cols[7:]]
-            plain = [pa.array(cols[0]), *[pa.array(c, pa.int64()) for c in cols[1:5]], pa.array(cols[5]), pa.array(cols[6])]
-            yield pa.RecordBatch.from_arrays(
-                [block.column(0), *plain, *arrays],
-                [KEY, "_block", "n_a", "n_b", "n_groups", "n_links", "groups", "groups_sha256", "pairs", "times"],
-            )
+        for batch in batches:
+            texts = batch.column(1)
+            sizes = [len(t) for t in texts.to_pylist()]
+            for start, end in _runs(sizes, BLOCK_BYTES):
+                block = uuid.uuid4().hex
+                for s, e in _runs(sizes[start:end], SLICE_BYTES):
+                    part = batch.slice(start + s, e - s)
+                    yield pa.RecordBatch.from_arrays([part.column(0), *rows_of(part.column(1), block)], names)
 
     return src.mapInArrow(run, schema)
 
@@ -237,7 +243,7 @@ def link_scores(docs: DataFrame, byte_path: str, piece_path: str, key: str = "do
     those of ``align_documents``; an empty table gives no row.
     """
     width = aligner(byte_path, piece_path).width
-    stored = materialize(align_documents(docs, byte_path, piece_path, key, text).drop("groups"), "aligned")
+    stored = materialize(align_documents(docs, byte_path, piece_path, key, text, with_groups=False), "aligned")
     counts = materialize(pair_counts(stored, width), "pairs")
     asked = stored.select("_block", F.explode("pairs").alias("pair")).groupBy("_block", "pair").agg(F.lit(1).alias("_"))
     answers = asked.join(counts, "pair").select(F.col("_block").alias("_asker"), "pair", "n", "best")
