@@ -215,7 +215,10 @@ COUNTED, COMMON = 16_000_000, 500_000
 GATHERED = 4096
 #: Cells of up to so many texts give pairs, larger ones a forest.
 PAIRED = 32
-WORDS = 4  # of 64 bits, in a parity bitmap
+#: Words of 64 bits in a parity bitmap: in cells, and to decide which sets are compared.
+WORDS, LONG = 2, 32
+#: Sets are compared by this part of their shingle hashes.
+HASH = np.dtype("<u4")
 
 
 def _shingles(text: bytes, shingle: int) -> np.ndarray:
@@ -234,10 +237,10 @@ def _shingles(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(grams)
 
 
-def parities(grams: np.ndarray) -> np.ndarray:
-    """``WORDS`` x 64 bits, each the parity of the hashes that fall on it. The bitmaps of two sets
+def parities(grams: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """``words`` x 64 bits, each the parity of the hashes that fall on it. The bitmaps of two sets
     differ in no more bits than the sets differ in members."""
-    bits = np.bincount((grams >> np.uint64(32)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS) & 1
+    bits = np.bincount((grams >> np.uint64(32)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
 
@@ -250,20 +253,12 @@ def may_link(n: np.ndarray, bits: np.ndarray, m: np.ndarray, other: np.ndarray,
 
 def resemblance(a: bytes, b: bytes) -> float:
     """Share of common members of two sets of hashes, each distinct and in order."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    x, y = np.frombuffer(a, HASH), np.frombuffer(b, HASH)
     common = len(np.intersect1d(x, y, assume_unique=True))
     union = len(x) + len(y) - common
     return common / union if union else 1.0
 
 
-def resemblances(x: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``resemblance`` of the set ``x`` and every row, of which the first ``sizes`` hashes count."""
-    own = np.arange(rows.shape[1]) < sizes[:, None]
-    common = (own & np.isin(rows, x)).sum(axis=1)
-    union = len(x) + sizes - common
-    return np.where(union > 0, common / np.maximum(union, 1), 1.0)
-
-
 def close_texts(prints: np.ndarray | None, sets: list[bytes], least: float, distance: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Places (left, right) of links that connect exactly those texts that all links connect.
 
@@ -272,9 +267,9 @@ def close_texts(prints: np.ndarray | None, sets: list[bytes], least: float, dist
     over the lists of texts per shingle, with those not reached yet, so texts around one centre
     take few passes.
     """
-    sizes = np.array(list(map(len, sets)), np.int64) // 8
+    sizes = np.array(list(map(len, sets)), np.int64) // HASH.itemsize
     ends = np.cumsum(sizes)
-    values, number = np.unique(np.frombuffer(b"".join(sets), "<u8"), return_inverse=True)
+    values, number = np.unique(np.frombuffer(b"".join(sets), HASH), return_inverse=True)
     lists = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[np.argsort(number, kind="stable")]
     lengths = np.bincount(number, minlength=len(values))
     first = np.cumsum(lengths) - lengths
@@ -318,19 +313,26 @@ def _cell_links(n: np.ndarray, bits: np.ndarray, least: float) -> tuple[list[int
     return left, right
 
 
-def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+def _per_text(batch: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Number and shingles of every text of a batch of (text, number), copies once."""
+    number = batch.column(1).to_numpy()
+    _, first = np.unique(number, return_index=True)
+    texts = byte_rows(batch.column(0).take(pa.array(first)))
+    return ((int(number[i]), _shingles(text, shingle)) for i, text in zip(first, texts, strict=True))
+
+
+def common_shingles(texts: DataFrame, total: int, shingle: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Hashes of common shingles in order, their counts, and of how many texts one was counted.
 
     Counts only steer the work: any order of shingles finds the same links.
     """
-    total = sets.agg(F.sum("n")).first()[0] or 0
     every = max(1, -(-total // COUNTED))
 
     def flat(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")
-        return pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
+        h = np.concatenate([np.zeros(0, np.uint64), *(g for _, g in _per_text(batch, shingle))])
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
 
-    some = sets.where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0).select("grams")
+    some = texts.where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0)
     counts = materialize(map_arrow(some, flat, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
     cut, held = 2, 0
     for c, k in sorted(((r.c, r.k) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
@@ -349,40 +351,41 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
     ``component`` is the smallest key of the group, ``t`` a number of the text. Null keys are
     never a component's key unless the group has no other. Texts without words are one group.
+    Repeated rows are returned each, other columns are left out, an empty table gives no row.
 
-    Links are those of the whole sets of shingle hashes, and none is left out. In one order of
-    all shingles, rare ones first, two sets of sizes n that share ``least`` have one of their first
-    n - ceil(least n) + 1 shingles in common. Texts meet in the cells of these. Sizes and parity
-    bitmaps drop only pairs that cannot link; the others are verified on the whole sets.
+    Links are those of the whole sets of shingles, each by 32 bits of its hash, and none is left
+    out. In one order of all shingles, rare ones first, two sets of sizes n that share ``least`` have one of
+    their first n - ceil(least n) + 1 shingles in common. Texts meet in the cells of these. Sizes
+    and parity bitmaps drop only pairs that cannot link: a short bitmap in the cells, a long one
+    before the sets of the rest are fetched and compared.
 
+    Texts are never shuffled: sets, and cells, are made in passes over the rows, where copies in a batch count once.
     Cells of up to ``PAIRED`` texts give their pairs. Larger ones give a forest of pairs not
     dropped, and shingles known to be in more than ``GATHERED`` texts a star without being
     gathered. What these connect is a family: there texts are compared until all that are linked
     are connected, in blocks, so neither all pairs nor a whole family meet in one task. That is
     quadratic in a family only where its texts do not link.
     """
-    src = docs.select(
-        F.col(f"`{key}`").alias(KEY), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(TEXT)
-    ).select(KEY, TEXT, F.xxhash64(TEXT).alias("t"))
-    kind = src.schema[KEY].dataType.simpleString()
+    src = keyed_texts(docs, key, text).select(KEY, F.xxhash64(TEXT).alias("t"), TEXT)
+    texts = src.select(TEXT, "t")
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [_shingles(t, shingle) for t in byte_rows(batch.column(2))]
-        raw = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(map(len, sets)), pa.int32()), raw], ["t", "low", "n", "grams"])
-
-    once = src.groupBy("t").agg(F.min(KEY).alias("low"), F.first(TEXT).alias(TEXT))
-    items = materialize(map_arrow(once, describe, f"t bigint, low {kind}, n int, grams binary"), "items")
-    common, counts, every = common_shingles(items)
+        found = list(_per_text(batch, shingle))
+        sets = [np.unique((g >> np.uint64(32)).astype(HASH)).tobytes() for _, g in found]
+        long = [parities(g, LONG).tobytes() for _, g in found]
+        cols = [pa.array([t for t, _ in found], pa.int64()), pa.array([len(g) for _, g in found], pa.int32()), pa.array(long, pa.binary()), pa.array(sets, pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, ["t", "n", "bits", "grams"])
+
+    items = materialize(map_arrow(texts, describe, "t bigint, n int, bits binary, grams binary"), "items")
+    total = items.agg(F.sum("n")).first()[0] or 0
+    common, counts, every = common_shingles(texts, total, shingle)
     fields = ["h", "t", "n", *(f"b{k}" for k in range(WORDS))]
     schema = "h bigint, t bigint, n int, " + ", ".join(f"b{k} bigint" for k in range(WORDS))
 
     def spread(hot: bool):
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            t, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            heads, bits = [], []
-            for raw in batch.column(2).to_pylist():
-                g = np.frombuffer(raw, "<u8")
+            heads, bits, t, n = [], [], [], []
+            for number, g in _per_text(batch, shingle):
                 rank = np.zeros(len(g), np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, g), len(common) - 1)
@@ -390,12 +393,15 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
                 head = np.argsort(rank, kind="stable")[: len(g) - int(np.ceil(least * len(g) - 1e-6)) + 1]
                 heads.append(g[head[(rank[head] * every > GATHERED) == hot]] if len(g) else np.zeros(0 if hot else 1, np.uint64))
                 bits.append(parities(g))
+                t.append(number)
+                n.append(len(g))
             k = np.array(list(map(len, heads)))
             table = np.repeat(np.stack(bits).view(np.int64), k, axis=0)
-            cols = [np.concatenate(heads).astype(np.uint64).view(np.int64), np.repeat(t, k), np.repeat(n, k), *table.T]
+            h = np.concatenate(heads).astype(np.uint64).view(np.int64)
+            cols = [h, np.repeat(np.array(t, np.int64), k), np.repeat(np.array(n, np.int32), k), *table.T]
             return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], fields)
 
-        return map_arrow(items.select("t", "n", "grams"), run, schema)
+        return map_arrow(texts, run, schema)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.RecordBatch] = []
@@ -413,7 +419,10 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
             yield links(parts)
 
     def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        cell, t, n, *words = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in range(3 + WORDS))
+        columns = [np.concatenate([p.column(c).to_numpy() for p in parts]) for c in range(3 + WORDS)]
+        new = np.ones(len(columns[0]), bool)  # copies from several batches are neighbours
+        new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+        cell, t, n, *words = (c[new] for c in columns)
         bits = np.stack(words, axis=1).view(np.uint64)
         n = n.astype(np.int64)
         edge = np.flatnonzero(np.diff(cell)) + 1
@@ -437,20 +446,39 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
             dst.append(t[a:b][np.array(y, int)])
         s, d = np.concatenate(src), np.concatenate(dst)
         out = (np.minimum(s, d), np.maximum(s, d), np.arange(len(s)) >= few)
-        return pa.RecordBatch.from_arrays([pa.array(v[s != d]) for v in out], ["src", "dst", "dense"])
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in out], ["src", "dst", "dense"])
 
-    cells = spread(False).repartition("h").sortWithinPartitions("h")
+    cells = spread(False).repartition("h").sortWithinPartitions("h", "t")
     pairs = cells.mapInArrow(runs, "src bigint, dst bigint, dense boolean")
     if len(counts) and int(counts.max()) * every > GATHERED:
-        hot = materialize(spread(True).select("h", "t"), "hot")
+        hot = materialize(spread(True).select("h", "t").distinct(), "hot")
         centre = F.broadcast(hot.groupBy("h").agg(F.min("t").alias("src")))  # COMMON rows at most
         stars = hot.join(centre, "h").where("src <> t").select("src", F.col("t").alias("dst"), F.lit(True).alias("dense"))
         pairs = pairs.unionByName(stars)
     pairs = materialize(pairs.groupBy("src", "dst").agg(F.max("dense").alias("dense")), "pairs")
-    side = items.select("t", "grams")
-    both = pairs.where("NOT dense").join(side.withColumnsRenamed({"t": "src", "grams": "x"}), "src").join(
-        side.withColumnsRenamed({"t": "dst", "grams": "y"}), "dst"
+
+    def of_pairs(pairs: DataFrame, column: str) -> DataFrame:
+        """``pairs`` with a column of both texts; only rows of texts that are in a pair move."""
+        ends = pairs.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
+        side = items.select("t", column).join(ends, "t", "left_semi").dropDuplicates(["t"])
+        return pairs.join(side.withColumnsRenamed({"t": "src", column: "x"}), "src").join(
+            side.withColumnsRenamed({"t": "dst", column: "y"}), "dst"
+        )
+
+    def possible(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, LONG) for c in (4, 5))
+        n, m = (batch.column(c).to_numpy().astype(np.int64) for c in (2, 3))
+        return batch.select(["src", "dst"]).filter(pa.array(may_link(n, a, m, b, least)))
+
+    sizes = items.select("t", F.struct("n", "bits").alias("d"))
+    few = pairs.where("NOT dense").select("src", "dst")
+    ends = few.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
+    side = sizes.join(ends, "t", "left_semi").dropDuplicates(["t"])
+    seen = few.join(side.select(F.col("t").alias("src"), F.col("d").alias("x")), "src").join(
+        side.select(F.col("t").alias("dst"), F.col("d").alias("y")), "dst"
     )
+    seen = seen.select("src", "dst", F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("x.bits").alias("a"), F.col("y.bits").alias("b"))
+    left = materialize(map_arrow(seen, possible, "src bigint, dst bigint"), "possible")
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.sort_by("t")
@@ -459,13 +487,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         return pa.Table.from_pydict({"src": t[a], "dst": t[b]})
 
     family = components(pairs.where("dense").select("src", "dst")).withColumnsRenamed({"node": "t", "component": "family"})
-    family = materialize(family.join(items.select("t", "n"), "t"), "families")
+    family = materialize(family.join(items.select("t", "n").join(family.select("t"), "t", "left_semi").distinct(), "t"), "families")
     most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / (BLOCK * SKETCH))
     blocks = family.groupBy("family").agg(F.ceil(most).cast("int").alias("blocks"))
     meets = F.expr(
         "explode(transform(filter(sequence(0, blocks - 1), o -> o <> block OR blocks = 1),"
         " o -> struct(least(block, o) AS x, greatest(block, o) AS y)))"
     )
+    side = items.select("t", "grams").join(family.select("t"), "t", "left_semi").dropDuplicates(["t"])
     placed = side.join(family, "t").join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("t"), "blocks").cast("int"))
     placed = placed.select("t", "grams", "family", meets.alias("p")).select("t", "grams", "family", "p.x", "p.y")
     dense = placed.groupBy("family", "x", "y").applyInArrow(meet, "src bigint, dst bigint")
@@ -474,22 +503,35 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         ok = [resemblance(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         return batch.select(["src", "dst"]).filter(pa.array(ok, pa.bool_()))
 
-    good = map_arrow(both.select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
+    good = map_arrow(of_pairs(left, "grams").select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
     found = components(materialize(good.unionByName(dense), "links")).withColumnsRenamed({"node": "t", "component": "group"})
-    member = materialize(items.select("t", "low").join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
+    lows = src.groupBy("t").agg(F.min(KEY).alias("low"))
+    member = materialize(lows.join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
     low = member.groupBy("group").agg(F.min("low").alias("component"))
     return src.select(KEY, "t").join(member.join(low, "group").select("t", "group", "component"), "t")
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of similar texts, the one of the smallest key; all columns stay."""
+    """``docs`` with one row of each group of similar texts, the one of the smallest key; all columns stay.
+
+    Of rows equal in key and text one stays. A group that has null keys only keeps one of its rows.
+    """
     found = materialize(similar_groups(docs, key, text, **options), "groups")
     kept = found.where(F.col(KEY).eqNullSafe(F.col("component")))
     once = kept.groupBy(KEY, "t", "group").agg(F.count(F.lit(1)).alias("n"))
     # several texts of a group may carry its smallest key
-    keep = once.groupBy("group", F.col(KEY).alias("_k")).agg(F.min("t").alias("_t2"))
-    own = docs.withColumn("_t", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    out = own.join(keep, F.col(f"`{key}`").eqNullSafe(F.col("_k")) & (F.col("_t") == F.col("_t2")), "left_semi")
+    own, other, kept_text = (_free(docs, c) for c in ("_text_no", "_kept_key", "_kept_text"))
+    keep = once.groupBy("group", F.col(KEY).alias(other)).agg(F.min("t").alias(kept_text)).drop("group")
+    out = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    out = out.join(keep, F.col(f"`{key}`").eqNullSafe(F.col(other)) & (F.col(own) == F.col(kept_text)), "left_semi")
     if not once.where("n > 1").isEmpty():  # rows equal in key and text
-        out = out.dropDuplicates([key, "_t"])
-    return out.drop("_t")
+        out = out.dropDuplicates([key, own])
+    return out.drop(own)
