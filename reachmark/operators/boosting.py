@@ -73,9 +73,13 @@ def bin_edges(df: DataFrame, features: list[Column], bins: int) -> list[np.ndarr
     return [np.unique(np.array([v for v in (e or []) if v is not None and not np.isnan(v)], float)) for e in row]
 
 
-def make_blocks(df: DataFrame, features: list[Column], label: Column, weight: Column, key: Column, watched: Column, edges: list[np.ndarray]) -> DataFrame:
+def make_blocks(
+    df: DataFrame, features: list[Column], label: Column, weight: Column, key: Column, watched: Column, edges: list[np.ndarray], rows: int
+) -> DataFrame:
     """Stored blocks of rows: codes (feature by feature), label, weight, draw number and margin as bytes.
 
+    Few rows get few tasks, as every level of every tree is a pass over them.
+
     Code 0 is the missing value and all values up to the first edge's left, so that missing values go left.
     """
     src = df.select(
@@ -95,7 +99,8 @@ def make_blocks(df: DataFrame, features: list[Column], label: Column, weight: Co
                 row = [packed, cells[0], cells[1], hashes, cells[2], np.zeros(len(x)).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([len(x)], pa.int32()), *[pa.array([c], pa.binary()) for c in row]], _NAMES)
 
-    return materialize(src.mapInArrow(run, _SCHEMA), "blocks")
+    blocks = src.coalesce(max(1, -(-rows // BLOCK_ROWS))).mapInArrow(run, _SCHEMA)
+    return materialize(blocks, "blocks")
 
 
 _NAMES = ["n", "codes", "y", "w", "h", "v", "m"]
@@ -352,9 +357,10 @@ def boost(
     values go left at every split. Results depend on keys, not on partitions.
     """
     edges = bin_edges(df.filter(~watched), features, p.bins)
-    sums = df.filter(~watched).agg(F.sum(weight * label), F.sum(weight)).first()
+    counted = F.when(~watched, weight)
+    sums = df.agg(F.sum(counted * label), F.sum(counted), F.count(F.lit(1))).first()
     share = min(max((sums[0] or 0.0) / (sums[1] or 1.0), 1e-6), 1 - 1e-6)
-    growth = _Growth(make_blocks(df, features, label, weight, key, watched, edges), edges, p, float(np.log(share / (1 - share))))
+    growth = _Growth(make_blocks(df, features, label, weight, key, watched, edges, sums[2]), edges, p, float(np.log(share / (1 - share))))
     seen: list[float] = []
     best = 0
     try:

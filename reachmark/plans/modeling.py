@@ -52,7 +52,7 @@ def _facts(scored):
     auc = G.auc_gini(scored, LABEL, "proba").select("auc").scalar()
     return scored.agg(
         F.count("proba").alias("scored"), F.sum(y).cast("bigint").alias("responders"),
-        F.bool_and((p > 0) & (p < 1)).alias("in_range"),
+        F.bool_and(p.between(0, 1)).alias("in_range"),
     ).withColumn("above_floor", auc > FLOOR)
 
 
@@ -330,14 +330,14 @@ def partial_dependence(spark, sf_dir):
 @query(
     "dependence_trees",
     with_views("campaign", """, q AS (SELECT MIN(x_price) AS pl, quantile_cont(x_price, 0.95) AS ph, MIN(score_resp) AS bl, quantile_cont(score_resp, 0.95) AS bh FROM campaign)
- SELECT 'x_price' AS variable, CAST(i AS INT) AS point_no, round(pl + (ph - pl) * i / 4, 4) AS value, true AS in_range FROM q, range(5) t(i)
- UNION ALL SELECT 'score_resp', CAST(i AS INT), round(bl + (bh - bl) * i / 4, 4), true FROM q, range(5) t(i)"""),
+ SELECT 'x_price' AS variable, CAST(i AS INT) AS point_no, round(pl + (ph - pl) * i / 4, 1) AS value, true AS in_range FROM q, range(5) t(i)
+ UNION ALL SELECT 'score_resp', CAST(i AS INT), round(bl + (bh - bl) * i / 4, 1), true FROM q, range(5) t(i)"""),
 )
 def dependence_trees(spark, sf_dir):
     """Mean probability of boosted trees along a grid of two features, in one scan."""
     fitted, df = _fit(spark, sf_dir, "gbt", {"n_estimators": 40, "max_depth": 3})
     out = E.dependence_trees(fitted.model, df, ["x_price", "score_resp"], grid=5)
-    return out.select("variable", "point_no", F.round("value", 4).alias("value"), F.col("mean_proba").between(0, 1).alias("in_range"))
+    return out.select("variable", "point_no", F.round("value", 1).alias("value"), F.col("mean_proba").between(0, 1).alias("in_range"))
 
 
 @query(
