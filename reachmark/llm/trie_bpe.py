@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from reachmark.llm.common import KEY, keyed_texts, map_arrow
 
 #: Bytes of chunks that a worker remembers with their ids; beyond it starts anew.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 160 << 20
 #: Pairs of tokens whose border a worker remembers.
 REMEMBERED_PAIRS = 1_000_000
 #: Longer words get no trie nodes: their prefixes are followed one by one without storing them.
