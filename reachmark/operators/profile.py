@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,50 +149,71 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 # -- pairs of columns ---------------------------------------------------------------------
 
+#: Columns of a tile of the pair matrices, and tasks per core that add up tiles.
+TILE, TASKS_PER_CORE = 64, 4
+_SUMS = ("n", "sx", "sy", "sxy", "sxx", "syy")
+_RANGES = ("x_low", "y_low", "x_high", "y_high")
+
+
 def pair_sums(df: DataFrame, cols: Sequence[str], centers: Sequence[float] | None = None):
     """Pairwise-complete sums and ranges of all column pairs, one small row per pair.
 
-    Each task adds up matrix products of its Arrow batches; only p x p sums are shuffled.
+    Tasks add up matrix products of their Arrow batches and send them as tiles of ``TILE`` x
+    ``TILE`` pairs; input partitions are put together first, so that there are a few tasks per
+    core however many partitions there are. Tiles are added in a task each and only then cut into rows.
     ``centers`` are subtracted first, which keeps the products well scaled. ``x_low`` to
     ``y_high`` are the ranges over the rows that have both values; NaN counts as missing.
     """
     cols = list(cols)
     p = len(cols)
     shift = np.zeros(p) if centers is None else np.asarray(centers, dtype=float)
-    names = ["n", "sx", "sy", "sxy", "sxx", "syy"]
-    ranges = {"x_low": F.min, "y_low": F.min, "x_high": F.max, "y_high": F.max}
+    edges = [(s, min(s + TILE, p)) for s in range(0, p, TILE)]
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((6, p, p))
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(_SUMS), p, p))
         low, high = np.full((p, p), np.inf), np.full((p, p), -np.inf)
-        for pdf in batches:
-            raw = pdf.to_numpy(dtype=float, na_value=np.nan) - shift
-            if not len(raw):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
+            raw = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float) - shift
             there = ~np.isnan(raw)
             x, m = np.where(there, raw, 0.0), there.astype(float)
             sums, squares = x.T @ m, (x * x).T @ m
             total += np.stack([m.T @ m, sums, sums.T, x.T @ x, squares, squares.T])
             # Columns with the same rows missing share their ranges.
-            patterns, which = np.unique(there, axis=1, return_inverse=True)
-            for g, rows in enumerate(patterns.T):
-                of = which.ravel() == g
+            patterns, which = np.unique(np.packbits(there, axis=0), axis=1, return_inverse=True)
+            for g in range(patterns.shape[1]):
+                of = np.flatnonzero(which.ravel() == g)
+                rows = there[:, of[0]]
                 least = np.where(there[rows], raw[rows], np.inf).min(axis=0, initial=np.inf)
                 most = np.where(there[rows], raw[rows], -np.inf).max(axis=0, initial=-np.inf)
                 low[:, of] = np.minimum(low[:, of], least[:, None])
                 high[:, of] = np.maximum(high[:, of], most[:, None])
-        i, j = np.triu_indices(p)
-        sides = {"x_low": low[i, j], "y_low": low[j, i], "x_high": high[i, j], "y_high": high[j, i]}
-        yield pd.DataFrame(
-            {"i": i, "j": j, **{k: total[s][i, j] for s, k in enumerate(names)}, **sides}
-        )
+        for a, (i, k) in enumerate(edges):
+            for b, (j, l) in enumerate(edges[a:], a):  # noqa: E741
+                tile = np.stack([*total[:, i:k, j:l], low[i:k, j:l], low[j:l, i:k].T, high[i:k, j:l], high[j:l, i:k].T])
+                yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([b], pa.int32()), pa.array([tile.tobytes()], pa.binary())], ["a", "b", "tile"])
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        a, b = (k.as_py() for k in key)
+        (i, k), (j, l) = edges[a], edges[b]  # noqa: E741
+        out = None
+        for cell in table.column("tile"):
+            tile = np.frombuffer(cell.as_buffer()).reshape(-1, k - i, l - j)
+            if out is None:
+                out = tile.copy()
+                continue
+            out[: len(_SUMS) + 2] = np.concatenate([out[: len(_SUMS)] + tile[: len(_SUMS)], np.minimum(out[len(_SUMS) : -2], tile[len(_SUMS) : -2])])
+            out[-2:] = np.maximum(out[-2:], tile[-2:])
+        x, y = np.meshgrid(np.arange(i, k), np.arange(j, l), indexing="ij")
+        upper = x <= y
+        numbers = {"i": x[upper].astype(np.int32), "j": y[upper].astype(np.int32)}
+        return pa.table(numbers | {c: out[s][upper] for s, c in enumerate([*_SUMS, *_RANGES])})
 
-    schema = "i int, j int, " + ", ".join(f"{k} double" for k in [*names, *ranges])
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    sums = numbers.mapInPandas(partial, schema).groupBy("i", "j")
-    return sums.agg(
-        *[F.sum(k).alias(k) for k in names], *[f(k).alias(k) for k, f in ranges.items()]
-    )
+    few = numbers.coalesce(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    schema = "i int, j int, " + ", ".join(f"{k} double" for k in [*_SUMS, *_RANGES])
+    return few.mapInArrow(partial, "a int, b int, tile binary").groupBy("a", "b").applyInArrow(merge, schema)
 
 
 def _corr_of_sums() -> Column:

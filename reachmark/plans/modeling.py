@@ -105,10 +105,11 @@ def fit_lr(spark, sf_dir):
 
 
 # Ranges small enough for a test machine; the families' own ranges are learners.SPACES.
+_SMALL = {"n_estimators": ("quniform", 15, 30, 5), "max_depth": ("quniform", 2, 2, 1), "learning_rate": ("uniform", 0.2, 0.5), "patience": ("quniform", 5, 5, 1)}
 SEARCHED = {
-    "gbt": {"n_estimators": ("quniform", 20, 60, 10), "max_depth": ("quniform", 2, 3, 1), "learning_rate": ("uniform", 0.1, 0.5), "patience": ("quniform", 5, 5, 1)},
-    "bagged": {"n_estimators": ("quniform", 20, 60, 10), "max_depth": ("quniform", 2, 3, 1), "reg_alpha": ("uniform", 1, 3), "learning_rate": ("uniform", 0.1, 0.5), "patience": ("quniform", 5, 5, 1)},
-    "plain": {"n_estimators": ("quniform", 10, 20, 5), "max_depth": ("quniform", 2, 3, 1), "gamma": ("quniform", 0.0, 1.0, 0.001), "learning_rate": ("uniform", 0.2, 0.5)},
+    "gbt": _SMALL | {"reg_lambda": ("uniform", 1, 3)},
+    "bagged": _SMALL | {"reg_alpha": ("uniform", 1, 3), "colsample_bytree": ("quniform", 0.7, 0.9, 0.1)},
+    "plain": _SMALL | {"gamma": ("quniform", 0.0, 1.0, 0.001)},
 }
 
 

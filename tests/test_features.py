@@ -223,3 +223,20 @@ def test_column_helpers(spark):
     base = spark.createDataFrame([(1, 2, 3, 4)], "duns int, flg_mailed int, flg_resp int, other int")
     assert S.baseline_projection(base, "flg_resp").columns == ["flg_mailed", "duns", "flg_resp"]
     assert "flg_mailed" in S.baseline_projection(base.withColumn("flg_sub", F.lit(1)), "flg_sub").columns
+
+
+def test_products_of_many_columns_are_summed_in_tiles(spark):
+    rng = np.random.default_rng(4)
+    p, n = 150, 400
+    x = rng.normal(size=(n, p)) + rng.normal(size=(n, 1))
+    x[rng.random((n, p)) < 0.05] = np.nan
+    x[:, 7] = 3.0
+    cols = [f"c{i}" for i in range(p)]
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in r] for r in x], ", ".join(f"{c} double" for c in cols)).repartition(90)
+    want = pd.DataFrame(x, columns=cols).corr()
+    sums = P.pair_sums(df, cols)
+    assert sums.rdd.getNumPartitions() <= 8 and sums.count() == p * (p + 1) // 2
+    got = {(r["a"], r["b"]): r["corr"] for r in P.corr_pairs(df, cols).collect()}
+    assert len(got) == p * (p - 1) // 2
+    for (a, b), c in got.items():
+        assert c is None if "c7" in (a, b) else c == pytest.approx(want.loc[a, b])
