@@ -88,6 +88,11 @@ def quantile_splits(df: DataFrame, exprs: Sequence[Column], buckets: int) -> lis
     Each task makes a sketch of fixed size per expression; those are merged in
     ``SKETCH_GROUPS`` groups first, so the last task merges that many, whatever the input.
     """
+    return [s for s, _ in _splits_and_nulls(df, exprs, buckets)]
+
+
+def _splits_and_nulls(df: DataFrame, exprs: Sequence[Column], buckets: int) -> list[tuple[Splits, float]]:
+    """``quantile_splits`` with the share of rows that are null or NaN."""
     names = [f"q{i}" for i in range(len(exprs))]
     k = F.lit(SKETCH_K)
     numbers = df.select(
@@ -95,16 +100,21 @@ def quantile_splits(df: DataFrame, exprs: Sequence[Column], buckets: int) -> lis
         F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"),
     )
     groups = numbers.groupBy("_group").agg(
-        *[F.kll_sketch_agg_double(n, k).alias(n) for n in names], *[F.count(n).alias(f"n_{n}") for n in names]
+        *[F.kll_sketch_agg_double(n, k).alias(n) for n in names],
+        *[F.count(n).alias(f"n_{n}") for n in names],
+        F.count(F.lit(1)).alias("rows"),
     )
     merged = groups.agg(
-        *[F.kll_merge_agg_double(n, k).alias(n) for n in names], *[F.sum(f"n_{n}").alias(f"n_{n}") for n in names]
+        *[F.kll_merge_agg_double(n, k).alias(n) for n in names],
+        *[F.sum(f"n_{n}").alias(f"n_{n}") for n in names],
+        F.sum("rows").alias("rows"),
     )
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     row = merged.select(
-        *[F.when(F.col(f"n_{n}") > 0, F.kll_sketch_get_quantile_double(n, probs)) for n in names]
+        *[F.when(F.col(f"n_{n}") > 0, F.kll_sketch_get_quantile_double(n, probs)) for n in names],
+        *[1 - F.try_divide(F.col(f"n_{n}"), F.col("rows")) for n in names],
     ).first()
-    return [Splits.from_quantiles(q) for q in row]
+    return [(Splits.from_quantiles(row[i]), row[len(names) + i] or 0.0) for i in range(len(names))]
 
 
 @dataclass(frozen=True)
@@ -158,7 +168,8 @@ class OrderIndex:
         uniform: tuple[float, float] | None = None,
         splits: Splits | None = None,
     ) -> OrderIndex:
-        """Two passes: one for the edges, one for the totals.
+        """Two passes: one for the edges, one for the totals. Where the last ordering column has values (or
+        nulls) that fill ranges of their own, a third one fits edges of the key.
 
         ``uniform`` gives the value range of a first level known to be spread evenly (a
         hash), ``splits`` edges already fitted for it; either saves the first pass.
@@ -170,7 +181,11 @@ class OrderIndex:
         if uniform is not None:
             splits = Splits.uniform(*uniform, buckets)
         if splits is None:
-            index.splits = quantile_splits(df, levels, buckets)
+            fitted = _splits_and_nulls(df, levels[:-1], buckets)
+            last, nulls = fitted[-1]
+            tied = (last.heavy or nulls * buckets > 1) and key not in [name for name, _ in by]
+            ends = quantile_splits(df, levels[-1:], buckets) if tied else [Splits.from_quantiles(None)]
+            index.splits = [s for s, _ in fitted] + ends
         else:
             none = Splits.from_quantiles(None)
             index.splits = [splits] + [none] * (len(levels) - 1)

@@ -507,9 +507,9 @@ def _sql_report(decile_cte: str, decile_source: str) -> str:
 
 @query("evaluation_report", _sql_report(_QDECILE, "qdec"))
 def evaluation_report(spark, sf_dir):
-    return _long(S.evaluation_report(campaign(spark, sf_dir, *FUNNEL), LABEL, SCORE, KEY))
+    return _long(S.evaluation_report(stored_campaign(spark, sf_dir, *FUNNEL), LABEL, SCORE, KEY))
 
 
 @query("performance_report", _sql_report(_RANKED, "ranked"))
 def performance_report(spark, sf_dir):
-    return _long(S.performance_report(campaign(spark, sf_dir, *FUNNEL), LABEL, SCORE, KEY))
+    return _long(S.performance_report(stored_campaign(spark, sf_dir, *FUNNEL), LABEL, SCORE, KEY))
