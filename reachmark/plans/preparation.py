@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reachmark.functions import columns as X
 from reachmark.functions import text as N
+from reachmark.functions.regions import STATE_REGIONS, state_regions
 from reachmark.operators import arms as A
 from reachmark.operators import encoding as E
 from reachmark.operators import lookup as J
@@ -218,6 +219,24 @@ def geo_region_lookup(spark, sf_dir):
     return J.with_lookup(campaign(spark, sf_dir, "account_id", "region"), dim, ["region"])
 
 
+_STATES = [s for listed in STATE_REGIONS.values() for s in listed]
+_STATE_CASES = " ".join(f"WHEN state IN ({', '.join(repr(s) for s in listed)}) THEN '{r}'" for r, listed in STATE_REGIONS.items())
+
+
+@query(
+    "state_region_lookup",
+    f"""WITH c AS (SELECT c_custkey, [{', '.join(map(repr, [*_STATES, 'XX']))}][1 + c_custkey % {len(_STATES) + 1}] AS state FROM customer)
+ SELECT c_custkey, state, CASE {_STATE_CASES} END AS region FROM c""",
+)
+def state_region_lookup(spark, sf_dir):
+    """Sales region of every customer's state; an unknown state has none."""
+    codes = F.array(*[F.lit(s) for s in [*_STATES, "XX"]])
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.get(codes, (F.col("c_custkey") % (len(_STATES) + 1)).cast("int")).alias("state")
+    )
+    return J.with_lookup(customers, state_regions(spark).withColumnRenamed("member", "state"), ["state"])
+
+
 @query(
     "left_join_rates",
     with_views("campaign", """SELECT t.market_segment, t.flg_qual, t.cnt, r.responders, round(100 * r.responders::DOUBLE / t.cnt, 6) AS rate

@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from itertools import islice
 from pathlib import Path
 
 import pandas as pd
@@ -58,49 +59,55 @@ def read_vendor_extract(spark: SparkSession, path: str, columns: dict[str, str])
     return df.select(*[F.col(f"`{old}`").cast("string").alias(new) for old, new in columns.items()])
 
 
+def _members(content: bytes, encoding: str) -> Iterator[tuple[str, Iterator[str]]]:
+    """Members of a zip file and their lines, read as a stream."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        for member in archive.namelist():
+            with archive.open(member) as f:
+                text = io.TextIOWrapper(f, encoding=encoding, newline="")
+                yield member, (line.rstrip("\r\n") for line in text)
+
+
+def _batched(items: Iterator, size: int = 50_000) -> Iterator[list]:
+    while batch := list(islice(items, size)):
+        yield batch
+
+
 def unzip_lines(spark: SparkSession, path: str, encoding: str = VENDOR_ENCODING) -> DataFrame:
     """Lines of the members of zip files, streamed member by member in each task."""
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for file, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in archive.namelist():
-                        with archive.open(member) as f:
-                            text = io.TextIOWrapper(f, encoding=encoding, newline="")
-                            yield from _line_batches(file, member, text)
-
-    def _line_batches(file: str, member: str, text, size: int = 50_000) -> Iterator[pd.DataFrame]:
-        start, batch = 0, []
-        for line in text:
-            batch.append(line.rstrip("\r\n"))
-            if len(batch) == size:
-                yield _frame(file, member, start, batch)
-                start, batch = start + size, []
-        if batch:
-            yield _frame(file, member, start, batch)
-
-    def _frame(file: str, member: str, start: int, batch: list[str]) -> pd.DataFrame:
-        numbers = range(start, start + len(batch))
-        return pd.DataFrame({"file": file, "member": member, "line_no": numbers, "line": batch})
+                for member, text in _members(content, encoding):
+                    for batch in _batched(enumerate(text)):
+                        numbers, values = zip(*batch)
+                        yield pd.DataFrame({"file": file, "member": member, "line_no": numbers, "line": values})
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(lines, "file string, member string, line_no long, line string")
 
 
 def _zipped_extract(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    lines = unzip_lines(spark, path)
-    cells = F.split("line", re.escape(VENDOR_SEPARATOR), -1)
-    headers = lines.filter("line_no = 0").select("file", "member", cells.alias("_header"))
-    rows = lines.filter("line_no > 0").join(headers, ["file", "member"])
-    return rows.select(
-        *[
-            F.nullif(
-                F.get(cells, F.array_position("_header", old).cast("int") - 1), F.lit("")
-            ).alias(new)
-            for old, new in columns.items()
-        ]
-    )
+    """Wanted columns of zipped extracts: a member's header is read by the task that reads its lines.
+
+    A zip file is unpacked once, in one task, as it cannot be split; its bytes are held whole.
+    """
+    wanted, names = list(columns), list(columns.values())
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for content in pdf["content"]:
+                for _, text in _members(content, VENDOR_ENCODING):
+                    header = next(text, "").split(VENDOR_SEPARATOR)
+                    places = [header.index(c) if c in header else -1 for c in wanted]
+                    for batch in _batched(line.split(VENDOR_SEPARATOR) for line in text):
+                        yield pd.DataFrame(
+                            [[(r[p] or None) if 0 <= p < len(r) else None for p in places] for r in batch], columns=names, dtype=object
+                        )
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInPandas(rows, ", ".join(f"`{n}` string" for n in names))
 
 
 def union_keep_first(

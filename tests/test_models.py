@@ -197,7 +197,7 @@ def test_lemmas_keep_order_and_cache(spark):
 
 def test_unknown_parameters_are_refused(spark, rows):
     df = L.validate_input(rows, SPEC)
-    for family, name in (("gbt", "reg_lambda"), ("rf", "bagging_temperature"), ("lr", "max_depth")):
+    for family, name in (("gbt", "elastic_net"), ("rf", "bagging_temperature"), ("lr", "max_depth")):
         with pytest.raises(ValueError, match=name):
             L.fit_family(df, SPEC, family, {name: 1})
 
