@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import math
 
 import numpy as np
@@ -21,25 +22,60 @@ SLACK = 1e-4
 AUDITED = 8192
 
 
-def _links(a: tuple, b: tuple, same: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in a, in b) of verified pairs, each found by the search of one side or the other."""
-    (ga, xa), (gb, xb) = a, b
-    i, j = gb.within(ga.vec, least - SLACK, int(xb["ef"]))
-    if same:
-        i, j = np.minimum(i, j), np.maximum(i, j)
-        i, j = i[i < j], j[i < j]
-    else:
-        k, l = ga.within(gb.vec, least - SLACK, int(xa["ef"]))
-        i, j = np.concatenate((i, l)), np.concatenate((j, k))
-    code = np.unique(i * len(gb.vec) + j)
-    i, j = code // max(len(gb.vec), 1), code % max(len(gb.vec), 1)
-    good = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 15):
-        s = slice(at, at + (1 << 15))
-        u, v = xa["raw"][i[s]].astype(float), xb["raw"][j[s]].astype(float)
-        cos = np.einsum("ij,ij->i", u, v) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1))
-        good[s] = cos >= least
-    return i[good], j[good]
+def _linked(rows: np.ndarray, places: np.ndarray, sims: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Which of the similarities are links; those near the bound are worked out in double precision."""
+    near = np.abs(sims - least) <= SLACK
+    good = sims > least
+    at = np.flatnonzero(near.ravel())
+    for k in range(0, len(at), 1 << 15):
+        c = at[k : k + (1 << 15)]
+        i, j = (rows[c], places[c]) if sims.ndim == 1 else (rows[c // len(places)], places[c % len(places)])
+        u, v = x[i].astype(float), y[j].astype(float)
+        good.ravel()[c] = np.einsum("ij,ij->i", u, v) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)) >= least
+    return good
+
+
+def _tree(hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row, column) of links that connect all rows and columns that ``hits`` connects."""
+    free_row, free_col = hits.any(axis=1), np.ones(hits.shape[1], bool)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while free_row.any():
+        stack = [int(free_row.argmax())]
+        free_row[stack[0]] = False
+        while stack:
+            i = stack.pop()
+            cols = np.flatnonzero(hits[i] & free_col)
+            if not len(cols):
+                continue
+            free_col[cols] = False
+            rows = np.flatnonzero(free_row)
+            rows = rows[hits[np.ix_(rows, cols)].any(axis=1)]
+            free_row[rows] = False
+            left += [np.full(len(cols), i), rows]
+            right += [cols, cols[hits[np.ix_(rows, cols)].argmax(axis=1)]]
+            stack += rows.tolist()
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _ask(unit: np.ndarray, raw: np.ndarray, rep: np.ndarray, index: Hnsw, z: dict, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What vectors find in an index: links per vector, and (own, other) representatives of connecting links."""
+    links = np.zeros(len(rep), np.int64)
+    src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for rows, places, sims in index.matches(unit, least - SLACK, int(z["ef"])):
+        good = _linked(rows, places, sims, raw, z["raw"], least)
+        if sims.ndim == 1:
+            rows, places = rows[good], places[good]
+            other = z["rep"][places] != rep[rows]
+            rows, places = rows[other], places[other]
+            links += np.bincount(rows, z["copies"][places], len(rep)).astype(np.int64)
+        else:
+            good &= z["rep"][places] != rep[rows][:, None]
+            links[rows] += good @ z["copies"][places]
+            i, j = _tree(good)
+            rows, places = rows[i], places[j]
+        src.append(rep[rows])
+        dst.append(z["rep"][places])
+    return links, np.concatenate(src), np.concatenate(dst)
 
 
 def _forest(src: np.ndarray, dst: np.ndarray) -> tuple[list[int], list[int]]:
@@ -99,13 +135,15 @@ def build_indexes(classes: DataFrame, least: float, goal: float) -> DataFrame:
         homes = np.flatnonzero(np.bincount(home, there))
         seen = [{"home": int(h), "links": int(there[home == h].sum()), "found": int(found[home == h].sum())} for h in homes]
         data = g.to_bytes(raw=raw[g.order], rep=rep, copies=table.column("copies").to_numpy()[g.order], ef=np.array(ef))
+        sink = io.BytesIO()
+        np.savez(sink, unit=narrow, raw=raw[g.order], rep=rep)
         recall = found.sum() / there.sum() if there.any() else None  # no link seen, nothing known
         audit = pa.array([seen], pa.list_(pa.struct([("home", pa.int32()), ("links", pa.int64()), ("found", pa.int64())])))
         return pa.Table.from_pydict(
-            {"shard": pa.array([shard], pa.int32()), "ef": [ef], "recall": pa.array([recall], pa.float64()), "audit": audit, "data": pa.array([data], pa.binary())}
+            {"shard": pa.array([shard], pa.int32()), "ef": [ef], "recall": pa.array([recall], pa.float64()), "audit": audit, "data": pa.array([data], pa.binary()), "vectors": pa.array([sink.getvalue()], pa.binary())}
         )
 
-    schema = "shard int, ef bigint, recall double, audit array<struct<home: int, links: bigint, found: bigint>>, data binary"
+    schema = "shard int, ef bigint, recall double, audit array<struct<home: int, links: bigint, found: bigint>>, data binary, vectors binary"
     return classes.groupBy("shard").applyInArrow(build, schema)
 
 
@@ -121,9 +159,9 @@ def near_duplicates(
 
     Distinct vectors are dealt to shards by hash (``shards`` of them, more only to keep a
     shard below ``SHARD_ROWS``), each indexed whole. Per index the beam is widened until an
-    audit against brute force reaches ``goal`` of the links of a sample of all vectors. Every two shards meet in one
-    task, where each side queries the other's index; a task returns link counts and a spanning
-    forest, never its pairs.
+    audit against brute force reaches ``goal`` of the links of a sample of all vectors. Every shard's vectors ask
+    every index, one task each; a vector's links are those that it finds itself. Where many link, they
+    are counted in matrices; a task returns link counts and a spanning forest, never its pairs.
     """
     e = F.col(f"`{embedding}`")
     rows = vectors.select(F.col(f"`{key}`").cast("bigint").alias(KEY), e.alias("embedding"))
@@ -138,31 +176,30 @@ def near_duplicates(
     index = materialize(build_indexes(classes.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(n)).cast("int")), least, goal), "hnsw")
 
     def meet(table: pa.Table) -> pa.Table:
-        sides = [Hnsw.from_bytes(d) for d in table.sort_by("shard").column("data").to_pylist()]
-        two = table.column("two")[0].as_py()
-        if not two and len(sides) == 1:
-            sides = sides * 2
-        if len(sides) < 2:  # the other shard is empty
-            return pa.Table.from_pydict({c: pa.array([], pa.int64()) for c in ("src", "dst", "links")})
-        width = max(g.vec.shape[1] for g, _ in sides)
-        for g, z in sides:
-            g.vec, z["raw"] = (np.pad(v, ((0, 0), (0, width - v.shape[1]))) for v in (g.vec, z["raw"]))
-        (_, a), (_, b) = sides
-        i, j = _links(*sides, not two, least)
-        ids = np.concatenate((a["rep"][i], b["rep"][j]))
-        who, at = np.unique(ids, return_inverse=True)
-        links = np.bincount(at, np.concatenate((b["copies"][j], a["copies"][i])), len(who)).astype(np.int64)
-        src, dst = _forest(a["rep"][i], b["rep"][j])
+        table = table.sort_by([("asks", "ascending")])
+        index, z = Hnsw.from_bytes(table.column("data")[0].as_py())  # the index's row comes first
+        asked = dict(np.load(io.BytesIO(table.column("data")[-1].as_py())))
+        width = max(index.vec.shape[1], asked["unit"].shape[1])
+        wide = lambda v: np.pad(v, ((0, 0), (0, width - v.shape[1])))
+        index.vec, z["raw"] = wide(index.vec), wide(z["raw"])
+        links, src, dst = _ask(wide(asked["unit"]), wide(asked["raw"]), asked["rep"], index, z, least)
+        src, dst = _forest(src, dst)
+        rep = asked["rep"].tolist()
         return pa.Table.from_pydict(
             {
-                "src": pa.array([*who.tolist(), *src], pa.int64()),
-                "dst": pa.array([None] * len(who) + dst, pa.int64()),
+                "src": pa.array([*rep, *src], pa.int64()),
+                "dst": pa.array([None] * len(rep) + dst, pa.int64()),
                 "links": pa.array([*links.tolist(), *([0] * len(src))], pa.int64()),
             }
         )
 
-    others = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least("shard", o).alias("a"), F.greatest("shard", o).alias("b"))))
-    pairs = index.select("shard", "data", others.alias("p")).select("shard", "data", "p.a", "p.b", F.expr("p.a <> p.b").alias("two"))
+    # every shard's vectors ask every shard's index: a row per index and one per asking shard
+    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    answers = index.select(F.col("shard").alias("b"), other.alias("a"), F.lit(False).alias("asks"), "data")
+    asks = index.select(F.col("shard").alias("a"), other.alias("b"), F.lit(True).alias("asks"), F.col("vectors").alias("data"))
+    meets = asks.join(index.select(F.col("shard").alias("b")), "b", "left_semi")  # a shard may be empty
+    meets = meets.unionByName(answers.join(index.select(F.col("shard").alias("a")), "a", "left_semi"))
+    pairs = meets.repartition(n * n, "a", "b")
     met = materialize(pairs.groupBy("a", "b").applyInArrow(meet, "src bigint, dst bigint, links bigint"), "links")
     counts = met.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("links").alias("links"))
     found = components(met.where("dst is not null").select("src", "dst")).withColumnRenamed("node", "rep")

@@ -130,33 +130,56 @@ class Hnsw:
             done[rows] = np.take_along_axis(new_done, keep, 1) | ~np.isfinite(sims[rows])
         return ids, sims
 
-    def within(self, q: np.ndarray, least: float, ef: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, place) of similarity ``least`` or more: what the beam finds, and all
-        that can be reached from there over such places. No cap on their number."""
-        out = []
+    def matches(self, q: np.ndarray, least: float, ef: int, block: int = 1024, wide: int = 8192):
+        """Similar places of the queries, in parts: (queries, places, similarities), pairwise or as a matrix.
+
+        A query whose beam is not filled with places of similarity ``least`` or more has them all
+        there, as pairs. The others of a block are taken together: all that can be reached over places similar
+        to one of them is compared with each of them, as matrices of at most ``wide`` places. No cap
+        on their number, and no list of the pairs.
+        """
         for at in range(0, len(q), block):
             part = q[at : at + block]
             entry = np.zeros((len(part), 1), np.int64)
             for l in range(len(self.layers) - 1, 0, -1):
                 entry = np.maximum(self._beam(part, entry, l, 1)[0], 0)
             ids, sims = self._beam(part, entry, 0, ef)
-            a, c = np.nonzero(sims >= least)
-            n = len(self.vec)
-            found = np.unique(a * n + ids[a, c])
-            front = found
+            full = sims.min(axis=1) >= least
+            a, c = np.nonzero((sims >= least) & ~full[:, None])
+            yield a + at, ids[a, c], sims[a, c]
+            dense = np.flatnonzero(full)
+            if not len(dense):
+                continue
+            asked = part[dense]
+            seen = np.zeros(len(self.vec), bool)
+            front = np.unique(ids[dense])
+            seen[front] = True
+            region = [front]
             while len(front):
-                a, b = front // n, front % n
-                nxt = self.layers[0][b].astype(np.int64)
-                code = np.unique((a[:, None] * n + nxt)[nxt >= 0])
-                code = code[~np.isin(code, found, assume_unique=True)]
-                good = [np.zeros(0, np.int64)]
-                for k in range(0, len(code), 1 << 16):
-                    c = code[k : k + (1 << 16)]
-                    good.append(c[np.einsum("ij,ij->i", part[c // n], self.vec[c % n]) >= least])
-                front = np.concatenate(good)
-                found = np.union1d(found, front)
-            out.append(np.stack((found // n + at, found % n)))
-        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+                near = np.unique(self.layers[0][front])
+                near = near[(near >= 0) & ~seen[np.maximum(near, 0)]]
+                seen[near] = True
+                front = near[self._touched(asked, near, least)]
+                region.append(front)
+            places = np.concatenate(region).astype(np.int64)
+            for k in range(0, len(places), wide):
+                some = places[k : k + wide]
+                yield dense + at, some, asked @ self.vec[some].T
+
+    def _touched(self, asked: np.ndarray, places: np.ndarray, least: float, step: int = 8192) -> np.ndarray:
+        """Whether each place is similar to one of the queries."""
+        parts = [(asked @ self.vec[places[k : k + step]].T).max(axis=0) >= least for k in range(0, len(places), step)]
+        return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+    def within(self, q: np.ndarray, least: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, place) of similarity ``least`` or more that ``matches`` gives, as a list."""
+        out = [np.zeros((2, 0), np.int64)]
+        for rows, places, sims in self.matches(q, least, ef):
+            if sims.ndim == 2:
+                i, j = np.nonzero(sims >= least)
+                rows, places = rows[i], places[j]
+            out.append(np.stack((rows, places)))
+        a, b = np.concatenate(out, axis=1)
         return a, b
 
     def audit(
