@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachmark.llm.common import ascii_lower
+from reachmark.llm.common import ascii_lower, free_name
 from reachmark.runtime import materialize
 
+#: Between host and path of a key; neither part of a url holds it.
+MARK = "#"
 #: Bits of all levels of a cascade that a plan may carry to the executors.
 MAX_FILTER_BYTES = 4 << 20
 ACTIONS = ("block", "allow")
@@ -116,11 +118,11 @@ def candidate_keys(host: Column, path: Column, labels: int, lengths: list[int])
     domains = F.filter(domains, lambda d: d != "")
 
     def keys(size: int) -> Column:
-        one = F.transform(domains, lambda d: F.concat(d, F.substring(path, 1, size)))
+        one = F.transform(domains, lambda d: F.concat(d, F.lit(MARK), F.substring(path, 1, size)))
         return F.when(F.length(path) >= size, one).otherwise(F.array().cast("array<string>"))
 
     every = F.flatten(F.array(*[keys(n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    order = F.transform(every, lambda k: F.struct((-F.length(k)).alias("n"), F.locate("/", k).alias("h"), k.alias("k")))
+    order = F.transform(every, lambda k: F.struct((-F.length(k)).alias("n"), (-F.locate(MARK, k)).alias("h"), k.alias("k")))
     return F.transform(F.array_sort(F.array_distinct(order)), lambda s: s["k"])
 
 
@@ -151,11 +153,13 @@ def judge_urls(
         F.coalesce(F.max(F.size(F.split("host", "\\."))), F.lit(1)).alias("labels"),
         F.collect_set(F.length("path")).alias("lengths"),
     ).first()
+    if taken := {"url_host", "url_path", "url_rule", "url_verdict"} & {c.lower() for c in pages.columns}:
+        raise ValueError(f"pages already has {', '.join(sorted(taken))}")
     host, path = url_parts(F.col(f"`{url}`"))
     split = pages.withColumns({"url_host": host, "url_path": path})
     keys = candidate_keys(F.col("url_host"), F.col("url_path"), shape["labels"], sorted(shape["lengths"]))
     listed = clean.select(
-        F.concat("host", "path").alias("k"), *[(F.col("action") == a).alias(a) for a in ACTIONS]
+        F.concat("host", F.lit(MARK), "path").alias("k"), *[(F.col("action") == a).alias(a) for a in ACTIONS]
     )
     seen = split.select(F.explode(keys).alias("k")).select("k", *[F.lit(False).alias(a) for a in ACTIONS])
     universe = materialize(
@@ -168,21 +172,16 @@ def judge_urls(
     hit = F.get(F.filter(keys, lambda k: member("block", k) | member("allow", k)), F.lit(0))
     ruled = split.withColumn("url_rule", hit)
     r = F.col("url_rule")
-    return ruled.withColumn(
-        "url_verdict",
-        F.when(r.isNull(), F.lit(default)).when(member("block", r), F.lit("block")).otherwise(F.lit("allow")),
-    )
+    verdict = F.when(r.isNull(), F.lit(default)).when(member("block", r), F.lit("block")).otherwise(F.lit("allow"))
+    return ruled.withColumn("url_verdict", verdict).withColumn("url_rule", F.translate(r, MARK, ""))
 
 
 def _judge_by_join(split: DataFrame, keys: Column, listed: DataFrame, default: str) -> DataFrame:
     columns = split.columns
-    rows = materialize(split.withColumn("_row", F.monotonically_increasing_id()), "urls")
-    tried = rows.select("_row", F.posexplode(keys).alias("_at", "k"))
-    best = (
-        tried.join(listed, "k")
-        .groupBy("_row")
-        .agg(F.min_by(F.struct("k", "block"), "_at").alias("_best"))
-    )
-    out = rows.join(best, "_row", "left").select(*[f"`{c}`" for c in columns], F.col("_best.k").alias("url_rule"), "_best.block")
-    verdict = F.when(F.col("url_rule").isNull(), F.lit(default)).when(F.col("block"), "block").otherwise("allow")
-    return out.select(*[f"`{c}`" for c in columns], "url_rule", verdict.alias("url_verdict"))
+    row, best = free_name(split, "_row"), free_name(split, "_best")
+    rows = materialize(split.withColumn(row, F.monotonically_increasing_id()), "urls")
+    tried = rows.select(row, F.posexplode(keys).alias("_at", "k"))
+    found = tried.join(listed, "k").groupBy(row).agg(F.min_by(F.struct("k", "block"), "_at").alias(best))
+    verdict = F.when(F.col(best).isNull(), F.lit(default)).when(F.col(f"{best}.block"), "block").otherwise("allow")
+    rule = F.translate(F.col(f"{best}.k"), MARK, "").alias("url_rule")
+    return rows.join(found, row, "left").select(*[f"`{c}`" for c in columns], rule, verdict.alias("url_verdict"))
