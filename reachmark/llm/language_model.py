@@ -209,7 +209,7 @@ def score_documents(
             back[order] = np.repeat(sums, np.diff(np.append(first, len(flat))))
             at = np.cumsum([0, *map(len, keys)])
             for block, a, b in zip(part.column("block").to_pylist(), at, at[1:]):
-                out.append((block, shard, name, _zip(back[a:b].astype(np.uint32)), 0, 0))
+                out.append((block, shard, name, _zip(back[a:b].astype(np.uint64)), 0, 0))
         out.append((None, shard, "total", b"", *total))
         types = [pa.string(), pa.int32(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "shard", "kind", "n", "tokens", "distinct"])
@@ -231,7 +231,7 @@ def score_documents(
                 flat = np.zeros(len(keys), np.int64)
                 rows = right.filter(pa.compute.equal(right.column("kind"), name))
                 for i, raw in zip(rows.column("shard").to_pylist(), rows.column("n").to_pylist(), strict=True):
-                    flat[edge[i] : edge[i + 1]] = _unzip(raw, np.uint32)
+                    flat[edge[i] : edge[i + 1]] = _unzip(raw, np.uint64)
                 got[name] = np.empty(len(keys), np.int64)
                 got[name][order] = flat
             model = Automaton.of(s, w, got["pair"], got["word"], tokens, distinct, strength)
