@@ -16,6 +16,8 @@ from reachmark.runtime import materialize
 
 #: Pieces that are packed together; a sequence holds pieces of one such group.
 GROUP = 4096
+#: Number of a row among the equal rows of its batch: they are dealt to groups like any others.
+COPY = "_copy"
 
 
 def best_fit(
@@ -73,7 +75,7 @@ def best_fit(
 def pieces(
     docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """``_key, piece, start, length, ids_crc32`` and, if asked for, ``ids`` per piece.
+    """``_key, piece, start, length, ids_crc32``, a number of equal rows, and if asked for ``ids`` per piece.
 
     A document is its ids and the end id; one that is longer than ``capacity`` is cut into
     pieces of that length, of which the first may be shorter. Null texts are empty.
@@ -83,23 +85,24 @@ def pieces(
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(path, True)
-        rows, ids = [], []
-        for at, t in enumerate(batch.column(1).to_pylist()):
+        rows, ids, seen = [], [], {}
+        for at, (k, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            seen[k, t] = copy = seen.get((k, t), -1) + 1
             got = np.append(enc.encode(t), np.uint32(end_id)).astype("<u4")
             head = len(got) % capacity or capacity
             edges = [0, *range(head, len(got) + 1, capacity)]
             for p, (a, b) in enumerate(zip(edges, edges[1:])):
-                rows.append((at, p, a, b - a, zlib.crc32(got[a:b].tobytes())))
+                rows.append((at, p, a, b - a, zlib.crc32(got[a:b].tobytes()), copy))
                 if with_ids:
                     ids.append(got[a:b].astype(np.int32))
-        numbers = np.array(rows, np.int64).reshape(-1, 5)
-        out = [batch.column(0).take(pa.array(numbers[:, 0])), pa.array(numbers[:, 1].astype(np.int32)), *(pa.array(numbers[:, c]) for c in (2, 3, 4))]
+        numbers = np.array(rows, np.int64).reshape(-1, 6)
+        out = [batch.column(0).take(pa.array(numbers[:, 0])), pa.array(numbers[:, 1].astype(np.int32)), *(pa.array(numbers[:, c]) for c in (2, 3, 4, 5))]
         if with_ids:
             out.append(pa.array(ids, pa.list_(pa.int32())))
         return pa.RecordBatch.from_arrays(out, names)
 
-    names = [KEY, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    schema = f"{KEY} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
+    names = [KEY, "piece", "start", "length", "ids_crc32", COPY] + ["ids"] * with_ids
+    schema = f"{KEY} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, {COPY} bigint" + ", ids array<int>" * with_ids
     return map_arrow(src, run, schema)
 
 
@@ -115,9 +118,9 @@ def pack(
     """
     groups = max(1, math.ceil(stored.count() / GROUP))
     docs_cap, cost_cap = max_docs or capacity, max_cost or float(capacity) ** 2
-    columns = stored.columns
-    dealt = stored.withColumn("_g", F.pmod(F.xxhash64(*[c for c in columns if c != "ids"]), F.lit(groups)))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema) + ", sequence_id bigint, offset bigint"
+    columns = [c for c in stored.columns if c != COPY]
+    dealt = stored.withColumn("_g", F.pmod(F.xxhash64(*[c for c in stored.columns if c != "ids"]), F.lit(groups)))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema if f.name != COPY) + ", sequence_id bigint, offset bigint"
 
     def run(table: pa.Table) -> pa.Table:
         # the same result whatever order rows came in
