@@ -39,6 +39,14 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

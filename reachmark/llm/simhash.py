@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmark.llm.common import KEY, TEXT, byte_rows, keyed_texts, map_arrow, mix64
+from reachmark.llm.common import KEY, TEXT, byte_rows, free_name, keyed_texts, map_arrow, mix64
 from reachmark.llm.graph import components
 from reachmark.runtime import materialize
 
@@ -511,14 +511,6 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     return src.select(KEY, "t").join(member.join(low, "group").select("t", "group", "component"), "t")
 
 
-def _free(df: DataFrame, name: str) -> str:
-    """``name``, or a longer one that ``df`` does not have."""
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of similar texts, the one of the smallest key; all columns stay.
 
@@ -528,7 +520,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     kept = found.where(F.col(KEY).eqNullSafe(F.col("component")))
     once = kept.groupBy(KEY, "t", "group").agg(F.count(F.lit(1)).alias("n"))
     # several texts of a group may carry its smallest key
-    own, other, kept_text = (_free(docs, c) for c in ("_text_no", "_kept_key", "_kept_text"))
+    own, other, kept_text = (free_name(docs, c) for c in ("_text_no", "_kept_key", "_kept_text"))
     keep = once.groupBy("group", F.col(KEY).alias(other)).agg(F.min("t").alias(kept_text)).drop("group")
     out = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     out = out.join(keep, F.col(f"`{key}`").eqNullSafe(F.col(other)) & (F.col(own) == F.col(kept_text)), "left_semi")

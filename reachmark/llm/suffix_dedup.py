@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachmark.llm.common import byte_rows, map_arrow, mix64
+from reachmark.llm.common import byte_rows, free_name, map_arrow, mix64
 from reachmark.llm.suffix_sort import sorted_suffixes
 from reachmark.runtime import materialize
 
@@ -367,17 +367,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     Rows equal in key and text are copies of each other and all keep what the first keeps.
     """
     found = Repeats(docs, key, text, length)
-    copies = found.rows.where(F.col("copy") & (F.col("size") >= length)).select("doc", "t", F.lit(True).alias("_gone")).distinct()
-    marks = found.spans.withColumnRenamed("spans", "_spans").join(copies, ["doc", "t"], "full")
+    own, number, cuts, lost = (free_name(docs, c) for c in ("_doc", "_t", "_spans", "_gone"))
+    copies = found.rows.where(F.col("copy") & (F.col("size") >= length)).select("doc", "t", F.lit(True).alias(lost)).distinct()
+    marks = found.spans.withColumnRenamed("spans", cuts).join(copies, ["doc", "t"], "full")
     columns = docs.columns
     marked = docs.withColumns(
-        {"_doc": F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(-(1 << 63))), "_t": F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))}
-    ).join(marks.withColumnsRenamed({"doc": "_doc", "t": "_t"}), ["_doc", "_t"], "left")
+        {own: F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(-(1 << 63))), number: F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))}
+    ).join(marks.withColumnsRenamed({"doc": own, "t": number}), [own, number], "left")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = batch.schema.get_field_index(text)
-        spans = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
-        gone = batch.column(batch.schema.get_field_index("_gone")).to_pylist()
+        spans = batch.column(batch.schema.get_field_index(cuts)).to_pylist()
+        gone = batch.column(batch.schema.get_field_index(lost)).to_pylist()
         new = []
         for raw, s, g in zip(byte_rows(batch.column(at)), spans, gone, strict=True):
             keep = raw if raw is None or not (s or g) else b"" if g else cut(raw, _spans_of(s))
@@ -390,4 +391,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             out = out.set_column(n, out.schema.field(n), pa.array([None if x is None else len(x) for x in new], out.schema.field(n).type))
         return out
 
-    return map_arrow(marked.select(*[f"`{c}`" for c in columns], "_spans", "_gone"), run, docs.schema)
+    return map_arrow(marked.select(*[f"`{c}`" for c in columns], cuts, lost), run, docs.schema)

@@ -463,3 +463,44 @@ def test_pipeline_takes_effect(spark, sf_dir):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert packed.select("doc_id").distinct().count() == docs.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "simhash near-dedup", "suffix-array dedup", "pii", "best-fit packing"]
+
+
+def test_names_of_other_columns_do_not_clash(spark):
+    line = "".join(f"{i:04d}" for i in range(60))
+    data = [(1, line, 7, "a", "s", 1.5), (2, "x" + line, 8, "b", "t", 2.5), (2, "x" + line, 8, "b", "t", 2.5), (None, None, 9, "c", "u", 3.5)]
+    df = spark.createDataFrame(data, "doc_id long, text string, _doc int, _t string, _spans string, _gone double")
+    got = suffix_dedup.remove_repeats(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text, r._doc, r._t, r._spans, r._gone) for r in got.collect()) == [
+        (0, None, 9, "c", "u", 3.5), (1, line, 7, "a", "s", 1.5), (2, "x", 8, "b", "t", 2.5), (2, "x", 8, "b", "t", 2.5),
+    ]
+    pages = spark.createDataFrame([("http://net/x", 1, 2, True)], "url string, _row int, _best int, block boolean")
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, action string")
+    for size in (url_filter.MAX_FILTER_BYTES, 0):
+        row = url_filter.judge_urls(pages, rules, max_bytes=size).first()
+        assert (row._row, row._best, row.block, row.url_verdict) == (1, 2, True, "block")
+    with pytest.raises(ValueError, match="url_rule"):
+        url_filter.judge_urls(pages.withColumnRenamed("block", "url_rule"), rules)
+
+
+def test_rules_do_not_run_over_the_end_of_a_host(spark):
+    pages = spark.createDataFrame([("http://neten/x",), ("http://net/en/x",), ("http://neten/",)], "url string")
+    rules = spark.createDataFrame([("net", "en/", "block"), ("net", "/en/", "block")], "host string, path string, action string")
+    for size in (url_filter.MAX_FILTER_BYTES, 0):
+        got = {r.url: (r.url_rule, r.url_verdict) for r in url_filter.judge_urls(pages, rules, max_bytes=size).collect()}
+        assert got == {"http://neten/x": (None, "allow"), "http://net/en/x": ("net/en/", "block"), "http://neten/": (None, "allow")}
+
+
+def test_equal_rows_are_dealt_to_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 64)
+    df = spark.createDataFrame([(5, "same words again")] * 600, "doc_id long, text string").repartition(2)
+    got = packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.json"), 64, 2)
+    assert got.columns == [KEY, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    rows = got.collect()
+    assert len(rows) == 600 and len({r.sequence_id >> 32 for r in rows}) > 4
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 600
+
+
+def test_counts_beyond_32_bits_survive_the_answers():
+    n = np.array([0, 1, 2**32 + 5, 2**40], np.uint64)
+    assert language_model._unzip(language_model._zip(n), np.uint64).tolist() == n.tolist()
