@@ -151,7 +151,9 @@ def ranked(path: str, pattern: str) -> RankedBpe:
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_key, ids array<int>`` for every row; null and empty texts have none.
 
-    ``path``: a vocabulary file that all workers can open. One narrow pass.
+    ``path``: a vocabulary file that all workers can open. One narrow pass. Null and repeated keys and
+    repeated rows give a row each, very long texts are taken whole, other columns are left out, an
+    empty table gives no row.
     """
     src = keyed_texts(docs, key, text)
     kind = src.schema[KEY].dataType.simpleString()

@@ -158,7 +158,9 @@ def score_documents(
 
     Words are runs of other than the six ASCII blanks, A-Z lower-cased, and each text ends with
     one end token. Documents where ``learn`` holds (null: it does) give the counts of words and
-    pairs, all of them; every document is scored. Null and empty texts are just the end.
+    pairs, all of them; every document is scored. Null and empty texts are just the end. Null and repeated keys and
+    repeated rows give a row each, very long texts are taken whole, other columns are left out, an
+    empty table gives no row.
 
     Documents are packed into blocks once. A block asks for its distinct words and pairs, by
     64-bit hash; shards of the key space sum what all blocks bring and answer in the order they

@@ -292,7 +292,10 @@ def _said(spans: list[Span]) -> str:
 
 def find_pii(docs: DataFrame, field: Field | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_key``, base counts per kind, ``base_sha256`` and ``spans`` (kind:start:end, in code
-    points, comma-joined) for every row. Null and empty texts have none. One narrow pass."""
+    points, comma-joined) for every row. Null and empty texts have none. One narrow pass. Null and repeated keys and
+    repeated rows give a row each, very long texts are taken whole, other columns are left out, an
+    empty table gives no row.
+    """
     src = keyed_texts(docs, key, text)
     kind = src.schema[KEY].dataType.simpleString()
     names = [KEY, *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
@@ -318,7 +321,8 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def mask_pii(docs: DataFrame, field: Field | None, text: str = "text", length: str | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` masked; ``length``: a column to hold the new
-    number of characters. Other columns and null texts stay as they are."""
+    number of characters. Other columns and null texts stay as they are, whatever their names; repeated
+    rows and null keys stay, very long texts are taken whole, an empty table stays empty."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = batch.schema.get_field_index(text)

@@ -223,7 +223,9 @@ def judge_documents(docs: DataFrame, trees: Trees | None, key: str = "doc_id", t
 
     ``base_failed``: fewer than 10 words, or over 20 % of them in repeated 5-word windows;
     such rows are not kept, others as the trees say (without trees: kept). Null and empty
-    texts have no words and fail. One narrow pass over whole texts.
+    texts have no words and fail. One narrow pass over whole texts. Null and repeated keys and
+    repeated rows give a row each, very long texts are taken whole, other columns are left out, an
+    empty table gives no row.
     """
     src = keyed_texts(docs, key, text)
     kind = src.schema[KEY].dataType.simpleString()
@@ -238,7 +240,7 @@ def judge_documents(docs: DataFrame, trees: Trees | None, key: str = "doc_id", t
 
 
 def keep_good(docs: DataFrame, trees: Trees | None, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``judge_documents`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``judge_documents`` keeps, with all their columns; null texts go, repeated rows stay."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(batch.schema.get_field_index(text)).to_pylist()

@@ -40,7 +40,10 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``_key, fp``: a signed 64-bit fingerprint per row."""
+    """``_key, fp``: a signed 64-bit fingerprint per row; null and empty texts have 0. Null and repeated keys and
+    repeated rows give a row each, very long texts are taken whole, other columns are left out, an
+    empty table gives no row.
+    """
     src = keyed_texts(docs, key, text)
     kind = src.schema[KEY].dataType.simpleString()
 
