@@ -51,8 +51,10 @@ def ordered_statistics(df: DataFrame, columns: Sequence[str], label: Column, key
     earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
     rate = lambda pos, n: (pos + prior * PRIOR_ROWS) / (n + PRIOR_ROWS)
     by_slice = materialize(counted.withColumn("stat", rate(earlier("pos"), earlier("n"))), "statistics")
+    small = by_slice.count() <= SMALL_TABLE_ROWS
     for i, c in enumerate(columns):
         part = by_slice.filter(F.col("i") == i).select(F.col("value").alias("_v"), F.col("_slice").alias("_vs"), F.col("stat").alias(f"_s{i}"))
+        part = F.broadcast(part) if small else part
         rows = rows.join(part, (category(c) == F.col("_v")) & (F.col("_slice") == F.col("_vs")), "left").drop("_v", "_vs")
     whole = by_slice.groupBy("i", "value").agg(rate(F.sum("pos"), F.sum("n")).alias("stat"))
     names = F.get(F.array(*[F.lit(c) for c in columns]), F.col("i"))
