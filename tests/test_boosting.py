@@ -146,7 +146,7 @@ def test_patience_keeps_the_best_prefix(spark):
 
 
 def test_search_reports_the_kept_trees(spark, rows):
-    spaces = {f: {"n_estimators": ("quniform", 30, 60, 10), "learning_rate": ("uniform", 0.2, 0.5), "max_depth": ("quniform", 2, 2, 1)} for f in ("gbt",)}
+    spaces = {f: {"n_estimators": ("quniform", 10, 20, 5), "learning_rate": ("uniform", 0.2, 0.5), "max_depth": ("quniform", 2, 2, 1)} for f in ("gbt",)}
     found = L.Search(SPEC, ["gbt"], spaces, n_iter=1, kfolds=2)
     assert 0 < found.run(rows)[0].loss < 0.4
     found.refit("gbt")
