@@ -28,13 +28,18 @@ def byte_rows(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
 
 
+#: Rows of a batch that a function of one batch gets at once: a worker holds few texts at a time.
+SLICE_ROWS = 2048
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
+    """``mapInArrow`` for a function of one batch, or a part of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield out
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                if (out := fn(batch.slice(at, SLICE_ROWS))) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 
