@@ -125,3 +125,24 @@ def test_share_distance(spark):
     assert A.is_uniform(shares(1.0), 0.03)
     with pytest.raises(ValueError):
         A.same_prob_mass(shares(0.5), shares(1.0), 0.03)
+
+
+def test_balance_takes_a_short_class_whole(spark, tmp_path):
+    """Twice the smaller class is more than the larger one has: the query takes all rows, as its SQL does."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    df = accounts(spark)
+    assert by_class(B.balance(df, "y", "ratio1_10", "k", short=True)) == {1: 40, 0: 360}
+    assert by_class(B.balance(df, "y", "ratio1_5", "k", short=True)) == {1: 40, 0: 200}
+    con = duckdb.connect()
+    for t in ("customer", "nation", "region", "lineitem"):
+        con.execute(f"copy (select * from '/root/testdata/sf0.001/{t}.parquet') to '{tmp_path}/{t}.parquet' (format parquet)")
+        con.execute(f"create view {t} as from '{tmp_path}/{t}.parquet'")
+    status = "case when o_orderkey % 5 < 2 then 'F' else 'O' end as o_orderstatus"
+    con.execute(f"copy (select * replace ({status}) from '/root/testdata/sf0.001/orders.parquet') to '{tmp_path}/orders.parquet' (format parquet)")
+    con.execute(f"create view orders as from '{tmp_path}/orders.parquet'")
+    got = [tuple(r) for r in queries()["balance_ratio"](spark, str(tmp_path)).collect()]
+    assert len(got) == 1500
+    assert sorted(got) == sorted(con.execute(oracle_sql()["balance_ratio"]).fetchall())
