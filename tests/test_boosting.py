@@ -342,3 +342,32 @@ def test_learnt_proposals_beat_random_draws():
     params, _ = search.minimize(loss, space, 30, 1)
     assert params == search.minimize(loss, space, 30, 1)[0]
     assert all(how[1] <= params[name] <= how[2] + 1e-9 for name, how in space.items()) and round(params["c"] * 10) == pytest.approx(params["c"] * 10)
+
+
+def test_paths_equal_a_walk_and_codes_are_bytes():
+    """Paths by masks end where a walk from node to node ends, leaves above the last level included."""
+    rng = np.random.default_rng(4)
+    for depth, bins, kind in ((1, 8, np.uint8), (3, 255, np.uint8), (5, 64, np.uint8), (9, 400, np.uint16)):
+        assert boosting.code_type([np.arange(bins), np.zeros(0)]) is kind
+        codes = rng.integers(0, bins + 1, (3, 500)).astype(kind)
+        tree = boosting._Tree.root(depth)
+        for node in range(2**depth - 1):
+            inside = node == 0 or tree.left[(node - 1) // 2] != (node - 1) // 2
+            if inside and rng.random() < 0.8:
+                tree.feature[node], tree.cut[node] = rng.integers(0, 3), rng.integers(0, bins)
+                tree.left[node], tree.right[node] = 2 * node + 1, 2 * node + 2
+        for levels in range(depth + 1):
+            at = np.zeros(500, np.int64)
+            for _ in range(levels):
+                at = np.where(codes[tree.feature[at], np.arange(500)] > tree.cut[at], tree.right[at], tree.left[at])
+            assert (tree.stops(levels)[tree.paths(codes, levels)] == at).all()
+
+
+def test_blocks_are_filled_over_batches(spark, monkeypatch):
+    """Blocks hold many rows although batches are small, as a pass costs some time per block."""
+    df = spark.range(0, 25_000, 1, 1)
+    x = [F.col("id").cast("double")]
+    edges = [np.arange(0.0, 25_000, 500)]
+    got = boosting.make_blocks(df, x, F.lit(1), F.lit(1), F.col("id"), F.lit(False), edges, 25_000)
+    assert [r["n"] for r in got.collect()] == [25_000]
+    assert len(got.first()["codes"]) == 25_000
