@@ -349,13 +349,38 @@ def common_shingles(texts: DataFrame, total: int, shingle: int) -> tuple[np.ndar
     return h[order], c[order], every
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+def _fingerprint_links(texts: DataFrame, distance: int, shingle: int) -> DataFrame:
+    """``src, dst``: links between text numbers (column ``t`` beside the text) that connect exactly those whose
+    fingerprints links of at most ``distance`` bits connect; texts of one fingerprint hang on the least of them."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        number = batch.column(1).to_numpy()
+        _, first = np.unique(number, return_index=True)
+        of = byte_rows(batch.column(0).take(pa.array(first)))
+        fp = np.array([fingerprint(t, shingle) for t in of], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(number[first]), pa.array(fp)], ["t", "fp"])
+
+    rows = materialize(map_arrow(texts, run, "t bigint, fp bigint"), "prints")
+    least = materialize(rows.groupBy("fp").agg(F.min("t").alias("src")), "prints")
+    same = rows.join(least, "fp").where("t <> src").select("src", F.col("t").alias("dst"))
+    near = link_fingerprints(least.select("fp"), distance).withColumnsRenamed({"src": "a", "dst": "b"})
+    left = least.select(F.col("fp").alias("a"), "src")
+    right = least.select(F.col("fp").alias("b"), F.col("src").alias("dst"))
+    return same.distinct().unionByName(near.join(left, "a").join(right, "b").select("src", "dst"))
+
+
+def similar_groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8, distance: int | None = None
+) -> DataFrame:
     """``_key, t, group, component``: groups of rows whose texts share ``least`` of their shingles or more.
 
     ``component`` is the smallest key of the group, ``t`` a number of the text. Null keys are
     never a component's key unless the group has no other. Texts without words are one group.
     Repeated rows are returned each, other columns are left out, an empty table gives no row.
 
+    With a ``distance`` texts are also linked whose SimHash fingerprints over the same shingles are
+    at most so many bits apart, as ``near_duplicates`` links them.
+
     Links are those of the whole sets of shingles, each by 32 bits of its hash, and none is left
     out. In one order of all shingles, rare ones first, two sets of sizes n that share ``least`` have one of
     their first n - ceil(least n) + 1 shingles in common. Texts meet in the cells of these. Sizes
@@ -507,7 +532,10 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         return batch.select(["src", "dst"]).filter(pa.array(ok, pa.bool_()))
 
     good = map_arrow(of_pairs(left, "grams").select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
-    found = components(materialize(good.unionByName(dense), "links")).withColumnsRenamed({"node": "t", "component": "group"})
+    links_of_texts = good.unionByName(dense)
+    if distance is not None:
+        links_of_texts = links_of_texts.unionByName(_fingerprint_links(texts, distance, shingle))
+    found = components(materialize(links_of_texts, "links")).withColumnsRenamed({"node": "t", "component": "group"})
     lows = src.groupBy("t").agg(F.min(KEY).alias("low"))
     member = materialize(lows.join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
     low = member.groupBy("group").agg(F.min("low").alias("component"))

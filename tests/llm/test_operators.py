@@ -504,3 +504,32 @@ def test_equal_rows_are_dealt_to_several_groups(spark, monkeypatch):
 def test_counts_beyond_32_bits_survive_the_answers():
     n = np.array([0, 1, 2**32 + 5, 2**40], np.uint64)
     assert language_model._unzip(language_model._zip(n), np.uint64).tolist() == n.tolist()
+
+
+def test_similar_groups_link_fingerprints_too(spark):
+    """Groups are those of both kinds of links; fingerprints count repeats, which sets of shingles do not."""
+    import random
+
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = []
+    for _ in range(6):
+        line = " ".join(word() for _ in range(5))
+        texts += [" ".join([line] * 60 + [word() for _ in range(10)]) for _ in range(3)]
+    body = [word() for _ in range(100)]
+    texts += [" ".join(body), " ".join(body[:96]), "", None, " ".join(word() for _ in range(50))]
+    prints = [simhash.fingerprint((t or "").encode(), 5) for t in texts]
+    sets = [set(simhash._shingles((t or "").encode(), 5).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (prints[i] ^ prints[j]).bit_count() <= 3 or not union or len(sets[i] & sets[j]) >= 0.8 * union:
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["_key"]: r["component"] for r in simhash.similar_groups(df, distance=3).select(simhash.KEY, "component").withColumnRenamed(simhash.KEY, "_key").collect()}
+    assert [got[i] for i in range(len(texts))] == group
+    assert group[:3] == [0, 0, 0] and group[18:20] == [18, 18]
+    alone = {r[simhash.KEY]: r["component"] for r in simhash.similar_groups(df).collect()}
+    assert alone[1] == 1 and alone[19] == 18
