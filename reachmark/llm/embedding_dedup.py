@@ -29,7 +29,7 @@ def _linked(rows: np.ndarray, places: np.ndarray, sims: np.ndarray, x: np.ndarra
     at = np.flatnonzero(near.ravel())
     for k in range(0, len(at), 1 << 15):
         c = at[k : k + (1 << 15)]
-        i, j = (rows[c], places[c]) if sims.ndim == 1 else (rows[c // len(places)], places[c % len(places)])
+        i, j = rows[c // len(places)], places[c % len(places)]
         u, v = x[i].astype(float), y[j].astype(float)
         good.ravel()[c] = np.einsum("ij,ij->i", u, v) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)) >= least
     return good
@@ -63,18 +63,11 @@ def _ask(unit: np.ndarray, raw: np.ndarray, rep: np.ndarray, index: Hnsw, z: dic
     src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for rows, places, sims in index.matches(unit, least - SLACK, int(z["ef"])):
         good = _linked(rows, places, sims, raw, z["raw"], least)
-        if sims.ndim == 1:
-            rows, places = rows[good], places[good]
-            other = z["rep"][places] != rep[rows]
-            rows, places = rows[other], places[other]
-            links += np.bincount(rows, z["copies"][places], len(rep)).astype(np.int64)
-        else:
-            good &= z["rep"][places] != rep[rows][:, None]
-            links[rows] += good @ z["copies"][places]
-            i, j = _tree(good)
-            rows, places = rows[i], places[j]
-        src.append(rep[rows])
-        dst.append(z["rep"][places])
+        good &= z["rep"][places] != rep[rows][:, None]
+        links[rows] += good @ z["copies"][places]
+        i, j = _tree(good)
+        src.append(rep[rows[i]])
+        dst.append(z["rep"][places[j]])
     return links, np.concatenate(src), np.concatenate(dst)
 
 

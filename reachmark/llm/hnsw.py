@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from functools import cached_property
 
 import numpy as np
 
@@ -131,11 +132,12 @@ class Hnsw:
         return ids, sims
 
     def matches(self, q: np.ndarray, least: float, ef: int, block: int = 1024, wide: int = 8192):
-        """Similar places of the queries, in parts: (queries, places, similarities), pairwise or as a matrix.
+        """Similar places of the queries, in parts: (queries, places, similarities as a matrix).
 
-        A query whose beam is not filled with places of similarity ``least`` or more has them all
-        there, as pairs. The others of a block are taken together: all that can be reached over places similar
-        to one of them is compared with each of them, as matrices of at most ``wide`` places. No cap
+        Queries whose beam is filled with places of similarity ``least`` or more are taken together, and so are
+        the others of a block that found one: all that can be reached over places similar
+        to one of them, along links of the graph in either direction, is compared with each of them, as matrices of at most
+        ``wide`` places. A place that no place near it points to points to one itself, so narrow beams do. No cap
         on their number, and no list of the pairs.
         """
         for at in range(0, len(q), block):
@@ -144,27 +146,43 @@ class Hnsw:
             for l in range(len(self.layers) - 1, 0, -1):
                 entry = np.maximum(self._beam(part, entry, l, 1)[0], 0)
             ids, sims = self._beam(part, entry, 0, ef)
-            full = sims.min(axis=1) >= least
-            a, c = np.nonzero((sims >= least) & ~full[:, None])
-            yield a + at, ids[a, c], sims[a, c]
-            dense = np.flatnonzero(full)
-            if not len(dense):
-                continue
-            asked = part[dense]
-            seen = np.zeros(len(self.vec), bool)
-            front = np.unique(ids[dense])
-            seen[front] = True
-            region = [front]
-            while len(front):
-                near = np.unique(self.layers[0][front])
-                near = near[(near >= 0) & ~seen[np.maximum(near, 0)]]
-                seen[near] = True
-                front = near[self._touched(asked, near, least)]
-                region.append(front)
-            places = np.concatenate(region).astype(np.int64)
-            for k in range(0, len(places), wide):
-                some = places[k : k + wide]
-                yield dense + at, some, asked @ self.vec[some].T
+            hit = sims >= least
+            full = hit.all(axis=1)
+            for group in (hit.any(axis=1) & ~full, full):
+                rows = np.flatnonzero(group)
+                if not len(rows):
+                    continue
+                asked = part[rows]
+                seen = np.zeros(len(self.vec), bool)
+                front = np.unique(ids[rows][hit[rows]])
+                seen[front] = True
+                region = [front]
+                while len(front):
+                    near = np.unique(np.concatenate((self.layers[0][front].ravel(), self._pointing(front))))
+                    near = near[(near >= 0) & ~seen[np.maximum(near, 0)]]
+                    seen[near] = True
+                    front = near[self._touched(asked, near, least)]
+                    region.append(front)
+                places = np.concatenate(region).astype(np.int64)
+                for k in range(0, len(places), wide):
+                    some = places[k : k + wide]
+                    yield rows + at, some, asked @ self.vec[some].T
+
+    @cached_property
+    def _back(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places by the place they point to in the lowest layer, and where those of each place begin."""
+        nbr = self.layers[0]
+        src, column = np.nonzero(nbr >= 0)
+        dst = nbr[src, column]
+        order = np.argsort(dst, kind="stable")
+        return src[order].astype(np.int32), np.searchsorted(dst[order], np.arange(len(nbr) + 1))
+
+    def _pointing(self, places: np.ndarray) -> np.ndarray:
+        """Places that point to one of ``places`` in the lowest layer."""
+        src, first = self._back
+        count = first[places + 1] - first[places]
+        at = np.repeat(first[places] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return src[at]
 
     def _touched(self, asked: np.ndarray, places: np.ndarray, least: float, step: int = 8192) -> np.ndarray:
         """Whether each place is similar to one of the queries."""
@@ -175,10 +193,8 @@ class Hnsw:
         """Pairs (query, place) of similarity ``least`` or more that ``matches`` gives, as a list."""
         out = [np.zeros((2, 0), np.int64)]
         for rows, places, sims in self.matches(q, least, ef):
-            if sims.ndim == 2:
-                i, j = np.nonzero(sims >= least)
-                rows, places = rows[i], places[j]
-            out.append(np.stack((rows, places)))
+            i, j = np.nonzero(sims >= least)
+            out.append(np.stack((rows[i], places[j])))
         a, b = np.concatenate(out, axis=1)
         return a, b
 

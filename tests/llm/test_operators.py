@@ -419,6 +419,19 @@ def test_quality_counts_and_monotonic_trees(spark, docs, rows, empty, sf_dir):
     assert quality.keep_good(docs, None).columns == docs.columns
 
 
+@pytest.mark.parametrize("beam", [4, 24])  # filled with links, and not
+def test_graph_finds_places_that_none_points_to(beam):
+    rng = np.random.default_rng(0)
+    x = np.array([1.0, 0, 0, 0]) + 0.03 * rng.normal(size=(12, 4))
+    graph = embedding_dedup.Hnsw.__new__(embedding_dedup.Hnsw)
+    graph.vec = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    ring = np.array([[(i - 1) % 11, (i + 1) % 11] for i in range(11)] + [[3, 5]], np.int32)
+    graph.layers = [ring]  # the last place points to others, and no other to it
+    query, place = graph.within(graph.vec, 0.95, beam)
+    assert sorted(zip(query.tolist(), place.tolist())) == [(a, b) for a in range(12) for b in range(12)]
+    assert graph.audit(0.95, 0.98, graph.vec, np.arange(12))[0] == 24
+
+
 def test_coder_round_trip_and_damage(docs, rows, empty, spark, tmp_path):
     rng = np.random.default_rng(0)
     blocks = [rng.integers(0, 65536, n) for n in (0, 1, 300)] + [np.tile(rng.integers(0, 5000, 9), 60), rng.zipf(1.3, 900) % 49408]
