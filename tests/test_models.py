@@ -213,6 +213,24 @@ def test_text_classifier_widths(spark):
         N.fit_text_classifier(df.limit(5), "t", "y")
 
 
+def test_term_vectors_take_words_and_lengths_once(spark):
+    rows = [(1, "good fine fine shop"), (2, "zz"), (3, None), (4, "fine good")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    words = spark.createDataFrame([("fine", 2.0, 0), ("good", 1.0, 1), ("fine fine", 1.0, 2)], "term string, idf double, term_no int")
+    parts = N.vector_parts(df, "k", "t", words, 3)
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert all("aggregate(" not in line for line in plan.splitlines() if "transform(" in line)
+    assert plan.count("regexp_extract_all(") == 1
+    terms = N.tfidf_terms(df, "t", 1)
+    assert terms._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+    assert {r["term"]: r["texts"] for r in terms.collect()} == {
+        t: 2 if t in ("good", "fine") else 1 for t in ("good", "fine", "shop", "zz", "good fine", "fine fine", "fine shop", "fine good")
+    }
+    got = {r["k"]: r["features"] for r in N.term_vectors(df, "k", "t", words, 3).collect()}
+    assert np.allclose(got[1].toArray(), np.array([4, 1, 1]) / 18**0.5) and got[2].numNonzeros() == got[3].numNonzeros() == 0
+    assert np.allclose(got[4].toArray(), np.array([2, 1, 0]) / 5**0.5) and len(got) == 4
+
+
 def test_lookups(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
     members = spark.createDataFrame([("a",), ("a",), (None,)], "m string")
