@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -8,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from reachmark.operators import ordering
 from reachmark.operators.ordering import (
     Measure,
     OrderIndex,
@@ -195,3 +197,19 @@ def test_splits_isolate_repeated_values():
     assert s.locate(2.0) in s.heavy
     assert s.locate(math.nextafter(2.0, 3)) not in s.heavy
     assert s.value_of(s.locate(2.0)) == 2.0
+
+
+def test_rank_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANK_ROWS", 100)
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"k": range(600), "a": rng.normal(size=600), "b": rng.integers(0, 5, 600)})
+    pdf.loc[:9, "a"] = None
+    df = spark.createDataFrame(pdf)
+    ranks = ordering.average_ranks(df, ["a", "b"], "k")
+    plan = ranks._jdf.queryExecution().optimizedPlan().toString()
+    assert [int(n) for n in re.findall(r"RepartitionByExpression \[\w+#\w+(?:, \w+#\w+)*\], (\d+)", plan)] == [12, 12]
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression")  # no task holds all keys before
+    got = ranks.toPandas().sort_values("k")
+    for c in ("a", "b"):
+        assert np.allclose(got[c], pdf[c].rank(), equal_nan=True)
+    assert ordering.average_ranks(df.limit(0), ["a", "b"], "k").count() == 0
