@@ -15,7 +15,7 @@ KEY, TEXT = "_key", "_text"
 
 #: A single blank between two other characters. Pre-tokens of the byte-level pattern never
 #: span it: the blank starts the next one. (``\s`` of ``re`` covers all white space there is.)
-_BLANK = re.compile(r"(?<=\S) (?=\S)")
+BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
 def keyed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -59,7 +59,7 @@ def ascii_lower(c: Column) -> Column:
 
 def blank_chunks(text: str) -> list[str]:
     """The text cut before single blanks; every part but the first lost its leading blank."""
-    return _BLANK.split(text)
+    return BLANK.split(text)
 
 
 def mix64(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
