@@ -26,15 +26,23 @@ BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
 #: A group with more links than this is counted by its distinct ids, not link by link.
 WIDE_GROUP = 256
+#: Of so many searches side by side one goes first, and the others start where it ended.
+STRIDE = 4
+#: Numbers whose strings are written at once.
+SPELLED = 1 << 16
 
 
 def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """First index in ``long`` whose value is at least each value of ``short``.
+    """First index in ``long`` whose value is at least each value of ``short``; both lists rise.
 
-    All searches go side by side: each doubles its step from ``start`` until it passes its
-    value, then halves the range it has found.
+    Searches go side by side: each doubles its step from its start until it passes its
+    value, then halves the range it has found. Every ``STRIDE``-th search goes first, in the same way;
+    the others start where the one before them ended, so they take few steps in a list of any length.
     """
     n = len(long)
+    if len(short) > STRIDE:
+        first = gallop(short[::STRIDE], long, start[::STRIDE])
+        start = np.maximum(start, np.repeat(first, STRIDE)[: len(short)])
     low, step, high = start.copy(), np.ones(len(short), np.int64), start.copy()
     active = np.arange(len(short))
     while len(active):
@@ -84,7 +92,7 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, w
     """
     links = na * nb
     sa, sb = np.cumsum(na) - na, np.cumsum(nb) - nb
-    keys, times = [], []
+    keys = []
     one = links == 1
     keys.append(a[sa[one]] * width + b[sb[one]])
     more = np.flatnonzero(~one & (links <= WIDE_GROUP))
@@ -92,8 +100,11 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, w
         g = np.repeat(more, links[more])
         k = np.arange(len(g)) - np.repeat(np.cumsum(links[more]) - links[more], links[more])
         keys.append(a[sa[g] + k // nb[g]] * width + b[sb[g] + k % nb[g]])
+    wide = np.flatnonzero(links > WIDE_GROUP).tolist()
+    if not wide:
+        return np.unique(np.concatenate(keys), return_counts=True)
     times = [np.ones(len(k), np.int64) for k in keys]
-    for g in np.flatnonzero(links > WIDE_GROUP).tolist():
+    for g in wide:
         x, cx = np.unique(a[sa[g] : sa[g] + na[g]], return_counts=True)
         y, cy = np.unique(b[sb[g] : sb[g] + nb[g]], return_counts=True)
         keys.append((x[:, None] * width + y).ravel())
@@ -104,6 +115,33 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, w
     return found, total
 
 
+class Spellings:
+    """Byte strings by number; the strings of a run of numbers are copied from one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array(list(map(len, strings)), np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.all = np.frombuffer(b"".join(strings), np.uint8)
+
+    def write(self, numbers: np.ndarray) -> bytes:
+        """The strings of all numbers in a row."""
+        out = []
+        for k in range(0, len(numbers), SPELLED):
+            some = numbers[k : k + SPELLED]
+            size = self.size[some]
+            place = np.repeat(self.begin[some] - (np.cumsum(size) - size), size)
+            place += np.arange(len(place))
+            out.append(self.all[place].tobytes())
+        return b"".join(out)
+
+    def spell(self, ids: list[np.ndarray], texts: list[bytes]) -> list[bool]:
+        """Whether the strings of each list of ids are its text."""
+        numbers, most = np.concatenate(ids), np.cumsum(list(map(len, ids)))
+        ends = np.concatenate(([0], np.cumsum(self.size[numbers])))[np.concatenate(([0], most))].tolist()
+        held = self.write(numbers)
+        return [held[s:e] == text for s, e, text in zip(ends, ends[1:], texts)]
+
+
 class Aligner:
     """Both tokenizers of a worker, and the bytes of their tokens."""
 
@@ -116,54 +154,50 @@ class Aligner:
         self.bpe = encoder(byte_path, True)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.width = self.pieces.get_piece_size()
-        self.a_bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode()
-            for i in range(self.width)
-            for p in [self.pieces.id_to_piece(i)]
-        ]
-        self.a_size, self.b_size = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
-        n = max(len(self.a_bytes), self.width)
+        self.a = Spellings([tokens.get(i, b"") for i in range(max(tokens) + 1)])
+        self.b = Spellings(
+            [
+                bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode()
+                for i in range(self.width)
+                for p in [self.pieces.id_to_piece(i)]
+            ]
+        )
+        self.n = max(len(self.a.size), self.width)
         # a written group list is a run of ids, each with the mark behind it
-        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(n)]
-        self.n = n
+        self.written = Spellings([f"{i}{mark}".encode() for mark in ",|;" for i in range(self.n)])
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides; none where the bytes are not a blank and the text."""
         none = np.zeros(0, np.int64)
-        left, right = [], []
-        for text, ids in zip(texts, self.pieces.encode(texts, num_threads=1), strict=True):
-            whole = b" " + text.encode()
-            a = self.bpe.encode(" " + text) if text else none
-            same = text and b"".join(map(self.b_bytes.__getitem__, ids)) == whole
-            same = same and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole
-            left.append(a.astype(np.int64) if same else none)
-            right.append(np.array(ids, np.int64) if same else none)
-        return left, right
+        wholes = [b" " + text.encode() if text else b"" for text in texts]
+        left = [self.bpe.encode(" " + text).astype(np.int64) if text else none for text in texts]
+        right = [np.array(ids, np.int64) if text else none for text, ids in zip(texts, self.pieces.encode(texts, num_threads=1), strict=True)]
+        same = [x and y for x, y in zip(self.a.spell(left, wholes), self.b.spell(right, wholes), strict=True)]
+        return tuple([x if ok else none for x, ok in zip(side, same, strict=True)] for side in (left, right))
 
     def align(self, texts: list[str]) -> list[tuple]:
         """Per text: both id lists, and tokens per group on both sides."""
         left, right = self.encode(texts)
         a, b = np.concatenate(left), np.concatenate(right)
         parts = np.array([(len(x), len(y)) for x, y in zip(left, right, strict=True)], np.int64)
-        i, j = common_ends(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), parts)
+        i, j = common_ends(np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b]), parts)
         na, nb = np.diff(i, prepend=-1), np.diff(j, prepend=-1)
         # every text ends in a common end, so its groups are those up to its last token
         cut = np.searchsorted(i, np.cumsum(parts[:, 0]) - 1, side="right")
         begin = np.concatenate(([0], cut[:-1]))
         return [(x, y, na[s:e], nb[s:e]) for x, y, s, e in zip(left, right, begin, cut, strict=True)]
 
-    def written_groups(self, a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> str:
+    def written_groups(self, a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: ids of both sides by group."""
         if not len(na):
-            return ""
+            return b""
         out = np.empty(len(a) + len(b), np.int64)
         ends_a, ends_b = np.cumsum(na), np.cumsum(nb)
         mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         mark_a[ends_a - 1], mark_b[ends_b - 1] = 1, 2
         out[np.arange(len(a)) + np.repeat(ends_b - nb, na)] = a + mark_a * self.n
         out[np.arange(len(b)) + np.repeat(ends_a, nb)] = b + mark_b * self.n
-        return "".join(map(self.written.__getitem__, out.tolist()))[:-1]
+        return self.written.write(out)[:-1]
 
 
 @lru_cache(maxsize=2)
@@ -202,8 +236,8 @@ def align_documents(
         for a, b, na, nb in both.align(texts.to_pylist()):
             pairs, times = linked_pairs(a, b, na, nb, both.width)
             groups = both.written_groups(a, b, na, nb)
-            digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-            rows.append((block, len(a), len(b), len(na), int((na * nb).sum()), digest, pairs, times, *([groups] if with_groups else [])))
+            digest = hashlib.sha256(groups).hexdigest() if groups else ""
+            rows.append((block, len(a), len(b), len(na), int((na * nb).sum()), digest, pairs, times, *([groups.decode()] if with_groups else [])))
         cols = list(zip(*rows, strict=True))
         offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in cols[6]]))).astype(np.int32))
         arrays = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in cols[6:8]]

@@ -136,6 +136,41 @@ def test_galloping_finds_first_places():
         assert (alignment.gallop(short, long, start) == np.searchsorted(long, short)).all()
 
 
+class Looked:
+    """A list that counts the entries looked at."""
+
+    def __init__(self, values):
+        self.values, self.count = values, 0
+
+    def __len__(self):
+        return len(self.values)
+
+    def __getitem__(self, at):
+        self.count += len(at)
+        return self.values[at]
+
+
+def test_galloping_looks_at_few_places_in_long_lists():
+    rng = np.random.default_rng(6)
+    ends = np.cumsum(rng.integers(1, 9, 200_000))
+    long, short = Looked(ends[rng.random(len(ends)) < 0.8]), ends[rng.random(len(ends)) < 0.6]
+    assert (alignment.gallop(short, long, np.zeros(len(short), np.int64)) == np.searchsorted(long.values, short)).all()
+    assert long.count < 12 * len(short)
+    assert not len(alignment.gallop(short[:0], long, np.zeros(0, np.int64)))
+
+
+def test_spellings_in_parts(monkeypatch):
+    monkeypatch.setattr(alignment, "SPELLED", 3)
+    words = [b"", b"a", b"bc", "é".encode(), b"\xff\x00", b"def"]
+    many = alignment.Spellings(words)
+    ids = [np.array(x, np.int64) for x in ([1, 2, 3, 5, 0, 4, 4, 1], [], [0], [2, 5])]
+    right = [b"".join(words[i] for i in x) for x in ids]
+    assert many.write(np.concatenate(ids)) == b"".join(right) and many.write(ids[1]) == b""
+    assert many.spell(ids, right) == [True] * 4
+    assert many.spell(ids, [right[0][:-1], b"x", b"", right[3] + b"y"]) == [False, False, True, False]
+    assert many.spell([ids[3], ids[0]], [right[3][:-1], right[3][-1:] + right[0]]) == [False, False]
+
+
 def test_alignment_of_no_rows(empty):
     assert alignment.link_scores(empty, BYTE_PATH, PIECE_PATH).count() == 0
 
