@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reachmark.llm.common import KEY, TEXT, byte_rows, free_name, keyed_texts, map_arrow, mix64
 from reachmark.llm.graph import components
-from reachmark.runtime import materialize
+from reachmark.runtime import materialize, settle
 
 SEED = 42
 
@@ -547,7 +547,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
 
     Of rows equal in key and text one stays. A group that has null keys only keeps one of its rows.
     """
-    found = materialize(similar_groups(docs, key, text, **options), "groups")
+    found = settle(docs.sparkSession, lambda: similar_groups(docs, key, text, **options), "groups")
     kept = found.where(F.col(KEY).eqNullSafe(F.col("component")))
     once = kept.groupBy(KEY, "t", "group").agg(F.count(F.lit(1)).alias("n"))
     # several texts of a group may carry its smallest key

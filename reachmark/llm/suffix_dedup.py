@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reachmark.llm.common import byte_rows, free_name, map_arrow, mix64
 from reachmark.llm.suffix_sort import sorted_suffixes
-from reachmark.runtime import materialize
+from reachmark.runtime import materialize, settle
 
 #: Bytes whose hash picks and names an anchor.
 GRAM = 32
@@ -260,7 +260,7 @@ class Repeats:
         chosen = wanted.join(starts, "t")
         held = keyed.join(chosen, ["doc", "t"]).groupBy("doc", "t").agg(F.first("text").alias("text"), F.first("hs").alias("hs"))
         self.texts = materialize(held, "repeats")
-        self.spans = self._spans(length)
+        self.spans = settle(docs.sparkSession, lambda: self._spans(length), "spans")
 
     def _spans(self, length: int) -> DataFrame:
         def ranges(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -314,7 +314,7 @@ class Repeats:
         strings = map_arrow(self.texts.select("doc", "t", "text").join(asked, ["doc", "t"]), texts, "h bigint, doc bigint, t bigint, a bigint, text binary")
         tasks = max(int(self.texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), ranges_to_sort // SORTED)
         part = strings.repartition(tasks, "h").mapInArrow(sort, "doc bigint, t bigint, a bigint, b bigint")
-        return materialize(again.unionByName(part).select("doc", "t", F.struct("a", "b").alias("s")).groupBy("doc", "t").agg(F.collect_list("s").alias("spans")), "spans")
+        return again.unionByName(part).select("doc", "t", F.struct("a", "b").alias("s")).groupBy("doc", "t").agg(F.collect_list("s").alias("spans"))
 
 
 def _spans_of(value) -> list[tuple[int, int]]:
@@ -366,10 +366,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     ``size``: a column to hold the new number of characters. Other columns stay, null texts too.
     Rows equal in key and text are copies of each other and all keep what the first keeps.
     """
-    found = Repeats(docs, key, text, length)
     own, number, cuts, lost = (free_name(docs, c) for c in ("_doc", "_t", "_spans", "_gone"))
-    copies = found.rows.where(F.col("copy") & (F.col("size") >= length)).select("doc", "t", F.lit(True).alias(lost)).distinct()
-    marks = found.spans.withColumnRenamed("spans", cuts).join(copies, ["doc", "t"], "full")
+
+    def found() -> DataFrame:
+        repeats = Repeats(docs, key, text, length)
+        copies = repeats.rows.where(F.col("copy") & (F.col("size") >= length)).select("doc", "t", F.lit(True).alias(lost)).distinct()
+        return repeats.spans.withColumnRenamed("spans", cuts).join(copies, ["doc", "t"], "full")
+
+    marks = settle(docs.sparkSession, found, "marks")
     columns = docs.columns
     marked = docs.withColumns(
         {own: F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(-(1 << 63))), number: F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))}

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -24,6 +25,7 @@ from reachmark.llm.common import KEY
 from reachmark.llm.graph import components
 from reachmark.llm.hnsw import Hnsw
 from reachmark.llm.suffix_sort import sorted_suffixes
+from reachmark.runtime import materialize, settle, shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, _key string, fp int, block string"  # names operators use themselves
@@ -478,6 +480,45 @@ def test_pipeline_takes_effect(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "simhash near-dedup", "suffix-array dedup", "pii", "best-fit packing"]
 
 
+def stored_stages(spark):
+    path = shared_dir(spark).removeprefix("file://").removeprefix("file:") + "/reachmark"
+    return set(os.listdir(path)) if os.path.isdir(path) else set()
+
+
+def test_stages_leave_only_what_their_result_reads(spark, docs, rows):
+    before = stored_stages(spark)
+    kept = simhash.keep_one(docs, shingle=5, least=0.8, distance=3)
+    groups_left = {s.rsplit("-", 1)[0] for s in stored_stages(spark) - before}
+    assert groups_left == {"groups"}
+    assert kept.count() < len(rows)
+    before = stored_stages(spark)
+    cut = suffix_dedup.remove_repeats(docs)
+    assert {s.rsplit("-", 1)[0] for s in stored_stages(spark) - before} == {"marks"}
+    digests = {r.doc: r.kept_sha256 for r in suffix_dedup.repeat_digests(docs).collect()}
+    whole = {r.doc_id: (r.text or "").encode() for r in cut.collect()}
+    assert all(hashlib.sha256(whole[i]).hexdigest() == digests[i] for i, t in rows if (t or "").isascii())
+
+
+def test_settled_stages_may_nest_and_fail(spark):
+    before = stored_stages(spark)
+
+    def inner():
+        first = materialize(spark.range(7), "inner")
+        return first.union(settle(spark, lambda: materialize(spark.range(5), "innermost"), "settled"))
+
+    def fails():
+        materialize(spark.range(3), "lost")
+        raise ValueError("no")
+
+    outside = materialize(spark.range(2), "outside")
+    df = settle(spark, inner, "outer")
+    with pytest.raises(ValueError):
+        settle(spark, fails)
+    materialize(spark.range(4), "later")
+    assert sorted(s.rsplit("-", 1)[0] for s in stored_stages(spark) - before) == ["later", "outer", "outside"]
+    assert df.count() == 12 and outside.count() == 2
+
+
 def test_names_of_other_columns_do_not_clash(spark):
     line = "".join(f"{i:04d}" for i in range(60))
     data = [(1, line, 7, "a", "s", 1.5), (2, "x" + line, 8, "b", "t", 2.5), (2, "x" + line, 8, "b", "t", 2.5), (None, None, 9, "c", "u", 3.5)]
