@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Callable, Iterator
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachmark.llm.common import KEY, TEXT, byte_rows, free_name, keyed_texts, map_arrow, mix64
+from reachmark.llm.common import KEY, SLICE_ROWS, TEXT, byte_rows, free_name, keyed_texts, map_arrow, mix64
 from reachmark.llm.graph import components
-from reachmark.runtime import materialize, settle
+from reachmark.runtime import materialize, passing, settle
 
 SEED = 42
 
@@ -212,8 +212,9 @@ def near_duplicates(
 #: Texts in a block of a family, and the shingles per text it is laid out for; every two blocks
 #: of one family meet in one task.
 BLOCK, SKETCH = 4096, 256
-#: Shingles that are counted to tell common ones, and common ones that every task knows.
-COUNTED, COMMON = 16_000_000, 500_000
+#: Shingles that a task counts at a time, common ones whose counts every task knows, and the
+#: binary logarithm of the most bits that tell repeated shingles, or wanted texts, from others.
+CHUNK, COMMON, MARKS = 1 << 22, 500_000, 27
 #: A shingle of more texts than this is never gathered in one task.
 GATHERED = 4096
 #: Cells of up to so many texts give pairs, larger ones a forest.
@@ -324,29 +325,110 @@ def _per_text(batch: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, np.nda
     return ((int(number[i]), _shingles(text, shingle)) for i, text in zip(first, texts, strict=True))
 
 
-def common_shingles(texts: DataFrame, total: int, shingle: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes of common shingles in order, their counts, and of how many texts one was counted.
+def marks_of(hashes: DataFrame, column: str, rows: int) -> np.ndarray:
+    """Bits, 16 for each of ``rows`` hashes but ``2**MARKS`` at most, of which those are set that the first bits of a hash name."""
+    size = min(MARKS, max(15, (16 * rows).bit_length()))
+    place = F.shiftrightunsigned(column, 64 - size)
+    cut = hashes.groupBy(F.shiftright(place, 15).cast("int").alias("at"))
+    found = cut.agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32767))).alias("bits")).toArrow()
+    marks = np.zeros((1 << (size - 15), 4096), np.uint8)
+    for at, bits in zip(found.column("at").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        marks[at] = np.frombuffer(bits, np.uint8)
+    return marks.reshape(-1)
 
-    Counts only steer the work: any order of shingles finds the same links.
+
+def marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False only for hashes that ``marks`` was not made of."""
+    place = hashes.view(np.uint64) >> np.uint64(65 - (8 * len(marks)).bit_length())
+    return (marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits, first the low bytes of all; zeros of the high ones take no room once compressed."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def _first_bits(spark: SparkSession) -> int:
+    """Bits of a hash that tell the group where it is counted; groups grow in number with the partitions."""
+    return min(16, max(4, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
+
+
+def shingle_counts(texts: DataFrame, shingle: int) -> DataFrame:
+    """``h, c``: shingles that occur more than once, by the first bits of their hashes (the rest is zero), and how often.
+
+    All shingles of all texts are counted, copies in a batch once. Tasks sort them in chunks, and what is
+    shuffled of a chunk are the gaps between its hashes, dealt by their first bits.
+    """
+    bits = _first_bits(texts.sparkSession)
+
+    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
+        key, count = np.unique(np.concatenate(held) >> np.uint64(32 - bits), return_counts=True)
+        part = (key >> np.uint64(32)).astype(np.int32)
+        edges = np.flatnonzero(np.diff(part)) + 1
+        low = np.split(key.astype(np.uint32), edges)
+        cols = [part[np.concatenate(([0], edges))], [_planes(np.diff(k, prepend=np.uint32(0))) for k in low], list(map(_planes, np.split(count, edges)))]
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "gaps", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                for _, grams in _per_text(batch.slice(at, SLICE_ROWS), shingle):
+                    held.append(grams)
+                    size += len(grams)
+                    if size >= CHUNK:
+                        yield pack(held)
+                        held, size = [], 0
+        if size:
+            yield pack(held)
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        low = np.concatenate([np.cumsum(_from_planes(x), dtype=np.uint32) for x in table.column("gaps").to_pylist()])
+        count = np.concatenate([_from_planes(x) for x in table.column("counts").to_pylist()]).astype(np.int64)
+        order = np.argsort(low, kind="stable")
+        low = low[order]
+        first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        total = np.add.reduceat(count[order], first)
+        h = (np.uint64(key[0].as_py()) << np.uint64(32) | low[first].astype(np.uint64)) << np.uint64(32 - bits)
+        return pa.table({"h": h[total > 1].view(np.int64), "c": total[total > 1]})
+
+    packed = texts.mapInArrow(run, "part int, gaps binary, counts binary")
+    return packed.groupBy("part").applyInArrow(merge, "h bigint, c bigint")
+
+
+def common_shingles(texts: DataFrame, shingle: int) -> tuple[Callable[[np.ndarray], np.ndarray], int]:
+    """Ranks of shingles, rare ones first, and the count of the commonest.
+
+    A shingle of rank 0 occurs but once. Ranks above 1 are counts of the up to ``COMMON`` commonest
+    shingles; others that are repeated, and a few that are not, have rank 1. Any order of shingles
+    finds the same links.
     """
-    every = max(1, -(-total // COUNTED))
-
-    def flat(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h = np.concatenate([np.zeros(0, np.uint64), *(g for _, g in _per_text(batch, shingle))])
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
-
-    some = texts.where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0)
-    counts = materialize(map_arrow(some, flat, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
-    cut, held = 2, 0
-    for c, k in sorted(((r.c, r.k) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
-        held += k
-        if held > COMMON:
-            cut = c + 1
-            break
-    found = counts.where(F.col("c") >= cut).toArrow()
+    spark = texts.sparkSession
+    with passing(spark):
+        counts = materialize(shingle_counts(texts, shingle), "counts")
+        sizes = sorted(((r.c, r.k) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
+        held = list(accumulate(k for _, k in sizes))
+        most = sizes[0][0] if sizes else 0
+        cut = min((c for (c, _), n in zip(sizes, held, strict=True) if n <= COMMON), default=most + 1)
+        found = counts.where(F.col("c") >= cut).toArrow()
+        marks = marks_of(counts, "h", held[-1] if held else 0)
     h, c = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
     order = np.argsort(h)
-    return h[order], c[order], every
+    common, often = h[order], c[order]
+    kept = ~np.uint64((1 << (32 - _first_bits(spark))) - 1)
+
+    def rank(grams: np.ndarray) -> np.ndarray:
+        out = marked(marks, grams).astype(np.int64)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, grams & kept), len(common) - 1)
+            out = np.where(common[at] == grams & kept, often[at], out)
+        return out
+
+    return rank, most
 
 
 def _fingerprint_links(texts: DataFrame, distance: int, shingle: int) -> DataFrame:
@@ -394,19 +476,11 @@ def similar_groups(
     are connected, in blocks, so neither all pairs nor a whole family meet in one task. That is
     quadratic in a family only where its texts do not link.
     """
+    spark = docs.sparkSession
     src = keyed_texts(docs, key, text).select(KEY, F.xxhash64(TEXT).alias("t"), TEXT)
     texts = src.select(TEXT, "t")
 
-    def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = list(_per_text(batch, shingle))
-        sets = [np.unique((g >> np.uint64(32)).astype(HASH)).tobytes() for _, g in found]
-        long = [parities(g, LONG).tobytes() for _, g in found]
-        cols = [pa.array([t for t, _ in found], pa.int64()), pa.array([len(g) for _, g in found], pa.int32()), pa.array(long, pa.binary()), pa.array(sets, pa.binary())]
-        return pa.RecordBatch.from_arrays(cols, ["t", "n", "bits", "grams"])
-
-    items = materialize(map_arrow(texts, describe, "t bigint, n int, bits binary, grams binary"), "items")
-    total = items.agg(F.sum("n")).first()[0] or 0
-    common, counts, every = common_shingles(texts, total, shingle)
+    rank, most = common_shingles(texts, shingle)
     fields = ["h", "t", "n", *(f"b{k}" for k in range(WORDS))]
     schema = "h bigint, t bigint, n int, " + ", ".join(f"b{k} bigint" for k in range(WORDS))
 
@@ -414,12 +488,10 @@ def similar_groups(
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             heads, bits, t, n = [], [], [], []
             for number, g in _per_text(batch, shingle):
-                rank = np.zeros(len(g), np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, g), len(common) - 1)
-                    rank = np.where(common[at] == g, counts[at], 0)
-                head = np.argsort(rank, kind="stable")[: len(g) - int(np.ceil(least * len(g) - 1e-6)) + 1]
-                heads.append(g[head[(rank[head] * every > GATHERED) == hot]] if len(g) else np.zeros(0 if hot else 1, np.uint64))
+                order = rank(g)
+                head = np.argsort(order, kind="stable")[: len(g) - int(np.ceil(least * len(g) - 1e-6)) + 1]
+                order = order[head]  # what occurs but once is in no other text's cell
+                heads.append(g[head[order > GATHERED if hot else (order > 0) & (order <= GATHERED)]] if len(g) else np.zeros(0 if hot else 1, np.uint64))
                 bits.append(parities(g))
                 t.append(number)
                 n.append(len(g))
@@ -476,37 +548,51 @@ def similar_groups(
         out = (np.minimum(s, d), np.maximum(s, d), np.arange(len(s)) >= few)
         return pa.RecordBatch.from_arrays([pa.array(v) for v in out], ["src", "dst", "dense"])
 
-    cells = spread(False).repartition("h").sortWithinPartitions("h", "t")
-    pairs = cells.mapInArrow(runs, "src bigint, dst bigint, dense boolean")
-    if len(counts) and int(counts.max()) * every > GATHERED:
-        hot = materialize(spread(True).select("h", "t").distinct(), "hot")
-        centre = F.broadcast(hot.groupBy("h").agg(F.min("t").alias("src")))  # COMMON rows at most
-        stars = hot.join(centre, "h").where("src <> t").select("src", F.col("t").alias("dst"), F.lit(True).alias("dense"))
-        pairs = pairs.unionByName(stars)
-    pairs = materialize(pairs.groupBy("src", "dst").agg(F.max("dense").alias("dense")), "pairs")
-
-    def of_pairs(pairs: DataFrame, column: str) -> DataFrame:
-        """``pairs`` with a column of both texts; only rows of texts that are in a pair move."""
-        ends = pairs.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
-        side = items.select("t", column).join(ends, "t", "left_semi").dropDuplicates(["t"])
-        return pairs.join(side.withColumnsRenamed({"t": "src", column: "x"}), "src").join(
-            side.withColumnsRenamed({"t": "dst", column: "y"}), "dst"
-        )
+    def met() -> DataFrame:
+        cells = spread(False).repartition("h").sortWithinPartitions("h", "t")
+        pairs = cells.mapInArrow(runs, "src bigint, dst bigint, dense boolean")
+        if most > GATHERED:
+            hot = materialize(spread(True).select("h", "t").distinct(), "hot")
+            centre = F.broadcast(hot.groupBy("h").agg(F.min("t").alias("src")))  # COMMON rows at most
+            stars = hot.join(centre, "h").where("src <> t").select("src", F.col("t").alias("dst"), F.lit(True).alias("dense"))
+            pairs = pairs.unionByName(stars)
+        return pairs.groupBy("src", "dst").agg(F.max("dense").alias("dense"))
+
+    def described(wanted: DataFrame, describe: Callable[[np.ndarray], bytes], label: str) -> DataFrame:
+        """``t, n, d``: size and description of the texts in ``wanted``, once each; others are passed over in the scan."""
+        wanted = materialize(wanted.distinct(), "wanted")
+        marks = marks_of(wanted, "t", wanted.count())
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            batch = batch.filter(pa.array(marked(marks, batch.column(1).to_numpy())))
+            if not batch.num_rows:
+                return None
+            found = [(t, len(g), describe(g)) for t, g in _per_text(batch, shingle)]
+            cols = [pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)]
+            return pa.RecordBatch.from_arrays(cols, ["t", "n", "d"])
+
+        rows = map_arrow(texts, run, "t bigint, n int, d binary")
+        return materialize(rows.join(wanted, "t", "left_semi").dropDuplicates(["t"]), label)
+
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("src", "dst")).alias("t"))
+
+    def with_both(pairs: DataFrame, side: DataFrame, column: Column) -> DataFrame:
+        """``pairs`` with a column of both texts as ``x`` and ``y``."""
+        left, right = (side.select(F.col("t").alias(end), column.alias(name)) for end, name in (("src", "x"), ("dst", "y")))
+        return pairs.join(left, "src").join(right, "dst")
 
     def possible(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, LONG) for c in (4, 5))
         n, m = (batch.column(c).to_numpy().astype(np.int64) for c in (2, 3))
         return batch.select(["src", "dst"]).filter(pa.array(may_link(n, a, m, b, least)))
 
-    sizes = items.select("t", F.struct("n", "bits").alias("d"))
-    few = pairs.where("NOT dense").select("src", "dst")
-    ends = few.select(F.explode(F.array("src", "dst")).alias("t")).distinct()
-    side = sizes.join(ends, "t", "left_semi").dropDuplicates(["t"])
-    seen = few.join(side.select(F.col("t").alias("src"), F.col("d").alias("x")), "src").join(
-        side.select(F.col("t").alias("dst"), F.col("d").alias("y")), "dst"
-    )
-    seen = seen.select("src", "dst", F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("x.bits").alias("a"), F.col("y.bits").alias("b"))
-    left = materialize(map_arrow(seen, possible, "src bigint, dst bigint"), "possible")
+    def likely(few: DataFrame) -> DataFrame:
+        """Pairs that their sizes and long bitmaps do not drop."""
+        sizes = described(ends_of(few), lambda g: parities(g, LONG).tobytes(), "sizes")
+        seen = with_both(few, sizes, F.struct("n", "d"))
+        seen = seen.select("src", "dst", F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("x.d").alias("a"), F.col("y.d").alias("b"))
+        return map_arrow(seen, possible, "src bigint, dst bigint")
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.sort_by("t")
@@ -514,28 +600,32 @@ def similar_groups(
         a, b = close_texts(None, table.column("grams").to_pylist(), least)
         return pa.Table.from_pydict({"src": t[a], "dst": t[b]})
 
-    family = components(pairs.where("dense").select("src", "dst")).withColumnsRenamed({"node": "t", "component": "family"})
-    family = materialize(family.join(items.select("t", "n").join(family.select("t"), "t", "left_semi").distinct(), "t"), "families")
-    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / (BLOCK * SKETCH))
-    blocks = family.groupBy("family").agg(F.ceil(most).cast("int").alias("blocks"))
-    meets = F.expr(
-        "explode(transform(filter(sequence(0, blocks - 1), o -> o <> block OR blocks = 1),"
-        " o -> struct(least(block, o) AS x, greatest(block, o) AS y)))"
-    )
-    side = items.select("t", "grams").join(family.select("t"), "t", "left_semi").dropDuplicates(["t"])
-    placed = side.join(family, "t").join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("t"), "blocks").cast("int"))
-    placed = placed.select("t", "grams", "family", meets.alias("p")).select("t", "grams", "family", "p.x", "p.y")
-    dense = placed.groupBy("family", "x", "y").applyInArrow(meet, "src bigint, dst bigint")
-
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
         ok = [resemblance(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         return batch.select(["src", "dst"]).filter(pa.array(ok, pa.bool_()))
 
-    good = map_arrow(of_pairs(left, "grams").select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
-    links_of_texts = good.unionByName(dense)
-    if distance is not None:
-        links_of_texts = links_of_texts.unionByName(_fingerprint_links(texts, distance, shingle))
-    found = components(materialize(links_of_texts, "links")).withColumnsRenamed({"node": "t", "component": "group"})
+    def linked() -> DataFrame:
+        """Links of all kinds. Only sets of texts in a likely pair or a family are made and moved."""
+        left = settle(spark, lambda: likely(pairs.where("NOT dense").select("src", "dst")), "possible")
+        family = components(pairs.where("dense").select("src", "dst")).withColumnsRenamed({"node": "t", "component": "family"})
+        family = materialize(family, "families")
+        sets = described(ends_of(left).unionByName(family.select("t")), lambda g: np.unique((g >> np.uint64(32)).astype(HASH)).tobytes(), "sets")
+        good = map_arrow(with_both(left, sets, F.col("d")).select("src", "dst", "x", "y"), verify, "src bigint, dst bigint")
+        placed = sets.join(family, "t")
+        most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / (BLOCK * SKETCH))
+        blocks = placed.groupBy("family").agg(F.ceil(most).cast("int").alias("blocks"))
+        meets = F.expr(
+            "explode(transform(filter(sequence(0, blocks - 1), o -> o <> block OR blocks = 1),"
+            " o -> struct(least(block, o) AS x, greatest(block, o) AS y)))"
+        )
+        placed = placed.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("t"), "blocks").cast("int"))
+        placed = placed.select("t", F.col("d").alias("grams"), "family", meets.alias("p")).select("t", "grams", "family", "p.x", "p.y")
+        links = good.unionByName(placed.groupBy("family", "x", "y").applyInArrow(meet, "src bigint, dst bigint"))
+        return links if distance is None else links.unionByName(_fingerprint_links(texts, distance, shingle))
+
+    pairs = settle(spark, met, "pairs")
+    links_of_texts = settle(spark, linked, "links")
+    found = components(links_of_texts).withColumnsRenamed({"node": "t", "component": "group"})
     lows = src.groupBy("t").agg(F.min(KEY).alias("low"))
     member = materialize(lows.join(found, "t", "left").withColumn("group", F.coalesce("group", "t")), "member")
     low = member.groupBy("group").agg(F.min("low").alias("component"))

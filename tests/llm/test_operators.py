@@ -587,3 +587,18 @@ def test_similar_groups_link_fingerprints_too(spark):
     assert group[:3] == [0, 0, 0] and group[18:20] == [18, 18]
     alone = {r[simhash.KEY]: r["component"] for r in simhash.similar_groups(df).collect()}
     assert alone[1] == 1 and alone[19] == 18
+
+
+def test_every_shingle_of_every_text_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "COUNTED", 50, raising=False)  # was a bound beyond which a share of the texts was counted
+    monkeypatch.setattr(simhash, "CHUNK", 500)
+    rng = random.Random(9)
+    put = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, pair = put(12), put(12)
+    data = [" ".join(put(20) + (line if i < 30 else []) + (pair if i in (3, 40) else [])) for i in range(60)] + ["", "two words"]
+    texts = spark.createDataFrame(list(zip(data, range(len(data)))), "text string, t long").repartition(3)
+    want = collections.Counter(g for t in data for g in simhash._shingles(t.encode(), 5).tolist())
+    rank, most = simhash.common_shingles(texts, 5)
+    ranks = dict(zip(want, rank(np.array(list(want), np.uint64)).tolist()))
+    assert most == 30 and all(ranks[g] == c for g, c in want.items() if c > 1)
+    assert max(ranks[g] for g, c in want.items() if c == 1) <= 1 and sum(ranks.values()) < sum(want.values())
