@@ -602,3 +602,21 @@ def test_every_shingle_of_every_text_is_counted(spark, monkeypatch):
     ranks = dict(zip(want, rank(np.array(list(want), np.uint64)).tolist()))
     assert most == 30 and all(ranks[g] == c for g, c in want.items() if c > 1)
     assert max(ranks[g] for g, c in want.items() if c == 1) <= 1 and sum(ranks.values()) < sum(want.values())
+
+
+def test_only_sets_of_likely_pairs_are_stored(spark, monkeypatch):
+    """A text that shares no shingle with another one takes no room on disk but a number."""
+    rng = random.Random(10)
+    put = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    stored, real = [], simhash.materialize
+
+    def counted(df, label="stage"):
+        out = real(df, label)
+        stored.append(out.count() if any(kind == "binary" for _, kind in out.dtypes) else 0)
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", counted)
+    body = put(60)
+    data = [(i, put(60)) for i in range(300)] + [(300, body), (301, body + " x"), (302, body), (303, None), (304, " ")]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string").repartition(3), distance=3).collect()}
+    assert kept == {*range(301), 303} and 0 < max(stored) < 20
