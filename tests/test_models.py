@@ -245,3 +245,18 @@ def test_lookups(spark):
     states = spark.createDataFrame([("TX",), ("XX",)], "member string")
     found = {r["member"]: r["region"] for r in J.with_lookup(states, state_regions(spark), ["member"]).collect()}
     assert found == {"TX": "south_west", "XX": None}
+
+
+def test_folds_are_ranked_once_for_all_trials(spark, monkeypatch):
+    ranked, real = [], L.stratified_folds
+    monkeypatch.setattr(L, "stratified_folds", lambda *a, **k: ranked.append(1) or real(*a, **k))
+
+    class Same:
+        def score(self, df):
+            return df.withColumn("proba", F.col("id") / 200)
+
+    monkeypatch.setattr(L, "fit_family", lambda *a: Same())
+    search = L.Search(L.ModelSpec("y", "id"), kfolds=2)
+    search.train = spark.range(200).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"), F.lit(1.0).alias("wt"))
+    losses = {search._cross_validate(family, {}) for family in ("gbt", "plain")}
+    assert len(ranked) == 1 and len(losses) == 1
