@@ -1,18 +1,21 @@
 import datetime
+import random
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from reachmark.functions import text as X
 from reachmark.functions.regions import state_regions
 from reachmark.operators import explain as E
 from reachmark.operators import learners as L
+from reachmark.operators import logistic
 from reachmark.operators import lookup as J
 from reachmark.operators import names as N
 from reachmark.operators import scoring as S
 from reachmark.operators.search import draw
-from reachmark.runtime import scratch_path
+from reachmark.runtime import materialize, scratch_path
 
 SPEC = L.ModelSpec("y", "k", ("a", "b"), ("c",))
 
@@ -260,3 +263,36 @@ def test_folds_are_ranked_once_for_all_trials(spark, monkeypatch):
     search.train = spark.range(200).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"), F.lit(1.0).alias("wt"))
     losses = {search._cross_validate(family, {}) for family in ("gbt", "plain")}
     assert len(ranked) == 1 and len(losses) == 1
+
+
+def test_text_weights_stay_a_table(spark, monkeypatch):
+    """The weights are those of MLlib, but nothing on the driver grows with the terms."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    data = []
+    for i in range(240):
+        text = " ".join(rng.choice(words[:40] if i % 3 else words[20:]) for _ in range(rng.randint(1, 30)))
+        data.append((i, text if i % 50 else None, float(i % 3 == 0) if i % 40 else None))
+    df = spark.createDataFrame(data, "doc_id long, text string, label double").repartition(3)
+    monkeypatch.setattr(logistic, "BLOCK_CELLS", 100)
+    rows = df.filter("label is not null")
+    kept, size = N.numbered_terms(N.tfidf_terms(rows, "text", 3))
+    vocabulary = materialize(kept)
+    vectors = N.term_vectors(rows, "doc_id", "text", vocabulary, size).join(rows.select("doc_id", "label"), "doc_id")
+    want = LogisticRegression(regParam=2 / rows.count(), maxIter=500, tol=1e-12, standardization=False).fit(vectors)
+    monkeypatch.setattr(N, "LogisticRegression", None)  # which holds all weights, several times over
+    found = N.fit_text_model(df, "doc_id", "text", "label", min_texts=3)
+    number = {r.term: r.term_no for r in vocabulary.collect()}
+    weights = {r.term: r.weight for r in found.vocabulary.collect()}
+    assert weights.keys() == number.keys()
+    assert max(abs(w - want.coefficients[number[t]]) for t, w in weights.items()) < 1e-4 and abs(found.intercept - want.intercept) < 1e-4
+    predicted = {r.doc_id: r.predicted for r in found.predict(df, "doc_id", "text").collect()}
+    assert len(predicted) == 240 and predicted[0] == int(want.intercept > 0)
+    expected = {r.doc_id: int(r.prediction) for r in want.transform(vectors).collect()}
+    assert all(predicted[i] == p for i, p in expected.items())
+
+
+@pytest.mark.parametrize("y,sign", [([0.0] * 4, -1), ([1.0] * 4, 1)])
+def test_one_class_is_always_predicted(y, sign):
+    a, intercept = logistic.fit(np.array(y), 2.0, lambda b: b)
+    assert not a.any() and intercept == sign * np.inf
